@@ -30,7 +30,7 @@ from tillhouse.model import DwTables, OpTables  # noqa: E402
 from tillhouse.operators import quality  # noqa: E402
 from tillhouse.operators.joins import checked_broadcast  # noqa: E402
 from tillhouse.plans import drift, etl, kpi, reports, validate  # noqa: E402
-from tillhouse.sources import store, testdata  # noqa: E402
+from tillhouse.sources import seed, store, testdata  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -45,6 +45,8 @@ FLIP_EVERY = 17                           # run 2: COMPLETED sales with sale_id
 NEW_CATEGORY_EVERY = 10                   # run 2: products with id % 10 = 0 move to category 'NEW'
 DRIFT_MISSING, DRIFT_AMOUNT, DRIFT_PENDING, DRIFT_COPY, DRIFT_BROKEN = 97, 89, 101, 107, 83
 
+SEED_AS_OF = dt.datetime(2024, 3, 10, 12, 0)  # the seed's NOW()
+
 D0, D1 = kpi.report_window(REPORT_AS_OF, REPORT_DAYS)
 M0, M1 = (D0.year, D0.month), (D1.year, D1.month)
 
@@ -86,7 +88,7 @@ def warehouse(spark: SparkSession, sf_dir: str, category: str = "p_type") -> tup
     k = _key(spark, "dw", sf_dir, category)
     if k not in _BUILT:
         op = source(spark, sf_dir, category)
-        _BUILT[k] = (op, store.persist(etl.first_load(op, LOAD_AS_OF, initial_mark=FIRST_MARK).dw))
+        _BUILT[k] = (op, etl.first_load(op, LOAD_AS_OF, initial_mark=FIRST_MARK, stage=store.checkpoint_stage).dw)
     return _BUILT[k]
 
 
@@ -98,7 +100,7 @@ def incremental(spark: SparkSession, sf_dir: str) -> tuple[DwTables, DwTables, O
         op = source(spark, sf_dir)
         sale1 = op.sale.filter(F.col("updated_at") < F.lit(INCR_MARK))
         op1 = op.with_(sale=sale1, sale_item=op.sale_item.join(sale1.select("sale_id"), "sale_id", "left_semi"))
-        dw1 = store.persist(etl.first_load(op1, INCR_MARK, initial_mark=FIRST_MARK).dw)
+        dw1 = etl.first_load(op1, INCR_MARK, initial_mark=FIRST_MARK, stage=store.checkpoint_stage).dw
         flip = (F.col("sale_id") % FLIP_EVERY == 0) & (F.col("status") == S.STATUS_COMPLETED)
         sale2 = (op.sale.withColumn("updated_at", F.when(flip, F.greatest("updated_at", F.lit(INCR_MARK)))
                                     .otherwise(F.col("updated_at")))
@@ -107,7 +109,7 @@ def incremental(spark: SparkSession, sf_dir: str) -> tuple[DwTables, DwTables, O
             "category", F.when(F.col("product_id") % NEW_CATEGORY_EVERY == 0, F.lit("NEW"))
             .otherwise(F.col("category")))
         op2 = op.with_(sale=sale2, product=prod2)
-        dw2 = store.persist(etl.run_etl(op2, dw1, INCR_AS_OF).dw)
+        dw2 = etl.run_etl(op2, dw1, INCR_AS_OF, stage=store.checkpoint_stage).dw
         _BUILT[k] = (dw1, dw2, op2)
     return _BUILT[k]
 
@@ -204,6 +206,14 @@ def _dim_product_scd1(spark, d):
                     (F.col("product_sk") == F.col("sk1")).alias("sk_kept")))
 
 
+def seeded(spark: SparkSession, sf_dir: str) -> OpTables:
+    """Seed tables sized by the driver tables: one customer per customer row,
+    one sale per order row (ids 1..n from the dense table keys)."""
+    customer_ids = testdata.read_table(spark, sf_dir, "customer").select((F.col("c_custkey") + 1).alias("gs"))
+    sale_ids = testdata.read_table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("gs"))
+    return seed.seed(spark, SEED_AS_OF, customer_ids=customer_ids, sale_ids=sale_ids)
+
+
 def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         # KPI views and range loads
@@ -240,6 +250,10 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_duplicates": lambda s, d: quality.duplicate_keys(source(s, d)),
         "dq_orphans": lambda s, d: quality.orphans(*warehouse(s, d)),
         "dq_orphans_drift": lambda s, d: quality.orphans(*_drifted(s, d, "broken")),
+        # seed dataset job
+        "seed_customers": lambda s, d: seeded(s, d).customer,
+        "seed_sales": lambda s, d: seeded(s, d).sale,
+        "seed_items": lambda s, d: seeded(s, d).sale_item,
     }
     for name in CHECK_DRIFT:
         q[name] = _check_query(name, None)
@@ -595,6 +609,37 @@ def _dq_sql() -> dict[str, str]:
     }
 
 
+def _seed_sql() -> dict[str, str]:
+    stamp = f"'{SEED_AS_OF:%Y-%m-%d %H:%M:%S}'"
+    cities = ", ".join(f"'{c}'" for c in seed.SEED_CITIES)
+    prices = ", ".join(f"({i + 1}, {int(round(float(p) * 100))})" for i, (_, _, _, p) in enumerate(seed.SEED_PRODUCTS))
+    sales = f"""seed_sale AS (
+  SELECT gs AS sale_id, gs % 5 + 1 AS branch_id, gs % 20 + 1 AS customer_id,
+         CAST(DATE '{SEED_AS_OF:%Y-%m-%d}' - CAST(gs % 20 AS INTEGER) AS TIMESTAMP) + INTERVAL 10 HOUR
+           + to_minutes(CAST((gs % 9) * 45 AS BIGINT)) AS sold_at,
+         CASE gs % 10 WHEN 0 THEN 'CANCELLED' WHEN 1 THEN 'PENDING' ELSE 'COMPLETED' END AS status,
+         CASE WHEN gs % 10 IN (0, 1) THEN 'ONLINE' WHEN gs % 10 = 2 THEN 'PHONE' ELSE 'STORE' END AS channel
+  FROM (SELECT o_orderkey + 1 AS gs FROM orders))"""
+    return {
+        "seed_customers": f"""SELECT c_custkey + 1 AS customer_id, 'Cliente ' || CAST(c_custkey + 1 AS VARCHAR) AS name,
+       md5('cpf_fake_' || CAST(c_custkey + 1 AS VARCHAR)) AS doc_hash,
+       ([{cities}])[CAST(1 + (c_custkey + 1) % 5 AS INTEGER)] AS city, 'SP' AS uf,
+       {stamp} AS created_at, {stamp} AS updated_at FROM customer""",
+        "seed_sales": f"""WITH {sales}
+SELECT sale_id, CAST(branch_id AS BIGINT) AS branch_id, customer_id, CAST(sold_at AS VARCHAR) AS sold_at, status,
+       channel, CAST(NULL AS VARCHAR) AS note, {stamp} AS created_at, {stamp} AS updated_at FROM seed_sale""",
+        "seed_items": f"""WITH {sales},
+price(product_id, list_c) AS (VALUES {prices}),
+it AS (SELECT s.sale_id, s.status, i, s.sale_id + i AS k
+       FROM seed_sale s, LATERAL (SELECT unnest(range(1, 2 + s.sale_id % 4)) AS i))
+SELECT row_number() OVER (ORDER BY it.sale_id, i) AS item_id, it.sale_id, k % 12 + 1 AS product_id,
+       CAST(1 + k % 3 AS BIGINT) AS qty, {_money('(p.list_c * (95 + k % 7) + 50) // 100')} AS unit_price,
+       {_money("CASE WHEN status = 'COMPLETED' THEN CASE k % 6 WHEN 0 THEN 1500 WHEN 1 THEN 1000 WHEN 2 THEN 500 ELSE 0 END ELSE 0 END")}
+         AS discount, {stamp} AS created_at, {stamp} AS updated_at
+FROM it JOIN price p ON p.product_id = k % 12 + 1""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     window_rows = f"""SELECT f.date, b.name AS branch, f.net_c FROM fact f JOIN op_branch b ON b.branch_id = f.branch_id
   {DAILY_WHERE}"""
@@ -667,6 +712,7 @@ UNION ALL SELECT 'dim_customer', COUNT(*), COUNT(*), 1, COUNT(*) FROM op_custome
        '{INCR_AS_OF:%Y-%m-%d %H:%M:%S}' AS updated_at, TRUE AS sk_kept FROM op_product""",
     }
     sql.update(_dq_sql())
+    sql.update(_seed_sql())
     for name, kind in CHECK_DRIFT.items():
         sql[name] = _check_sql(name, None)
         sql[name + "_drift"] = _check_sql(name, kind)

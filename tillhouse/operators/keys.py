@@ -3,17 +3,18 @@
 ``assign_surrogate_keys`` gives new natural keys consecutive integer keys
 ``base + 1 .. base + n``:
 
-1. hash-partition the new keys into a fixed number of partitions and sort
-   within partitions - a deterministic layout (hash partitioning does not
-   sample, and an explicit partition count is never coalesced by AQE), so a
-   recomputed partition after an executor loss gets the same keys;
-2. count rows per partition (one small job; the driver gets one number per
-   partition) and turn the counts into partition offsets;
-3. key = base + offset[partition] + position inside the partition.
-
-No step puts all rows into one task, and nothing but per-partition counts
-reaches the driver.  Keys are dense and unique; their order follows the
-partition layout, not the natural key (surrogate keys carry no order).
+1. bucket every new key by a hash of its natural key into B buckets
+   (B = shuffle partitions); natural keys are unique, so buckets are even
+   and no bucket is hot;
+2. count keys per bucket (one aggregate; the driver gets B numbers) and turn
+   the counts into bucket offsets;
+3. key = base + offset[bucket] + row_number() within the bucket ordered by
+   natural key (a window partitioned by bucket).
+
+Keys are dense and unique, and they depend only on the set of new natural
+keys and ``base``: a recomputed task, a different physical layout or a rerun
+after a failed load yields the same keys.  Nothing but B counts reaches the
+driver.
 """
 
 from __future__ import annotations
@@ -23,8 +24,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-_ROW_BITS = 33  # monotonically_increasing_id = partition << 33 | row in partition
+_BUCKET = "_sk_bucket"
 
 
 def max_key(df: DataFrame, sk: str) -> int:
@@ -34,21 +34,22 @@ def max_key(df: DataFrame, sk: str) -> int:
 
 
 def assign_surrogate_keys(new_rows: DataFrame, order_cols: list[str], sk: str, base: int,
-                          sk_type: str = "long", partitions: int | None = None) -> DataFrame:
+                          sk_type: str = "long", buckets: int | None = None) -> DataFrame:
     """Add column ``sk`` with unique keys base+1 .. base+n (n = rows of ``new_rows``).
 
     ``order_cols`` must be unique in ``new_rows``.
     """
     spark = new_rows.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    staged = new_rows.repartition(n_parts, *order_cols).sortWithinPartitions(*order_cols)
-    counts = dict(staged.groupBy(F.spark_partition_id().alias("p")).count().collect())
-    n = max(counts) + 1 if counts else 0
-    sizes = [int(counts.get(p, 0)) for p in range(n)]
+    n_buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bucket = F.pmod(F.xxhash64(*order_cols), F.lit(n_buckets)).cast("int")
+    tagged = new_rows.withColumn(_BUCKET, bucket)
+    counts = dict(tagged.groupBy(_BUCKET).count().collect())
+    sizes = [int(counts.get(b, 0)) for b in range(n_buckets)]
     offsets = [0] + list(accumulate(sizes))[:-1]
-    offset_of = F.element_at(F.array(*[F.lit(o) for o in offsets] or [F.lit(0)]), F.spark_partition_id() + 1)
-    row_in_part = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), _ROW_BITS)
-    return staged.withColumn(sk, (F.lit(base) + offset_of + row_in_part + 1).cast(sk_type))
+    offset_of = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col(_BUCKET) + 1)
+    w = Window.partitionBy(_BUCKET).orderBy(*order_cols)
+    return (tagged.withColumn(sk, (F.lit(base) + offset_of + F.row_number().over(w)).cast(sk_type))
+            .drop(_BUCKET))
 
 
 def position_lookup(small: DataFrame, order_col: str, value_col: str, pos_alias: str = "pos") -> DataFrame:

@@ -24,6 +24,7 @@ picked up, the mark lives on the sale.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -175,23 +176,51 @@ def load_fact(op: OpTables, dw: DwTables, last_run: dt.datetime, as_of: dt.datet
 
 # --- pipeline (D10) ---------------------------------------------------------
 
+Stage = Callable[[str, DataFrame], DataFrame]
+MergeFact = Callable[[DataFrame, DataFrame], DataFrame]
+
+
+def lazy(name: str, df: DataFrame) -> DataFrame:
+    """Default stage: keep the frame lazy."""
+    return df
+
+
 def run_etl(op: OpTables, dw: DwTables, as_of: dt.datetime, process: str = S.PROCESS_NAME,
-            initial_mark: dt.datetime = S.DEFAULT_LAST_RUN) -> EtlRun:
-    """One ETL run; returns the new warehouse content (lazy frames)."""
+            initial_mark: dt.datetime = S.DEFAULT_LAST_RUN, stage: Stage = lazy,
+            merge_fact: MergeFact | None = None) -> EtlRun:
+    """One ETL run; returns the new warehouse content.
+
+    ``stage(table, frame)`` is called for each new table as soon as it is
+    final (dimensions before the fact, the control row last) and returns the
+    frame later steps read.  A store writes the table and returns a scan of
+    it, so the fact load joins small written dimensions instead of their
+    upsert lineage, and surrogate keys are fixed once written.
+
+    ``merge_fact(target, source)`` applies the fact upsert; the default
+    replaces rows by item id over the whole target and stages the result.
+    A partitioned store rewrites only the partitions the source touches.
+    """
     control = ensure_control(dw.etl_control, process, initial_mark, as_of)
     last_run = read_last_run(control, process)
     rng = changed_range(op.sale, last_run)
-    dw = dw.with_(etl_control=control)
     if rng is None:
-        return EtlRun(dw, last_run, None, as_of)
-    dw = dw.with_(dim_date=upsert_dim_date(dw.dim_date, rng[0].date(), rng[1].date()))
-    dw = upsert_dimensions(dw, op, as_of)
-    dw = dw.with_(fact_sale_item=load_fact(op, dw, last_run, as_of))
-    dw = dw.with_(etl_control=advance_mark(control, as_of, process))
+        return EtlRun(dw.with_(etl_control=control), last_run, None, as_of)
+    dw = dw.with_(dim_date=stage("dim_date", upsert_dim_date(dw.dim_date, rng[0].date(), rng[1].date())))
+    dims = upsert_dimensions(dw, op, as_of)
+    dw = dw.with_(**{name: stage(name, getattr(dims, name)) for name in ("dim_branch", "dim_product",
+                                                                          "dim_customer")})
+    source = fact_source(op, dw, last_run, as_of)
+    if merge_fact is None:
+        fact = stage("fact_sale_item", upsert_by_key(dw.fact_sale_item, source, "item_id"))
+    else:
+        fact = merge_fact(dw.fact_sale_item, source)
+    dw = dw.with_(fact_sale_item=fact)
+    dw = dw.with_(etl_control=stage("etl_control", advance_mark(control, as_of, process)))
     return EtlRun(dw, last_run, rng, as_of)
 
 
-def first_load(op: OpTables, as_of: dt.datetime, initial_mark: dt.datetime = S.DEFAULT_LAST_RUN) -> EtlRun:
+def first_load(op: OpTables, as_of: dt.datetime, initial_mark: dt.datetime = S.DEFAULT_LAST_RUN,
+               stage: Stage = lazy) -> EtlRun:
     """ETL into an empty warehouse."""
     spark = op.sale.sparkSession
-    return run_etl(op, DwTables.empty(spark), as_of, initial_mark=initial_mark)
+    return run_etl(op, DwTables.empty(spark), as_of, initial_mark=initial_mark, stage=stage)

@@ -1,19 +1,22 @@
-"""Persisting and publishing warehouse versions (parquet on shared storage).
+"""Persisting and publishing the warehouse (parquet on shared storage).
 
 Layout under ``root``::
 
-    <table>/v=<N>/...            one folder per table and version
-    fact_sale_item/v=<N>/sale_month=<yyyymm>/...
-    _commits/                    one row per published version
-
-A run writes every table of version N, then appends the commit row; readers
-take the largest committed N.  A run that dies before its commit row leaves
-only an unreferenced folder, and re-running it is harmless (the fact load is
-a keyed upsert), so no reader ever sees half a version.
-
-``persist`` cuts lineage with reliable checkpoints (the shared
-``spark.checkpoint.dir``) for callers that keep working on a result in the
-same session.
+    <table>/v=<N>/                     control row and dimensions, one folder per version
+    fact_sale_item/sale_month=<yyyymm>/ the fact, one table partitioned by sale month
+    _commits/                          one row per published version
+
+A run writes new dimension versions first, then upserts the fact, then
+writes the control row and appends the commit row; readers take the largest
+committed version of the small tables.
+
+The fact is never copied whole: a run rewrites only the month partitions
+that hold source rows or older rows of the same items (dynamic partition
+overwrite), after staging the new content of those months in a reliable
+checkpoint, so the job never overwrites a path it is reading.  Recovery is a
+rerun: the mark only moves with the commit, the fact load is a keyed upsert
+and surrogate keys are a pure function of the new natural keys, so a rerun
+after a failure rewrites the same months with the same rows.
 """
 
 from __future__ import annotations
@@ -21,15 +24,17 @@ from __future__ import annotations
 import datetime as dt
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse import schemas as S
-from tillhouse.model import DwTables, OpTables, conform
+from tillhouse.model import DwTables, OpTables, conform, empty
+from tillhouse.operators.upsert import upsert_by_key
 from tillhouse.plans.etl import EtlRun, run_etl
 from tillhouse.session import ensure_checkpoint_dir
 
+FACT = "fact_sale_item"
 COMMITS = T.StructType([
     T.StructField("version", T.LongType(), False),
     T.StructField("as_of", S.NTZ, False),
@@ -37,16 +42,19 @@ COMMITS = T.StructType([
 ])
 
 
+def checkpoint_stage(name: str, df: DataFrame) -> DataFrame:
+    """ETL stage that cuts lineage with a reliable checkpoint (shared folder)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def persist(dw: DwTables) -> DwTables:
     """Checkpoint every table (reliable, shared folder) and return the copies."""
-    spark = dw.fact_sale_item.sparkSession
-    ensure_checkpoint_dir(spark)
-    return DwTables(**{name: df.checkpoint(eager=True) for name, df in dw.items()})
+    return DwTables(**{name: checkpoint_stage(name, df) for name, df in dw.items()})
 
 
 def persist_op(op: OpTables) -> OpTables:
-    spark = op.sale.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(op.sale.sparkSession)
     return OpTables(branch=op.branch.checkpoint(), customer=op.customer.checkpoint(),
                     product=op.product.checkpoint(), sale=op.sale.checkpoint(),
                     sale_item=op.sale_item.checkpoint())
@@ -59,6 +67,8 @@ class WarehouseStore:
     def _path(self, *parts) -> str:
         return "/".join([self.root, *parts])
 
+    # --- reading --------------------------------------------------------
+
     def versions(self, spark: SparkSession) -> list[int]:
         try:
             rows = spark.read.schema(COMMITS).parquet(self._path("_commits")).select("version").collect()
@@ -66,40 +76,83 @@ class WarehouseStore:
             return []
         return sorted(int(r[0]) for r in rows)
 
+    def _read_table(self, spark: SparkSession, name: str, version: int) -> DataFrame:
+        schema = S.DW_SCHEMAS[name]
+        return conform(spark.read.schema(schema).parquet(self._path(name, f"v={version}")), schema)
+
+    def read_fact(self, spark: SparkSession) -> DataFrame:
+        try:
+            df = spark.read.schema(S.FACT_SALE_ITEM).parquet(self._path(FACT))
+        except Exception:  # not written yet
+            return empty(spark, S.FACT_SALE_ITEM)
+        return conform(df, S.FACT_SALE_ITEM)
+
     def read(self, spark: SparkSession, version: int | None = None) -> DwTables:
+        """Small tables of a committed version (latest by default) and the fact."""
         vs = self.versions(spark)
         if not vs:
             return DwTables.empty(spark)
         v = vs[-1] if version is None else version
         if v not in vs:
             raise ValueError(f"version {v} is not committed")
-        return DwTables(**{
-            name: conform(spark.read.schema(schema).parquet(self._path(name, f"v={v}")), schema)
-            for name, schema in S.DW_SCHEMAS.items()})
-
-    def write(self, dw: DwTables, version: int) -> None:
-        for name, df in dw.items():
-            out = self._path(name, f"v={version}")
-            if name == "fact_sale_item":
-                # Balanced files per month partition: AQE splits a hot month,
-                # coalesces small ones.
-                (df.hint("rebalance", "sale_month").write.mode("overwrite")
-                 .partitionBy("sale_month").parquet(out))
-            else:
-                df.write.mode("overwrite").parquet(out)
+        tables = {name: self._read_table(spark, name, v) for name in S.DW_SCHEMAS if name != FACT}
+        return DwTables(**tables, fact_sale_item=self.read_fact(spark))
+
+    # --- writing --------------------------------------------------------
+
+    def write_table(self, name: str, df: DataFrame, version: int) -> None:
+        df.write.mode("overwrite").parquet(self._path(name, f"v={version}"))
+
+    def merge_fact(self, target: DataFrame, source: DataFrame) -> DataFrame:
+        """Upsert ``source`` into the stored fact, rewriting only touched months.
+
+        Touched months: months of the source rows, plus months of stored rows
+        whose item id is in the source (an item moves when its sale date
+        changes).  The second set needs a semi join on item id that reads one
+        column of the fact; the rewrite itself reads only the touched months
+        (partition filter).  The month list is bounded by the calendar.
+        """
+        spark = source.sparkSession
+        ensure_checkpoint_dir(spark)
+        src = source.checkpoint(eager=True)
+        ids = src.select("item_id")
+        moved = target.join(ids, "item_id", "left_semi").select("sale_month")
+        months = sorted(r[0] for r in src.select("sale_month").union(moved).distinct().collect())
+        if months:
+            part = target.filter(F.col("sale_month").isin(months))
+            new = (upsert_by_key(part, src, "item_id").hint("rebalance", "sale_month")
+                   .checkpoint(eager=True))
+            (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("sale_month").parquet(self._path(FACT)))
+        return self.read_fact(spark)
 
     def commit(self, spark: SparkSession, version: int, as_of: dt.datetime, loaded: bool) -> None:
         row = spark.createDataFrame([(version, as_of, loaded)], COMMITS)
         row.coalesce(1).write.mode("append").parquet(self._path("_commits"))
 
     def run(self, op: OpTables, as_of: dt.datetime, initial_mark: dt.datetime = S.DEFAULT_LAST_RUN) -> EtlRun:
-        """One ETL run against the latest committed version; publishes N+1."""
+        """One ETL run against the latest committed version; publishes N+1.
+
+        A run that finds nothing to load publishes nothing when the control
+        row already exists.
+        """
         spark = op.sale.sparkSession
         vs = self.versions(spark)
-        current = self.read(spark)
-        result = run_etl(op, current, as_of, initial_mark=initial_mark)
         version = (vs[-1] if vs else 0) + 1
-        self.write(result.dw, version)
+        current = self.read(spark)
+        written: set[str] = {FACT}
+
+        def stage(name: str, df: DataFrame) -> DataFrame:
+            self.write_table(name, df, version)
+            written.add(name)
+            return self._read_table(spark, name, version)
+
+        result = run_etl(op, current, as_of, initial_mark=initial_mark, stage=stage, merge_fact=self.merge_fact)
+        if not result.loaded and vs:
+            return EtlRun(current, result.last_run, None, as_of)
+        for name, df in result.dw.items():
+            if name not in written:  # carried over unchanged (or first, empty version)
+                self.write_table(name, df, version)
         self.commit(spark, version, as_of, result.loaded)
         return EtlRun(self.read(spark, version), result.last_run, result.changed, as_of)
 
