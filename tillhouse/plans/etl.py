@@ -187,7 +187,7 @@ def lazy(name: str, df: DataFrame) -> DataFrame:
 
 def run_etl(op: OpTables, dw: DwTables, as_of: dt.datetime, process: str = S.PROCESS_NAME,
             initial_mark: dt.datetime = S.DEFAULT_LAST_RUN, stage: Stage = lazy,
-            merge_fact: MergeFact | None = None) -> EtlRun:
+            merge_fact: MergeFact | None = None, since: dt.datetime | None = None) -> EtlRun:
     """One ETL run; returns the new warehouse content.
 
     ``stage(table, frame)`` is called for each new table as soon as it is
@@ -199,9 +199,12 @@ def run_etl(op: OpTables, dw: DwTables, as_of: dt.datetime, process: str = S.PRO
     ``merge_fact(target, source)`` applies the fact upsert; the default
     replaces rows by item id over the whole target and stages the result.
     A partitioned store rewrites only the partitions the source touches.
+
+    ``since`` replaces the stored mark when the caller already restricted
+    ``op.sale`` to the changed sales (a stream's micro-batch).
     """
     control = ensure_control(dw.etl_control, process, initial_mark, as_of)
-    last_run = read_last_run(control, process)
+    last_run = read_last_run(control, process) if since is None else since
     rng = changed_range(op.sale, last_run)
     if rng is None:
         return EtlRun(dw.with_(etl_control=control), last_run, None, as_of)

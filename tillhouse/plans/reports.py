@@ -72,3 +72,34 @@ def stack_cells(monthly: DataFrame, k: int = S.TOP_CATEGORIES) -> DataFrame:
 def axis_label(period, category):
     """Two-line bar label 'YYYY-MM\\ncategory'."""
     return F.concat_ws("\n", period, category)
+
+
+def report_datasets(dw, as_of, days: int = S.DEFAULT_REPORT_DAYS) -> dict:
+    """All report datasets for the window ``as_of - days .. as_of``.
+
+    The monthly window covers whole months from the first to the last day.
+    """
+    from tillhouse.plans import kpi
+
+    first, last = kpi.report_window(as_of, days)
+    daily = kpi.kpi_daily_range(dw, first, last)
+    monthly = kpi.kpi_monthly_range(dw, first.year, first.month, last.year, last.month)
+    return {
+        "kpi_daily": daily,
+        "kpi_monthly": monthly,
+        "01_daily_net_by_branch": daily_net_pivot(daily),
+        "02_net_total_by_branch": branch_totals(daily),
+        "03_weekday_x_branch": weekday_matrix(daily, dw.dim_date),
+        "04_monthly_top_categories": top_category_matrix(monthly),
+        "04_monthly_top_categories_stack": stack_cells(monthly),
+    }
+
+
+def write_reports(datasets: dict, out: str) -> list[str]:
+    """Write each (bounded) dataset as one CSV folder ``<out>/<name>``."""
+    written = []
+    for name, df in datasets.items():
+        path = f"{out.rstrip('/')}/{name}"
+        df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+        written.append(path)
+    return written

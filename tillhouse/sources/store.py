@@ -130,7 +130,8 @@ class WarehouseStore:
         row = spark.createDataFrame([(version, as_of, loaded)], COMMITS)
         row.coalesce(1).write.mode("append").parquet(self._path("_commits"))
 
-    def run(self, op: OpTables, as_of: dt.datetime, initial_mark: dt.datetime = S.DEFAULT_LAST_RUN) -> EtlRun:
+    def run(self, op: OpTables, as_of: dt.datetime, initial_mark: dt.datetime = S.DEFAULT_LAST_RUN,
+            since: dt.datetime | None = None) -> EtlRun:
         """One ETL run against the latest committed version; publishes N+1.
 
         A run that finds nothing to load publishes nothing when the control
@@ -147,7 +148,8 @@ class WarehouseStore:
             written.add(name)
             return self._read_table(spark, name, version)
 
-        result = run_etl(op, current, as_of, initial_mark=initial_mark, stage=stage, merge_fact=self.merge_fact)
+        result = run_etl(op, current, as_of, initial_mark=initial_mark, stage=stage, merge_fact=self.merge_fact,
+                         since=since)
         if not result.loaded and vs:
             return EtlRun(current, result.last_run, None, as_of)
         for name, df in result.dw.items():
