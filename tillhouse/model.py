@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillhouse import schemas as S
 
@@ -14,8 +15,18 @@ def conform(df: DataFrame, schema) -> DataFrame:
     return df.select([df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
+    """A small frame of literal rows, built JVM-side (no Python workers)."""
+    if not rows:
+        return empty(spark, schema)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+               for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def empty(spark: SparkSession, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    """An empty frame of ``schema``, built JVM-side."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 @dataclass(frozen=True)

@@ -6,25 +6,25 @@
 1. bucket every new key by a hash of its natural key into B buckets
    (B = shuffle partitions); natural keys are unique, so buckets are even
    and no bucket is hot;
-2. count keys per bucket (one aggregate; the driver gets B numbers) and turn
-   the counts into bucket offsets;
+2. count keys per bucket and turn the counts into bucket offsets with a
+   running sum over the B count rows (a window over B rows, broadcast back);
 3. key = base + offset[bucket] + row_number() within the bucket ordered by
    natural key (a window partitioned by bucket).
 
-Keys are dense and unique, and they depend only on the set of new natural
-keys and ``base``: a recomputed task, a different physical layout or a rerun
-after a failed load yields the same keys.  Nothing but B counts reaches the
-driver.
+``base`` may be a scalar subquery (``max_key_of``), so the whole assignment
+stays one lazy plan: no driver round trip.  Keys are dense and unique, and
+they depend only on the set of new natural keys and ``base``: a recomputed
+task, a different physical layout or a rerun after a failed load yields the
+same keys.
 """
 
 from __future__ import annotations
 
-from itertools import accumulate
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BUCKET = "_sk_bucket"
+_OFFSET = "_sk_offset"
 
 
 def max_key(df: DataFrame, sk: str) -> int:
@@ -33,7 +33,12 @@ def max_key(df: DataFrame, sk: str) -> int:
     return int(row["m"]) if row and row["m"] is not None else 0
 
 
-def assign_surrogate_keys(new_rows: DataFrame, order_cols: list[str], sk: str, base: int,
+def max_key_of(df: DataFrame, sk: str) -> Column:
+    """Largest existing surrogate key (0 for an empty table) as a scalar subquery."""
+    return df.agg(F.coalesce(F.max(sk).cast("long"), F.lit(0).cast("long"))).scalar()
+
+
+def assign_surrogate_keys(new_rows: DataFrame, order_cols: list[str], sk: str, base: int | Column,
                           sk_type: str = "long", buckets: int | None = None) -> DataFrame:
     """Add column ``sk`` with unique keys base+1 .. base+n (n = rows of ``new_rows``).
 
@@ -41,15 +46,15 @@ def assign_surrogate_keys(new_rows: DataFrame, order_cols: list[str], sk: str, b
     """
     spark = new_rows.sparkSession
     n_buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bucket = F.pmod(F.xxhash64(*order_cols), F.lit(n_buckets)).cast("int")
-    tagged = new_rows.withColumn(_BUCKET, bucket)
-    counts = dict(tagged.groupBy(_BUCKET).count().collect())
-    sizes = [int(counts.get(b, 0)) for b in range(n_buckets)]
-    offsets = [0] + list(accumulate(sizes))[:-1]
-    offset_of = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col(_BUCKET) + 1)
+    tagged = new_rows.withColumn(_BUCKET, F.pmod(F.xxhash64(*order_cols), F.lit(n_buckets)).cast("int"))
+    running = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (tagged.groupBy(_BUCKET).count()
+               .select(_BUCKET, F.coalesce(F.sum("count").over(running), F.lit(0)).alias(_OFFSET)))
     w = Window.partitionBy(_BUCKET).orderBy(*order_cols)
-    return (tagged.withColumn(sk, (F.lit(base) + offset_of + F.row_number().over(w)).cast(sk_type))
-            .drop(_BUCKET))
+    base_col = base if isinstance(base, Column) else F.lit(base)
+    return (tagged.join(F.broadcast(offsets), _BUCKET)  # at most n_buckets rows
+            .withColumn(sk, (base_col + F.col(_OFFSET) + F.row_number().over(w)).cast(sk_type))
+            .drop(_BUCKET, _OFFSET))
 
 
 def position_lookup(small: DataFrame, order_col: str, value_col: str, pos_alias: str = "pos") -> DataFrame:

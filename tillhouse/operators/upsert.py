@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.model import conform
-from tillhouse.operators.keys import assign_surrogate_keys, max_key
+from tillhouse.operators.keys import assign_surrogate_keys, max_key_of
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, key: str, sk: str | None = None,
@@ -28,7 +28,7 @@ def insert_if_absent(target: DataFrame, source: DataFrame, key: str, sk: str | N
     """
     new = source.dropDuplicates([key]).join(target.select(key), key, "left_anti")
     if sk is not None:
-        new = assign_surrogate_keys(new, [key], sk, max_key(target, sk), sk_type)
+        new = assign_surrogate_keys(new, [key], sk, max_key_of(target, sk), sk_type)
     out = target.unionByName(new.select(*target.columns))
     return conform(out, schema) if schema is not None else out
 
@@ -44,7 +44,7 @@ def upsert_scd1(target: DataFrame, source: DataFrame, key: str, sk: str, sk_type
     source = source.dropDuplicates([key])
     matched = source.join(target.select(key, sk), key, "inner")
     new = source.join(target.select(key), key, "left_anti")
-    new = assign_surrogate_keys(new, [key], sk, max_key(target, sk), sk_type)
+    new = assign_surrogate_keys(new, [key], sk, max_key_of(target, sk), sk_type)
     kept = target.join(source.select(key), key, "left_anti")
     cols = target.columns
     out = kept.select(*cols).unionByName(matched.select(*cols)).unionByName(new.select(*cols))

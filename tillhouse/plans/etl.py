@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tillhouse import schemas as S
 from tillhouse.functions.dates import calendar_columns, date_series, year_month
 from tillhouse.functions.money import line_gross, line_net
-from tillhouse.model import DwTables, OpTables, conform
+from tillhouse.model import DwTables, OpTables, conform, literal_rows
 from tillhouse.operators.joins import checked_broadcast
 from tillhouse.operators.upsert import insert_if_absent, upsert_by_key, upsert_scd1
 
@@ -61,7 +61,7 @@ def ensure_control(control: DataFrame, process: str = S.PROCESS_NAME,
                    as_of: dt.datetime | None = None) -> DataFrame:
     spark = control.sparkSession
     stamp = as_of or initial_mark
-    row = spark.createDataFrame([(process, initial_mark, stamp)], S.ETL_CONTROL)
+    row = literal_rows(spark, [(process, initial_mark, stamp)], S.ETL_CONTROL)
     return insert_if_absent(control, row, "process", schema=S.ETL_CONTROL)
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tillhouse import schemas as S
 from tillhouse.functions.money import scaled_price, seed_discount
-from tillhouse.model import OpTables, conform
+from tillhouse.model import OpTables, conform, literal_rows
 
 # ---------------------------------------------------------------------------
 # Fixed values of the seed dataset (must equal the model's seed for identical results)
@@ -88,13 +88,13 @@ def _stamp(as_of: dt.datetime):
 
 def branches(spark: SparkSession, as_of: dt.datetime) -> DataFrame:
     rows = [(i + 1, name, city, uf, True, as_of, as_of) for i, (name, city, uf) in enumerate(SEED_BRANCHES)]
-    return spark.createDataFrame(rows, S.BRANCH)
+    return literal_rows(spark, rows, S.BRANCH)
 
 
 def products(spark: SparkSession, as_of: dt.datetime) -> DataFrame:
     rows = [(i + 1, sku, name, cat, Decimal(price), True, as_of, as_of)
             for i, (sku, name, cat, price) in enumerate(SEED_PRODUCTS)]
-    return spark.createDataFrame(rows, S.PRODUCT)
+    return literal_rows(spark, rows, S.PRODUCT)
 
 
 def customers(ids: DataFrame, as_of: dt.datetime) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse import schemas as S
-from tillhouse.model import DwTables, OpTables, conform, empty
+from tillhouse.model import DwTables, OpTables, conform, empty, literal_rows
 from tillhouse.operators.upsert import upsert_by_key
 from tillhouse.plans.etl import EtlRun, run_etl
 from tillhouse.session import ensure_checkpoint_dir
@@ -127,7 +127,7 @@ class WarehouseStore:
         return self.read_fact(spark)
 
     def commit(self, spark: SparkSession, version: int, as_of: dt.datetime, loaded: bool) -> None:
-        row = spark.createDataFrame([(version, as_of, loaded)], COMMITS)
+        row = literal_rows(spark, [(version, as_of, loaded)], COMMITS)
         row.coalesce(1).write.mode("append").parquet(self._path("_commits"))
 
     def run(self, op: OpTables, as_of: dt.datetime, initial_mark: dt.datetime = S.DEFAULT_LAST_RUN,
