@@ -27,6 +27,7 @@ from pyspark.sql import types as T  # noqa: E402
 
 from tillhouse import schemas as S  # noqa: E402
 from tillhouse.model import DwTables, OpTables  # noqa: E402
+from tillhouse.functions.dates import ntz  # noqa: E402
 from tillhouse.operators import quality  # noqa: E402
 from tillhouse.operators.joins import checked_broadcast  # noqa: E402
 from tillhouse.plans import drift, etl, kpi, reports, validate  # noqa: E402
@@ -98,11 +99,11 @@ def incremental(spark: SparkSession, sf_dir: str) -> tuple[DwTables, DwTables, O
     k = _key(spark, "incr", sf_dir)
     if k not in _BUILT:
         op = source(spark, sf_dir)
-        sale1 = op.sale.filter(F.col("updated_at") < F.lit(INCR_MARK))
+        sale1 = op.sale.filter(F.col("updated_at") < ntz(INCR_MARK))
         op1 = op.with_(sale=sale1, sale_item=op.sale_item.join(sale1.select("sale_id"), "sale_id", "left_semi"))
         dw1 = etl.first_load(op1, INCR_MARK, initial_mark=FIRST_MARK, stage=store.checkpoint_stage).dw
         flip = (F.col("sale_id") % FLIP_EVERY == 0) & (F.col("status") == S.STATUS_COMPLETED)
-        sale2 = (op.sale.withColumn("updated_at", F.when(flip, F.greatest("updated_at", F.lit(INCR_MARK)))
+        sale2 = (op.sale.withColumn("updated_at", F.when(flip, F.greatest("updated_at", ntz(INCR_MARK)))
                                     .otherwise(F.col("updated_at")))
                  .withColumn("status", F.when(flip, F.lit(S.STATUS_CANCELLED)).otherwise(F.col("status"))))
         prod2 = op.product.withColumn(

@@ -29,6 +29,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from tillhouse.functions.dates import ntz  # noqa: E402
 from tillhouse import schemas as S  # noqa: E402
 from tillhouse.model import OpTables  # noqa: E402
 from tillhouse.operators import quality  # noqa: E402
@@ -95,12 +96,12 @@ def main() -> None:
     timed("etl_noop", lambda: full.run(op, AS_OF + dt.timedelta(days=1)))
 
     incr = WarehouseStore(os.path.join(scratch, "wh_incr"))
-    sale1 = op.sale.filter(F.col("updated_at") < F.lit(MARK))
+    sale1 = op.sale.filter(F.col("updated_at") < ntz(MARK))
     op1 = op.with_(sale=sale1, sale_item=op.sale_item.join(sale1.select("sale_id"), "sale_id", "left_semi"))
     timed("etl_run1", lambda: incr.run(op1, MARK, initial_mark=FIRST_MARK))
     flip = (F.col("sale_id") % 17 == 0) & (F.col("status") == S.STATUS_COMPLETED)
     op2 = op.with_(
-        sale=op.sale.withColumn("updated_at", F.when(flip, F.greatest("updated_at", F.lit(MARK)))
+        sale=op.sale.withColumn("updated_at", F.when(flip, F.greatest("updated_at", ntz(MARK)))
                                 .otherwise(F.col("updated_at")))
         .withColumn("status", F.when(flip, F.lit(S.STATUS_CANCELLED)).otherwise(F.col("status"))),
         product=op.product.withColumn("category", F.when(F.col("product_id") % 10 == 0, F.lit("NEW"))

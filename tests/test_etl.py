@@ -5,6 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from tillhouse.functions.dates import ntz  # noqa: E402
 from tillhouse import schemas as S
 from tillhouse.model import DwTables
 from tillhouse.operators.keys import assign_surrogate_keys
@@ -68,12 +69,12 @@ def test_nothing_changed_keeps_warehouse(sf001_op, sf001_dw):
 
 def test_incremental_two_runs(spark, sf001_op):
     op = sf001_op
-    sale1 = op.sale.filter(F.col("updated_at") < F.lit(MARK))
+    sale1 = op.sale.filter(F.col("updated_at") < ntz(MARK))
     op1 = op.with_(sale=sale1, sale_item=op.sale_item.join(sale1.select("sale_id"), "sale_id", "left_semi"))
     dw1 = etl.first_load(op1, MARK, initial_mark=dt.datetime(1990, 1, 1), stage=store.checkpoint_stage).dw
     assert dw1.fact_sale_item.count() == 891
     flip = (F.col("sale_id") % 17 == 0) & (F.col("status") == S.STATUS_COMPLETED)
-    sale2 = (op.sale.withColumn("updated_at", F.when(flip, F.greatest("updated_at", F.lit(MARK)))
+    sale2 = (op.sale.withColumn("updated_at", F.when(flip, F.greatest("updated_at", ntz(MARK)))
                                 .otherwise(F.col("updated_at")))
              .withColumn("status", F.when(flip, F.lit(S.STATUS_CANCELLED)).otherwise(F.col("status"))))
     op2 = op.with_(sale=sale2)

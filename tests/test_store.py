@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from tillhouse.functions.dates import ntz  # noqa: E402
 from tillhouse import schemas as S
 from tillhouse.plans import validate
 from tillhouse.sources.store import WarehouseStore
@@ -23,7 +24,7 @@ def test_store_runs(spark, scratch, sf001_op, sf001_dw):
     root = os.path.join(scratch, "store_test")
     st = WarehouseStore(root)
     op = sf001_op
-    sale1 = op.sale.filter(F.col("updated_at") < F.lit(MARK))
+    sale1 = op.sale.filter(F.col("updated_at") < ntz(MARK))
     op1 = op.with_(sale=sale1, sale_item=op.sale_item.join(sale1.select("sale_id"), "sale_id", "left_semi"))
     r1 = st.run(op1, MARK, initial_mark=FIRST)
     assert st.versions(spark) == [1] and r1.dw.fact_sale_item.count() == 891
@@ -41,7 +42,7 @@ def test_store_runs(spark, scratch, sf001_op, sf001_dw):
     after = _files(root)
     kept = [p for p in before if p in after and after[p] == before[p]]
     assert kept, "months without new sales must not be rewritten"
-    new_months = {r[0] for r in op.sale.filter(F.col("updated_at") >= F.lit(MARK))
+    new_months = {r[0] for r in op.sale.filter(F.col("updated_at") >= ntz(MARK))
                   .select((F.year("sold_at") * 100 + F.month("sold_at")).alias("m")).distinct().collect()}
     assert all(int(p.split("sale_month=")[1].split("/")[0]) not in new_months for p in kept)
     ok, rows = validate.run_checks(op, dw)

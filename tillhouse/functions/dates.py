@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def ntz(value: dt.datetime) -> Column:
+    """A ``timestamp_ntz`` literal, parsed from its ISO text (no time zone involved).
+
+    ``F.lit(datetime)`` would make a session-time-zone timestamp, and comparing
+    it with ``timestamp_ntz`` columns would depend on the Python process and
+    the session agreeing on the zone.
+    """
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def date_series(start: Column, end: Column) -> Column:
     """Inclusive daily series start..end as an array (exploded by callers)."""
     return F.sequence(start, end, F.expr("INTERVAL 1 DAY"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,12 @@ def literal_rows(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
     """A small frame of literal rows, built JVM-side (no Python workers)."""
     if not rows:
         return empty(spark, schema)
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
-               for row in rows]
+    def lit(v, dtype):
+        if isinstance(v, dt.datetime):
+            return F.lit(v.isoformat(sep=" ")).cast(dtype)
+        return F.lit(v).cast(dtype)
+
+    structs = [F.struct(*[lit(v, f.dataType).alias(f.name) for v, f in zip(row, schema.fields)]) for row in rows]
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse import schemas as S
-from tillhouse.functions.dates import calendar_columns, date_series, year_month
+from tillhouse.functions.dates import calendar_columns, date_series, ntz, year_month
 from tillhouse.functions.money import line_gross, line_net
 from tillhouse.model import DwTables, OpTables, conform, literal_rows
 from tillhouse.operators.joins import checked_broadcast
@@ -76,15 +76,15 @@ def advance_mark(control: DataFrame, as_of: dt.datetime, process: str = S.PROCES
     hit = F.col("process") == process
     return conform(control.select(
         "process",
-        F.when(hit, F.lit(as_of)).otherwise(F.col("last_run")).alias("last_run"),
-        F.when(hit, F.lit(as_of)).otherwise(F.col("updated_at")).alias("updated_at"),
+        F.when(hit, ntz(as_of)).otherwise(F.col("last_run")).alias("last_run"),
+        F.when(hit, ntz(as_of)).otherwise(F.col("updated_at")).alias("updated_at"),
     ), S.ETL_CONTROL)
 
 
 # --- changed range (D3) -----------------------------------------------------
 
 def changed_range_frame(sale: DataFrame, last_run: dt.datetime) -> DataFrame:
-    return (sale.filter(F.col("updated_at") >= F.lit(last_run))
+    return (sale.filter(F.col("updated_at") >= ntz(last_run))
             .agg(F.min("sold_at").alias("min_sold_at"), F.max("sold_at").alias("max_sold_at")))
 
 
@@ -116,15 +116,15 @@ def upsert_dim_date(dim_date: DataFrame, first: dt.date, last: dt.date) -> DataF
 # --- type-1 dimensions (D5-D7) ----------------------------------------------
 
 def branch_source(branch: DataFrame, as_of: dt.datetime) -> DataFrame:
-    return branch.select("branch_id", "name", "city", "uf", "active", F.lit(as_of).alias("updated_at"))
+    return branch.select("branch_id", "name", "city", "uf", "active", ntz(as_of).alias("updated_at"))
 
 
 def product_source(product: DataFrame, as_of: dt.datetime) -> DataFrame:
-    return product.select("product_id", "sku", "name", "category", "active", F.lit(as_of).alias("updated_at"))
+    return product.select("product_id", "sku", "name", "category", "active", ntz(as_of).alias("updated_at"))
 
 
 def customer_source(customer: DataFrame, as_of: dt.datetime) -> DataFrame:
-    return customer.select("customer_id", "city", "uf", F.lit(as_of).alias("updated_at"))
+    return customer.select("customer_id", "city", "uf", ntz(as_of).alias("updated_at"))
 
 
 def upsert_dimensions(dw: DwTables, op: OpTables, as_of: dt.datetime) -> DwTables:
@@ -151,7 +151,7 @@ def fact_source(op: OpTables, dw: DwTables, last_run: dt.datetime, as_of: dt.dat
     NULL group spreads over ``NULL_CUSTOMER_SALT`` shuffle keys instead of
     landing in one partition, and the sales are scanned once.
     """
-    sales = op.sale.filter((F.col("status") == status) & (F.col("updated_at") >= F.lit(last_run)))
+    sales = op.sale.filter((F.col("status") == status) & (F.col("updated_at") >= ntz(last_run)))
     sales = sales.select("sale_id", "branch_id", "customer_id", F.to_date("sold_at").alias("date"))
     dates = checked_broadcast(dw.dim_date.select("date", "date_sk"))
     branches = checked_broadcast(dw.dim_branch.select("branch_id", "branch_sk"))
@@ -173,7 +173,7 @@ def fact_source(op: OpTables, dw: DwTables, last_run: dt.datetime, as_of: dt.dat
         line_gross(q, p).alias("gross"),
         F.round(d, 2).cast(S.FACT_MONEY).alias("discount"),
         line_net(q, p, d).alias("net"),
-        F.lit(as_of).alias("loaded_at"),
+        ntz(as_of).alias("loaded_at"),
         "sale_month",
     ), S.FACT_SALE_ITEM)
 

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse import schemas as S
+from tillhouse.functions.dates import ntz
 from tillhouse.model import OpTables, conform
 
 # Key column used to split each table into parallel JDBC reads.
@@ -57,7 +58,7 @@ def with_defaults(df: DataFrame, schema, now: dt.datetime) -> DataFrame:
         if f.name in df.columns:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
         elif f.name in ("created_at", "updated_at"):
-            cols.append(F.lit(now).cast(f.dataType).alias(f.name))
+            cols.append(ntz(now).alias(f.name))
         elif f.name in DEFAULTS:
             cols.append(F.lit(DEFAULTS[f.name]).cast(f.dataType).alias(f.name))
         else:

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillhouse import schemas as S
+from tillhouse.functions.dates import ntz
 from tillhouse.functions.money import scaled_price, seed_discount
 from tillhouse.model import OpTables, conform, literal_rows
 
@@ -83,7 +84,7 @@ def series(spark: SparkSession, n: int) -> DataFrame:
 
 
 def _stamp(as_of: dt.datetime):
-    return F.lit(as_of).cast(S.NTZ)
+    return ntz(as_of)
 
 
 def branches(spark: SparkSession, as_of: dt.datetime) -> DataFrame:

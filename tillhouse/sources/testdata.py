@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillhouse import schemas as S
+from tillhouse.functions.dates import ntz
 from tillhouse.functions.money import scaled_price, seed_discount
 from tillhouse.model import OpTables, conform
 
@@ -52,8 +53,8 @@ def branches(nation: DataFrame, region: DataFrame) -> DataFrame:
         F.col("r_name").alias("city"),
         F.lit(BRANCH_UF).alias("uf"),
         F.lit(True).alias("active"),
-        F.lit(BRANCH_CREATED).alias("created_at"),
-        F.lit(BRANCH_CREATED).alias("updated_at"),
+        ntz(BRANCH_CREATED).alias("created_at"),
+        ntz(BRANCH_CREATED).alias("updated_at"),
     )
     return conform(df, S.BRANCH)
 
@@ -65,8 +66,8 @@ def customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
         F.md5(F.col("c_custkey").cast("string")).alias("doc_hash"),
         F.col("n_name").alias("city"),
         F.lit(BRANCH_UF).alias("uf"),
-        F.lit(BRANCH_CREATED).alias("created_at"),
-        F.lit(BRANCH_CREATED).alias("updated_at"),
+        ntz(BRANCH_CREATED).alias("created_at"),
+        ntz(BRANCH_CREATED).alias("updated_at"),
     )
     return conform(df, S.CUSTOMER)
 
@@ -79,8 +80,8 @@ def products(part: DataFrame, category_col: str = "p_type") -> DataFrame:
         F.col(category_col).alias("category"),
         F.col("p_retailprice").cast(S.MONEY).alias("list_price"),
         F.lit(True).alias("active"),
-        F.lit(BRANCH_CREATED).alias("created_at"),
-        F.lit(BRANCH_CREATED).alias("updated_at"),
+        ntz(BRANCH_CREATED).alias("created_at"),
+        ntz(BRANCH_CREATED).alias("updated_at"),
     )
     return conform(df, S.PRODUCT)
 
