@@ -30,7 +30,7 @@ from tillhouse.model import DwTables, OpTables  # noqa: E402
 from tillhouse.functions.dates import ntz  # noqa: E402
 from tillhouse.operators import quality  # noqa: E402
 from tillhouse.operators.joins import checked_broadcast  # noqa: E402
-from tillhouse.plans import drift, etl, kpi, reports, validate  # noqa: E402
+from tillhouse.plans import drift, etl, kpi, reports, validate, views  # noqa: E402
 from tillhouse.sources import seed, store, testdata  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -173,11 +173,25 @@ CHECK_DRIFT = {
 
 def _check_query(name: str, kind: str | None):
     def run(spark, d):
-        op, dw = warehouse(spark, d) if kind is None else _drifted(spark, d, kind)
+        if kind == "incremental":
+            _, dw, op = incremental(spark, d)
+        else:
+            op, dw = warehouse(spark, d) if kind is None else _drifted(spark, d, kind)
         return CHECKS[name](op, dw)
     return run
 
 
+# Checks also registered on the incremental scenario: sales that left
+# COMPLETED keep their facts (listed by V5), days with such sales differ (V3).
+INCREMENTAL_CHECKS = ["check3_daily_diffs", "check5_surplus_items", "check_verdict"]
+
+
+def _sql_daily(spark, d):
+    _, dw = warehouse(spark, d)
+    views.register(spark, dw)
+    return views.load_daily(spark, D0, D1)
+
+
 def _dims_query(table: str, cols: list[str]):
     def run(spark, d):
         _, dw = warehouse(spark, d)
@@ -259,6 +273,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for name in CHECK_DRIFT:
         q[name] = _check_query(name, None)
         q[name + "_drift"] = _check_query(name, CHECK_DRIFT[name])
+    for name in INCREMENTAL_CHECKS:
+        q[name + "_incremental"] = _check_query(name, "incremental")
+    q["kpi_daily_range_sql"] = _sql_daily
     return q
 
 
@@ -453,14 +470,18 @@ def _dw_cte(kind: str | None) -> str:
 
 OP_COMPLETED = """(SELECT i.item_id, s.sale_id, s.sold_at, s.branch_id, i.product_id, i.qty, i.price_c, i.disc_c,
          i.qty * i.price_c AS gross_c, i.qty * i.price_c - i.disc_c AS net_c
-  FROM op_sale s JOIN op_item i ON i.sale_id = s.sale_id WHERE s.status = 'COMPLETED')"""
+  FROM op_sale_v s JOIN op_item i ON i.sale_id = s.sale_id WHERE s.status = 'COMPLETED')"""
 
 # dwf rows visible through inner joins to the date and branch dimensions
 DW_DATED = "(SELECT * FROM dwf WHERE branch_id IN (SELECT branch_id FROM op_branch))"
 
 
 def _check_sql(name: str, kind: str | None) -> str:
-    pre = BASE + "," + _dw_cte(kind) + "\n"
+    """Oracle of a check; ``op_sale_v`` is the operational sale table the check sees."""
+    if kind == "incremental":
+        pre = BASE + INCR_CTES + ", op_sale_v AS (SELECT * FROM op_sale2), dwf AS (SELECT * FROM incr)\n"
+    else:
+        pre = BASE + "," + _dw_cte(kind) + ", op_sale_v AS (SELECT * FROM op_sale)\n"
     if name == "check1_item_count":
         return pre + f"""SELECT (SELECT COUNT(*) FROM {OP_COMPLETED}) AS op_items_completed,
                                (SELECT COUNT(*) FROM dwf) AS dw_items"""
@@ -497,7 +518,7 @@ ORDER BY sold_at, item_id LIMIT 200"""
         return pre + f"""SELECT f.item_id, f.sale_id, CAST(f.date AS VARCHAR) AS date_dw,
        CAST(f.branch_id AS BIGINT) AS branch_id_dw, CAST(f.qty AS BIGINT) AS qty, {_money('f.gross_c')} AS gross,
        {_money('f.disc_c')} AS discount, {_money('f.net_c')} AS net
-FROM {DW_DATED} f LEFT JOIN op_item i ON i.item_id = f.item_id LEFT JOIN op_sale s ON s.sale_id = f.sale_id
+FROM {DW_DATED} f LEFT JOIN op_item i ON i.item_id = f.item_id LEFT JOIN op_sale_v s ON s.sale_id = f.sale_id
 WHERE i.item_id IS NULL OR s.sale_id IS NULL OR s.status <> 'COMPLETED'
 ORDER BY f.date DESC, f.item_id LIMIT 200"""
     if name == "check6_dim_keys":
@@ -528,7 +549,7 @@ c3 AS (SELECT COUNT(*) AS k FROM od FULL OUTER JOIN wd ON od.date = wd.date AND
           OR COALESCE(od.e, 0) <> COALESCE(wd.e, 0)),
 c4 AS (SELECT COUNT(*) AS k FROM op_c WHERE item_id NOT IN (SELECT item_id FROM dwf)),
 c5 AS (SELECT COUNT(*) AS k FROM {DW_DATED} f LEFT JOIN op_item i ON i.item_id = f.item_id
-       LEFT JOIN op_sale s ON s.sale_id = f.sale_id
+       LEFT JOIN op_sale_v s ON s.sale_id = f.sale_id
        WHERE i.item_id IS NULL OR s.sale_id IS NULL OR s.status <> 'COMPLETED'),
 c6 AS (SELECT COUNT(*) FILTER (WHERE b.branch_id IS NULL) + COUNT(*) FILTER (WHERE p.product_id IS NULL) AS k
        FROM dwf f LEFT JOIN op_branch b ON b.branch_id = f.branch_id
@@ -717,4 +738,7 @@ UNION ALL SELECT 'dim_customer', COUNT(*), COUNT(*), 1, COUNT(*) FROM op_custome
     for name, kind in CHECK_DRIFT.items():
         sql[name] = _check_sql(name, None)
         sql[name + "_drift"] = _check_sql(name, kind)
+    for name in INCREMENTAL_CHECKS:
+        sql[name + "_incremental"] = _check_sql(name, "incremental")
+    sql["kpi_daily_range_sql"] = sql["kpi_daily_range"]
     return sql
