@@ -13,6 +13,7 @@ these as images; here they are DataFrames a caller writes or plots.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,10 +97,21 @@ def report_datasets(dw, as_of, days: int = S.DEFAULT_REPORT_DAYS) -> dict:
 
 
 def write_reports(datasets: dict, out: str) -> list[str]:
-    """Write each (bounded) dataset as one CSV folder ``<out>/<name>``."""
+    """Write each (bounded) dataset as one CSV folder ``<out>/<name>``.
+
+    The two range loads feed every report, so they are persisted while the
+    reports are written (each is computed once; a lost block is recomputed).
+    """
+    loads = [datasets[k] for k in ("kpi_daily", "kpi_monthly") if k in datasets]
+    for df in loads:
+        df.persist(StorageLevel.MEMORY_AND_DISK)
     written = []
-    for name, df in datasets.items():
-        path = f"{out.rstrip('/')}/{name}"
-        df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
-        written.append(path)
+    try:
+        for name, df in datasets.items():
+            path = f"{out.rstrip('/')}/{name}"
+            df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+            written.append(path)
+    finally:
+        for df in loads:
+            df.unpersist()
     return written
