@@ -246,6 +246,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "item_count": lambda s, d: kpi.item_count(source(s, d)),
         "sales_by_branch": lambda s, d: kpi.sales_by_branch(source(s, d)),
         "status_histogram": lambda s, d: kpi.status_histogram(source(s, d)),
+        "branch_listing": lambda s, d: kpi.branch_listing(source(s, d)),
         # warehouse tables after the full load
         "dim_date": _dims_query("dim_date", ["date", "year", "month", "day", "quarter", "weekday", "month_name"]),
         "dim_branch": _dims_query("dim_branch", ["branch_id", "name", "city", "uf", "active", "updated_at"]),
@@ -704,6 +705,9 @@ FROM op_sale s LEFT JOIN (SELECT sale_id, SUM(qty * price_c - disc_c) AS amount_
   ON ps.sale_id = s.sale_id
 JOIN op_branch b ON b.branch_id = s.branch_id GROUP BY b.name ORDER BY revenue DESC NULLS LAST, branch""",
         "status_histogram": _with(_op_cte()) + "SELECT status, COUNT(*) AS n FROM op_sale GROUP BY status",
+        "branch_listing": _with(_op_cte()) + """SELECT CAST(branch_id AS BIGINT) AS branch_id, name, city, uf, active,
+       CAST(created_at AS VARCHAR) AS created_at, CAST(updated_at AS VARCHAR) AS updated_at
+FROM op_branch ORDER BY branch_id""",
         "dim_date": _with(_op_cte()) + """SELECT CAST(d AS VARCHAR) AS date, CAST(year(d) AS BIGINT) AS year,
        CAST(month(d) AS BIGINT) AS month, CAST(day(d) AS BIGINT) AS day, CAST(quarter(d) AS BIGINT) AS quarter,
        CAST(isodow(d) AS BIGINT) AS weekday, monthname(d) AS month_name

@@ -122,6 +122,11 @@ def status_histogram(op: OpTables) -> DataFrame:
     return op.sale.groupBy("status").agg(F.count(F.lit(1)).alias("n")).orderBy("status")
 
 
+def branch_listing(op: OpTables) -> DataFrame:
+    """All branches ordered by id (the seed's quick check)."""
+    return op.branch.orderBy("branch_id")
+
+
 def sale_month_of(d: dt.date) -> int:
     return _ym(d)
 
