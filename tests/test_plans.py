@@ -34,3 +34,31 @@ def test_kpi_plans(spark, scratch, sf001_op):
     assert "loaded_at" not in scan and "customer_sk" not in scan
     # missing-items list is a distributed top-k, not a global sort
     assert "TakeOrderedAndProject" in _formatted(validate.missing_items(sf001_op, dw))
+
+
+def test_cluster_like_plan_shapes(spark, sf001_op, sf001_dw):
+    """With automatic broadcast off (as for large tables), check shuffle shapes."""
+    from tillhouse.plans import etl
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dw = sf001_dw
+        fact = etl.fact_source(sf001_op, dw, dt.datetime(1990, 1, 1), dt.datetime(2002, 1, 1))
+        plans = {
+            "fact": _formatted(fact),
+            "daily": _formatted(kpi.kpi_daily_branch(dw)),
+            "monthly": _formatted(kpi.kpi_monthly_branch_category(dw)),
+            "suite": _formatted(validate.verdict(sf001_op, dw)),
+        }
+        for name, text in plans.items():
+            assert "EvalPython" not in text, name               # no Python UDFs
+            if name != "suite":  # the suite's global aggregates gather one partial row per task
+                assert "SinglePartition" not in text, name      # no global sort / window over data
+        # the fact load shuffles items once on sale_id (one exchange per join side)
+        assert plans["fact"].count("hashpartitioning(sale_id") == 2
+        # date and branch lookups stay broadcast (size-checked), even with auto-broadcast off
+        assert plans["daily"].split("\n\n")[0].count("BroadcastExchange") == 2
+        assert "TakeOrderedAndProject" in _formatted(validate.surplus_items(sf001_op, dw))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -21,7 +21,6 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillhouse import schemas as S
@@ -59,7 +58,3 @@ def start(spark: SparkSession, store: WarehouseStore, op: OpTables, folder: str,
               .foreachBatch(each).option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
-
-
-def latest_sale_time(batch: DataFrame):
-    return batch.agg(F.max("updated_at")).first()[0]
