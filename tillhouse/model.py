@@ -30,8 +30,13 @@ def literal_rows(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
 
 
 def empty(spark: SparkSession, schema) -> DataFrame:
-    """An empty frame of ``schema``, built JVM-side."""
-    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """An empty frame of ``schema``, built JVM-side.
+
+    Written as a filter that is always false, so the optimizer turns it into
+    an empty relation and prunes joins and unions against it.
+    """
+    cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).select(*cols).where(F.lit(False))
 
 
 @dataclass(frozen=True)

@@ -46,7 +46,9 @@ def assign_surrogate_keys(new_rows: DataFrame, order_cols: list[str], sk: str, b
     """
     spark = new_rows.sparkSession
     n_buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = new_rows.withColumn(_BUCKET, F.pmod(F.xxhash64(*order_cols), F.lit(n_buckets)).cast("int"))
+    # One exchange by bucket, shared by the per-bucket counts and the numbering.
+    tagged = (new_rows.withColumn(_BUCKET, F.pmod(F.xxhash64(*order_cols), F.lit(n_buckets)).cast("int"))
+              .repartition(n_buckets, _BUCKET))
     running = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (tagged.groupBy(_BUCKET).count()
                .select(_BUCKET, F.coalesce(F.sum("count").over(running), F.lit(0)).alias(_OFFSET)))

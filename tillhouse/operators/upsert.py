@@ -40,8 +40,10 @@ def upsert_scd1(target: DataFrame, source: DataFrame, key: str, sk: str, sk_type
     matched source rows  -> source attributes, target surrogate key kept
     new source rows      -> new surrogate keys (max + rank by natural key)
     target-only rows     -> kept unchanged
+
+    ``source`` must be unique on ``key`` (its primary key; ``quality.duplicate_keys``
+    checks it) - an upsert cannot update the same target row twice.
     """
-    source = source.dropDuplicates([key])
     matched = source.join(target.select(key, sk), key, "inner")
     new = source.join(target.select(key), key, "left_anti")
     new = assign_surrogate_keys(new, [key], sk, max_key_of(target, sk), sk_type)
