@@ -29,8 +29,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from tillhouse.functions.dates import ntz  # noqa: E402
 from tillhouse import schemas as S  # noqa: E402
+from tillhouse.functions.dates import ntz  # noqa: E402
 from tillhouse.model import OpTables  # noqa: E402
 from tillhouse.operators import quality  # noqa: E402
 from tillhouse.plans import kpi, reports, validate  # noqa: E402
@@ -123,8 +123,8 @@ def main() -> None:
     verdict = timed("checks_verdict", lambda: validate.run_checks(op, dw)[1])
     timed("check_missing_items", lambda: validate.missing_items(op, dw).collect())
     timed("check_surplus_items", lambda: validate.surplus_items(op, dw).collect())
-    timed("dq_all", lambda: [quality.domain_violations(op, dw).collect(), quality.null_violations(op, dw).collect(),
-                             quality.duplicate_keys(op, dw).collect(), quality.orphans(op, dw).collect()])
+    timed("dq_all", lambda: [quality.row_rules(op, dw).collect(), quality.duplicate_keys(op, dw).collect(),
+                             quality.orphans(op, dw).collect()])
     if not all(r["passed"] for r in verdict):
         print(f"warning: reconciliation failed: {verdict}", file=sys.stderr)
 

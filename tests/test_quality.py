@@ -10,6 +10,17 @@ def _bad(df):
     return {(r["table"], r["rule"]): r["n_bad"] for r in df.collect() if r["n_bad"]}
 
 
+def test_row_rules_combine_both(sf001_op, sf001_dw):
+    combined = {(r["table"], r["rule"]) for r in quality.row_rules(sf001_op, sf001_dw).collect()}
+    separate = {(r["table"], r["rule"]) for r in quality.domain_violations(sf001_op, sf001_dw)
+                .unionByName(quality.null_violations(sf001_op, sf001_dw)).collect()}
+    assert combined == separate
+    nulls = sf001_op.sale.withColumn("status", F.when(F.col("sale_id") < 10, F.lit(None))
+                                     .otherwise(F.col("status")))
+    bad = _bad(quality.row_rules(sf001_op.with_(sale=nulls)))
+    assert bad == {("sale", "status not null"): 10, ("sale", "status in domain"): 10}
+
+
 def test_clean_tables(sf001_op, sf001_dw):
     assert _bad(quality.domain_violations(sf001_op, sf001_dw)) == {}
     assert _bad(quality.null_violations(sf001_op, sf001_dw)) == {}

@@ -106,8 +106,7 @@ def cmd_quality(a) -> int:
     spark = _session()
     op, dw = read_op_parquet(spark, a.op), WarehouseStore(a.warehouse).read(spark)
     bad = 0
-    for df in (quality.domain_violations(op, dw), quality.null_violations(op, dw),
-               quality.duplicate_keys(op, dw), quality.orphans(op, dw)):
+    for df in (quality.row_rules(op, dw), quality.duplicate_keys(op, dw), quality.orphans(op, dw)):
         for r in df.filter("n_bad > 0").collect():
             bad += 1
             print(f"FAIL {r['table']}: {r['rule']} ({r['n_bad']} rows)")

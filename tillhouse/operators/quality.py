@@ -6,10 +6,13 @@ violation count:
 
 * ``domain_violations``   CHECK rules, one aggregate pass per table
 * ``null_violations``     NOT NULL columns, one aggregate pass per table
+* ``row_rules``           both of the above in one pass per table (the quality job)
 * ``duplicate_keys``      primary / unique keys: keys seen more than once
 * ``orphans``             foreign keys (and the sale -> item cascade) via anti joins
 
-Each returns a long frame ``(table, rule, n_bad)``.
+Each returns a long frame ``(table, rule, n_bad)``.  Key and orphan counts
+aggregate map-side before their shuffle, so a hot duplicated key or a hot
+missing parent reduces to one partial row per task.
 """
 
 from __future__ import annotations
@@ -80,6 +83,20 @@ def null_violations(op: OpTables, dw: DwTables | None = None) -> DataFrame:
     return _union(frames)
 
 
+def row_rules(op: OpTables, dw: DwTables | None = None) -> DataFrame:
+    """NOT NULL and CHECK rules together: one aggregate pass per table."""
+    rules: dict[str, tuple[DataFrame, dict[str, Column]]] = {}
+    tables = [(n, getattr(op, n), S.OP_SCHEMAS[n]) for n in S.OP_SCHEMAS]
+    if dw is not None:
+        tables += [(n, getattr(dw, n), S.DW_SCHEMAS[n]) for n in S.DW_SCHEMAS]
+    for name, df, schema in tables:
+        rules[name] = (df, {f"{c} not null": F.col(c).isNotNull() for c in _not_null_columns(schema)})
+    specs = domain_rules_op(op) + (domain_rules_dw(dw) if dw is not None else [])
+    for name, df, checks in specs:
+        rules[name][1].update(checks)
+    return _union([_long(name, df, r) for name, (df, r) in rules.items()])
+
+
 # Primary / unique keys of the model.
 KEYS = {
     "branch": ["branch_id"], "customer": ["customer_id"], "product": ["product_id"], "product.sku": ["sku"],
