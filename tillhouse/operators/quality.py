@@ -125,9 +125,15 @@ def duplicate_keys(op: OpTables, dw: DwTables | None = None) -> DataFrame:
 
 
 def _orphan_count(table: str, rule: str, child: DataFrame, parent: DataFrame, ckey: str, pkey: str) -> DataFrame:
-    c = child.select(F.col(ckey).alias("_k")).filter(F.col("_k").isNotNull())
+    """Child rows whose (non-NULL) reference has no parent row.
+
+    Child keys are counted first (map-side partial aggregation), so a hot
+    reference reaches the anti join as one row per key.
+    """
+    c = (child.select(F.col(ckey).alias("_k")).filter(F.col("_k").isNotNull())
+         .groupBy("_k").agg(F.count(F.lit(1)).alias("_n")))
     p = parent.select(F.col(pkey).alias("_k"))
-    return c.join(p, "_k", "left_anti").agg(F.count(F.lit(1)).cast("long").alias("n_bad")).select(
+    return c.join(p, "_k", "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n_bad")).select(
         F.lit(table).alias("table"), F.lit(rule).alias("rule"), "n_bad")
 
 
