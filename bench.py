@@ -46,7 +46,7 @@ REPORT_AS_OF, REPORT_DAYS = dt.date(2001, 8, 1), 365
 
 def session(cpus: str, scratch: str) -> SparkSession:
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("tillhouse-bench")
-             .config("spark.sql.shuffle.partitions", str(max(8, 2 * int(cpus))))
+             .config("spark.sql.shuffle.partitions", os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, 2 * int(cpus)))))
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")

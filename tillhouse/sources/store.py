@@ -24,6 +24,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +43,10 @@ COMMITS = T.StructType([
 ])
 
 
+def _missing_path(e: AnalysisException) -> bool:
+    return "PATH_NOT_FOUND" in str(getattr(e, "getCondition", lambda: "")() or "") or "does not exist" in str(e)
+
+
 def checkpoint_stage(name: str, df: DataFrame) -> DataFrame:
     """ETL stage that cuts lineage with a reliable checkpoint (shared folder)."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -72,8 +77,10 @@ class WarehouseStore:
     def versions(self, spark: SparkSession) -> list[int]:
         try:
             rows = spark.read.schema(COMMITS).parquet(self._path("_commits")).select("version").collect()
-        except Exception:  # no commit yet
-            return []
+        except AnalysisException as e:
+            if _missing_path(e):  # no commit yet
+                return []
+            raise
         return sorted(int(r[0]) for r in rows)
 
     def _read_table(self, spark: SparkSession, name: str, version: int) -> DataFrame:
@@ -83,8 +90,10 @@ class WarehouseStore:
     def read_fact(self, spark: SparkSession) -> DataFrame:
         try:
             df = spark.read.schema(S.FACT_SALE_ITEM).parquet(self._path(FACT))
-        except Exception:  # not written yet
-            return empty(spark, S.FACT_SALE_ITEM)
+        except AnalysisException as e:
+            if _missing_path(e):  # not written yet
+                return empty(spark, S.FACT_SALE_ITEM)
+            raise
         return conform(df, S.FACT_SALE_ITEM)
 
     def read(self, spark: SparkSession, version: int | None = None) -> DwTables:
