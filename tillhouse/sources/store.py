@@ -2,21 +2,23 @@
 
 Layout under ``root``::
 
-    <table>/v=<N>/                     control row and dimensions, one folder per version
-    fact_sale_item/sale_month=<yyyymm>/ the fact, one table partitioned by sale month
-    _commits/                          one row per published version
-
-A run writes new dimension versions first, then upserts the fact, then
-writes the control row and appends the commit row; readers take the largest
-committed version of the small tables.
-
-The fact is never copied whole: a run rewrites only the month partitions
-that hold source rows or older rows of the same items (dynamic partition
-overwrite), after staging the new content of those months in a reliable
-checkpoint, so the job never overwrites a path it is reading.  Recovery is a
-rerun: the mark only moves with the commit, the fact load is a keyed upsert
-and surrogate keys are a pure function of the new natural keys, so a rerun
-after a failure rewrites the same months with the same rows.
+    <table>/v=<N>/                               control row and dimensions, one folder per version
+    fact_sale_item/sale_month=<yyyymm>/fv=<N>/   fact rows of one month as written by load N
+    fact_manifest/v=<N>/                         (sale_month, fv): the month folders of version N
+    _commits/                                    one row per published version
+
+A load writes new dimension versions first, then the fact months it touches
+as new ``fv=N`` partitions, then the manifest of version N (months it did not
+touch keep pointing at older ``fv`` folders), the control row, and finally
+appends the commit row.  Readers take a committed version and read exactly
+the month folders its manifest lists, so a reader never sees half a load,
+older versions stay readable, and no job ever overwrites a folder somebody
+reads.  An incremental load costs O(touched months), not O(fact).
+
+Recovery is a rerun: the mark moves only with the commit, the fact load is a
+keyed upsert, and surrogate keys are a pure function of the new natural keys,
+so a rerun writes the same rows (replacing its own uncommitted ``fv=N``
+folders); folders of a failed attempt that no manifest lists are never read.
 """
 
 from __future__ import annotations
@@ -36,6 +38,12 @@ from tillhouse.plans.etl import EtlRun, run_etl
 from tillhouse.session import ensure_checkpoint_dir
 
 FACT = "fact_sale_item"
+MANIFEST = "fact_manifest"
+FACT_VERSION = "fv"
+MANIFEST_SCHEMA = T.StructType([
+    T.StructField("sale_month", T.IntegerType(), False),
+    T.StructField(FACT_VERSION, T.LongType(), False),
+])
 COMMITS = T.StructType([
     T.StructField("version", T.LongType(), False),
     T.StructField("as_of", S.NTZ, False),
@@ -87,17 +95,30 @@ class WarehouseStore:
         schema = S.DW_SCHEMAS[name]
         return conform(spark.read.schema(schema).parquet(self._path(name, f"v={version}")), schema)
 
-    def read_fact(self, spark: SparkSession) -> DataFrame:
+    def manifest(self, spark: SparkSession, version: int) -> DataFrame:
         try:
-            df = spark.read.schema(S.FACT_SALE_ITEM).parquet(self._path(FACT))
+            return spark.read.schema(MANIFEST_SCHEMA).parquet(self._path(MANIFEST, f"v={version}"))
         except AnalysisException as e:
-            if _missing_path(e):  # not written yet
-                return empty(spark, S.FACT_SALE_ITEM)
+            if _missing_path(e):
+                return empty(spark, MANIFEST_SCHEMA)
             raise
+
+    def _fact_from(self, spark: SparkSession, entries: list[tuple[int, int]]) -> DataFrame:
+        """Fact rows of the given (month, fact version) folders."""
+        if not entries:
+            return empty(spark, S.FACT_SALE_ITEM)
+        paths = [self._path(FACT, f"sale_month={m}", f"{FACT_VERSION}={v}") for m, v in sorted(entries)]
+        schema = T.StructType(S.FACT_SALE_ITEM.fields + [T.StructField(FACT_VERSION, T.LongType())])
+        df = spark.read.schema(schema).option("basePath", self._path(FACT)).parquet(*paths)
         return conform(df, S.FACT_SALE_ITEM)
 
+    def read_fact(self, spark: SparkSession, version: int) -> DataFrame:
+        """The fact of a version: the month folders its manifest lists (bounded by the calendar)."""
+        rows = self.manifest(spark, version).collect()
+        return self._fact_from(spark, [(r["sale_month"], r[FACT_VERSION]) for r in rows])
+
     def read(self, spark: SparkSession, version: int | None = None) -> DwTables:
-        """Small tables of a committed version (latest by default) and the fact."""
+        """All tables of a committed version (latest by default)."""
         vs = self.versions(spark)
         if not vs:
             return DwTables.empty(spark)
@@ -105,41 +126,45 @@ class WarehouseStore:
         if v not in vs:
             raise ValueError(f"version {v} is not committed")
         tables = {name: self._read_table(spark, name, v) for name in S.DW_SCHEMAS if name != FACT}
-        return DwTables(**tables, fact_sale_item=self.read_fact(spark))
+        return DwTables(**tables, fact_sale_item=self.read_fact(spark, v))
 
     # --- writing --------------------------------------------------------
 
     def write_table(self, name: str, df: DataFrame, version: int) -> None:
         df.write.mode("overwrite").parquet(self._path(name, f"v={version}"))
 
-    def merge_fact(self, target: DataFrame, source: DataFrame) -> DataFrame:
-        """Upsert ``source`` into the stored fact, rewriting only touched months.
+    def merge_fact(self, target: DataFrame, source: DataFrame, previous: list[tuple[int, int]],
+                   version: int) -> tuple[DataFrame, list[tuple[int, int]]]:
+        """Upsert ``source`` into the fact of ``previous`` (month, fv) folders.
 
         Touched months: months of the source rows, plus months of stored rows
         whose item id is in the source (an item moves when its sale date
         changes).  The moved-item lookup reads one column of the fact and is
         bounded by the source's item-id range: month files are written sorted
         by item id, so the pushed-down range filter skips every row group
-        outside it.  The rewrite reads only the touched months (partition
-        filter).  The month list is bounded by the calendar.
+        outside it.  The touched months are rewritten as ``fv=version``
+        folders (dynamic partition overwrite replaces only those, e.g. the
+        leftovers of a failed attempt); the others are carried over by
+        reference in the returned manifest.
         """
         spark = source.sparkSession
         ensure_checkpoint_dir(spark)
         src = source.checkpoint(eager=True)
         lo, hi = src.agg(F.min("item_id"), F.max("item_id")).first()
         if lo is None:  # nothing to load
-            return self.read_fact(spark)
+            return target, previous
         ids = src.select("item_id")
         moved = (target.filter(F.col("item_id").between(lo, hi))
                  .join(ids, "item_id", "left_semi").select("sale_month"))
         months = sorted(r[0] for r in src.select("sale_month").union(moved).distinct().collect())
         part = target.filter(F.col("sale_month").isin(months))
-        new = (upsert_by_key(part, src, "item_id").hint("rebalance", "sale_month")
-               .sortWithinPartitions("sale_month", "item_id")
-               .checkpoint(eager=True))
+        new = (upsert_by_key(part, src, "item_id").withColumn(FACT_VERSION, F.lit(version).cast("long"))
+               .hint("rebalance", "sale_month").sortWithinPartitions("sale_month", "item_id"))
         (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("sale_month").parquet(self._path(FACT)))
-        return self.read_fact(spark)
+         .partitionBy("sale_month", FACT_VERSION).parquet(self._path(FACT)))
+        touched = set(months)
+        entries = [(m, v) for m, v in previous if m not in touched] + [(m, version) for m in months]
+        return self._fact_from(spark, entries), entries
 
     def commit(self, spark: SparkSession, version: int, as_of: dt.datetime, loaded: bool) -> None:
         row = literal_rows(spark, [(version, as_of, loaded)], COMMITS)
@@ -156,20 +181,29 @@ class WarehouseStore:
         vs = self.versions(spark)
         version = (vs[-1] if vs else 0) + 1
         current = self.read(spark)
+        previous = ([(r["sale_month"], r[FACT_VERSION]) for r in self.manifest(spark, vs[-1]).collect()]
+                    if vs else [])
         written: set[str] = {FACT}
+        manifest: list[list[tuple[int, int]]] = [previous]
 
         def stage(name: str, df: DataFrame) -> DataFrame:
             self.write_table(name, df, version)
             written.add(name)
             return self._read_table(spark, name, version)
 
-        result = run_etl(op, current, as_of, initial_mark=initial_mark, stage=stage, merge_fact=self.merge_fact,
+        def merge(target: DataFrame, source: DataFrame) -> DataFrame:
+            fact, manifest[0] = self.merge_fact(target, source, previous, version)
+            return fact
+
+        result = run_etl(op, current, as_of, initial_mark=initial_mark, stage=stage, merge_fact=merge,
                          since=since)
         if not result.loaded and vs:
             return EtlRun(current, result.last_run, None, as_of)
         for name, df in result.dw.items():
             if name not in written:  # carried over unchanged (or first, empty version)
                 self.write_table(name, df, version)
+        literal_rows(spark, manifest[0], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+            self._path(MANIFEST, f"v={version}"))
         self.commit(spark, version, as_of, result.loaded)
         return EtlRun(self.read(spark, version), result.last_run, result.changed, as_of)
 
