@@ -61,11 +61,6 @@ def checkpoint_stage(name: str, df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def persist(dw: DwTables) -> DwTables:
-    """Checkpoint every table (reliable, shared folder) and return the copies."""
-    return DwTables(**{name: checkpoint_stage(name, df) for name, df in dw.items()})
-
-
 def persist_op(op: OpTables) -> OpTables:
     ensure_checkpoint_dir(op.sale.sparkSession)
     return OpTables(branch=op.branch.checkpoint(), customer=op.customer.checkpoint(),
