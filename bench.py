@@ -54,10 +54,11 @@ def session(cpus: str, scratch: str) -> SparkSession:
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.driver.memory", "16g")
-             .config("spark.checkpoint.dir", os.path.join(scratch, "ckpt"))
              .config("spark.local.dir", os.path.join(scratch, "local"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.conf.get("spark.checkpoint.dir", None):  # only where the platform names none
+        spark.conf.set("spark.checkpoint.dir", os.path.join(scratch, "ckpt"))
     ensure_checkpoint_dir(spark)
     return spark
 

@@ -22,10 +22,11 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.checkpoint.dir", os.path.join(scratch, "ckpt"))
          .config("spark.local.dir", os.path.join(scratch, "local"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
+    if not s.conf.get("spark.checkpoint.dir", None):  # set our own only where none is configured
+        s.conf.set("spark.checkpoint.dir", os.path.join(scratch, "ckpt"))
     ensure_checkpoint_dir(s)
     yield s
     s.stop()
@@ -33,9 +34,8 @@ def spark():
 
 @pytest.fixture(scope="session")
 def scratch(spark):
-    from tillhouse.session import ensure_checkpoint_dir
-
-    return os.path.dirname(ensure_checkpoint_dir(spark).rstrip("/").replace("file:", ""))
+    """A new scratch folder for tables the tests write."""
+    return tempfile.mkdtemp(prefix="tillhouse-scratch-")
 
 
 @pytest.fixture(scope="session")
