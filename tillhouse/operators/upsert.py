@@ -13,7 +13,6 @@ for matched rows and new keys are assigned only to unseen natural keys.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tillhouse.model import conform
 from tillhouse.operators.keys import assign_surrogate_keys, max_key_of
