@@ -40,3 +40,11 @@ def test_injected_violations(sf001_op, sf001_dw):
     nulls = sf001_op.sale.withColumn("status", F.when(F.col("sale_id") < 10, F.lit(None))
                                      .otherwise(F.col("status")))
     assert _bad(quality.null_violations(sf001_op.with_(sale=nulls)))[("sale", "status not null")] == 10
+
+
+def test_duplicate_keys_per_rule(sf001_op):
+    p = sf001_op.product
+    same_sku = p.limit(2).withColumn("product_id", F.col("product_id") + 1_000_000)
+    same_row = p.limit(1)
+    bad = _bad(quality.duplicate_keys(sf001_op.with_(product=p.unionByName(same_sku).unionByName(same_row))))
+    assert bad == {("product", "unique sku"): 2, ("product", "unique product_id"): 1}

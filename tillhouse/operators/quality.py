@@ -109,18 +109,40 @@ KEYS = {
 }
 
 
+def _grouping_id(all_cols: list[str], key: list[str]) -> int:
+    """grouping_id() of a grouping set: bit set for every column not in it (first column = high bit)."""
+    n = len(all_cols)
+    return sum(1 << (n - 1 - i) for i, c in enumerate(all_cols) if c not in key)
+
+
 def duplicate_keys(op: OpTables, dw: DwTables | None = None) -> DataFrame:
-    """(table, rule, n_bad) with n_bad = number of key values seen more than once."""
-    frames = []
+    """(table, rule, n_bad) with n_bad = number of key values seen more than once.
+
+    The key rules of one table share one shuffle: grouping sets count every
+    key at once (map-side partial counts, so a hot duplicated key reduces to
+    one row per task), then one pass counts the keys seen more than once.
+    """
+    by_table: dict[str, list[list[str]]] = {}
     for name, key in KEYS.items():
-        table = name.split(".")[0]
+        by_table.setdefault(name.split(".")[0], []).append(key)
+    frames = []
+    for table, keys in by_table.items():
         src = op if table in S.OP_SCHEMAS else dw
         if src is None:
             continue
         df = getattr(src, table)
-        dup = df.groupBy(*key).count().filter(F.col("count") > 1)
-        frames.append(dup.agg(F.count(F.lit(1)).cast("long").alias("n_bad")).select(
-            F.lit(table).alias("table"), F.lit("unique " + ", ".join(key)).alias("rule"), "n_bad"))
+        labels = {f"unique {', '.join(k)}": k for k in keys}
+        if len(keys) == 1:
+            dup = df.groupBy(*keys[0]).count().filter(F.col("count") > 1)
+            wide = dup.agg(F.count(F.lit(1)).alias(next(iter(labels))))
+        else:
+            cols = list(dict.fromkeys(c for k in keys for c in k))
+            counts = df.groupingSets([list(k) for k in keys], *cols).agg(
+                F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid"))
+            wide = counts.filter(F.col("_n") > 1).agg(
+                *[F.count_if(F.col("_gid") == _grouping_id(cols, k)).alias(label) for label, k in labels.items()])
+        frames.append(wide.unpivot([], list(labels), "rule", "n_bad").select(
+            F.lit(table).alias("table"), "rule", F.col("n_bad").cast("long").alias("n_bad")))
     return _union(frames)
 
 
