@@ -146,7 +146,8 @@ def fact_source(op: OpTables, dw: DwTables, last_run: dt.datetime, as_of: dt.dat
 
     Join order keeps the wide shuffles small: sale-level lookups (date,
     branch: broadcast after a size check; customer: shuffle on the sale side
-    only) come before the item join on sale id; the product lookup is last.
+    only) come before the item join on sale id; the product lookup is last
+    and is broadcast when the product dimension passes the size check.
     Sales without customer get a salted, never-matching join key: a large
     NULL group spreads over ``NULL_CUSTOMER_SALT`` shuffle keys instead of
     landing in one partition, and the sales are scanned once.
@@ -166,7 +167,7 @@ def fact_source(op: OpTables, dw: DwTables, last_run: dt.datetime, as_of: dt.dat
         "sale_id", "date_sk", "branch_sk", "customer_sk", year_month(F.col("date")).alias("sale_month"))
     items = op.sale_item.select("item_id", "sale_id", "product_id", "qty", "unit_price", "discount")
     f = (s.join(items, "sale_id")
-         .join(dw.dim_product.select("product_id", "product_sk"), "product_id"))
+         .join(checked_broadcast(dw.dim_product.select("product_id", "product_sk")), "product_id"))
     q, p, d = F.col("qty"), F.col("unit_price"), F.col("discount")
     return conform(f.select(
         "date_sk", "branch_sk", "product_sk", "customer_sk", "sale_id", "item_id", "qty",

@@ -71,7 +71,7 @@ def kpi_monthly_branch_category(dw: DwTables, first: tuple[int, int] | None = No
     x = (fact.select("date_sk", "branch_sk", "product_sk", "sale_id", "qty", "net")
          .join(checked_broadcast(dates), "date_sk")
          .join(checked_broadcast(dw.dim_branch.select("branch_sk", F.col("name").alias("branch"))), "branch_sk")
-         .join(dw.dim_product.select("product_sk", "category"), "product_sk"))
+         .join(checked_broadcast(dw.dim_product.select("product_sk", "category")), "product_sk"))
     return x.groupBy("year", "month", "branch", "category").agg(
         sum_money(F.col("net")).alias("net"),
         F.countDistinct("sale_id").alias("n_sales"),
