@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import decontaminate, embeddings, langid, linededup, packing, quality, simhash, toxicity, warc
+from tillhouse.llm import decontaminate, embeddings, langid, linededup, packing, quality, simhash, substrings, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,10 @@ def language(spark: SparkSession, d: str) -> DataFrame:
     return langid.identify(spark, _table(spark, d, "documents"))
 
 
+def repeated_substrings(spark: SparkSession, d: str) -> DataFrame:
+    return substrings.remove_repeats(spark, _table(spark, d, "documents"))
+
+
 def archives(spark: SparkSession, d: str) -> DataFrame:
     rows = warc.archive_pages(spark, _table(spark, d, "pages"))
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": pack,
     "op3_line_dedup": line_dedup,
     "op4_toxicity": toxic,
+    "op5_suffix_array_dedup": repeated_substrings,
     "op6_warc": archives,
     "op7_language_id": language,
     "op8_quality_classifier": quality_grades,
