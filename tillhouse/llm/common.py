@@ -29,6 +29,22 @@ def stage(spark: SparkSession, df: DataFrame, name: str, **options: object) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(spark: SparkSession, df: DataFrame, name: str, column: str) -> DataFrame:
+    """Like ``stage``, with the rows in buckets of ``column``: joins on it then move only their other side."""
+    n, table = int(spark.conf.get("spark.sql.shuffle.partitions")), f"{name}_{uuid.uuid4().hex}"
+    (df.repartition(n, column).write.bucketBy(n, column).sortBy(column)
+     .options(path=shared_dir(spark, name), compression="zstd").saveAsTable(table, format="parquet"))
+    return spark.table(table)
+
+
+def discard(spark: SparkSession, df: DataFrame) -> None:
+    """Delete a staged table that nothing reads any more (all that was made of it is written)."""
+    jvm = spark.sparkContext._jvm
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fold(doc_id: str = "doc_id") -> F.Column:
     """crc32 of the id's text, modulo 5; fold 0 is held out of every training."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5

@@ -7,19 +7,24 @@ matches never cross documents).
 1. Sampled suffixes.  Among the q-gram starts inside each ``length``-byte
    window, the one of smallest hash is the window's anchor, so equal windows
    have equal anchors at equal offsets, and only about one suffix in
-   (length - q) / 2 is kept.  The q-gram's hash is the suffix's first bucket.
+   (length - q) / 2 is kept.  The q-gram's hash is the suffix's first bucket;
+   suffixes alone in it are done: none of their windows repeats.
 2. Refinement.  A suffix's bucket is refined by what stands at later (and
    earlier) offsets: the hash of the whole run of windows that share the
    anchor.  Suffixes in a common refined bucket have all these windows in
-   common: the run is settled at once.  Suffixes alone in their q-gram bucket
-   are settled too: none of their windows repeats.
-3. Last refinement.  What remains - at the edges of repeats - is refined down to
-   single windows: they are hashed and counted, with one representative of
-   each settled run of the same first bucket.
+   common, so the run is settled at once.
+3. Recursion.  What remains open - at the edges of repeats - is cut into groups
+   of GROUP windows by their offset from the anchor and goes through the same
+   step again: first bucket, what all windows of the group have in common;
+   refined bucket, all they cover.  Then, for what is still open, each window is
+   a bucket by itself.  At each level one representative of the settled
+   members of an open first bucket goes on with the open ones.
 4. The windows found are united, the bytes dropped.
 
 Buckets are only counted (partial sums) and joined back, so no bucket's members
-meet in one task.  Bucket names that decide are 128 bits wide.
+meet in one task.  Bucket names that decide are two 64-bit hashes by different
+bases.  Texts are dealt out once, into buckets by document; every later join
+with them moves only the windows' side.
 
 Edge cases: null is empty text; texts shorter than ``length`` lose nothing;
 repeated rows are repeated texts, so they lose what they share; rows without
@@ -37,14 +42,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm.common import Rolling, joined, slices, stage, text_bytes
+from tillhouse.llm.common import Rolling, bucketed, discard, joined, slices, stage, text_bytes
 
 LENGTH = 200
-Q = 64
+Q = 40
+GROUP = 17
 SLICE_BYTES = 1 << 20
 ROLLS = Rolling(0x2545F4914F6CDD1D), Rolling(0xD1342543DE82EF95)
 POSITION_BITS = 28
 
+#: A bucket's members: ``count`` windows of a text from ``first`` on, the anchor ``lead`` bytes later; first and refined bucket.
+MEMBERS = "uid long, first int, count int, lead int, a long, b long"
+
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each run of ``width`` values, from minima that restart every ``width``."""
@@ -57,15 +66,15 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchored_runs(texts: list[bytes], length: int, q: int):
-    """Text, first window, windows, q-gram hash and run hashes of each run of windows with one anchor."""
+    """Text, first window, windows, anchor's lead, q-gram hash and run hash of each run of windows with one anchor."""
     buf, starts = joined(texts, lower=False)
     if len(buf) >= 1 << POSITION_BITS:
         raise ValueError(f"a text of more than {1 << POSITION_BITS} bytes must be split first")
     if len(buf) <= length:
-        return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64, np.uint64))
-    prefixes = [r.prefix(buf) for r in ROLLS]
+        return (*(np.empty(0, np.int64),) * 4, *(np.empty(0, np.uint64),) * 2)
+    near, whole = ROLLS[0].prefix(buf), ROLLS[1].prefix(buf)
     grams = np.arange(len(buf) - q + 1)
-    keys = ROLLS[0].of(prefixes[0], grams, grams + q)
+    keys = ROLLS[0].of(near, grams, grams + q)
     keys = (keys >> np.uint64(POSITION_BITS) << np.uint64(POSITION_BITS)) | grams.astype(np.uint64)     # ties: leftmost
     anchor = (_sliding_min(keys, length - q + 1) & np.uint64((1 << POSITION_BITS) - 1)).astype(np.int64)
     window = np.arange(len(anchor))
@@ -75,41 +84,80 @@ def anchored_runs(texts: list[bytes], length: int, q: int):
     new = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])]) if len(window) else np.empty(0, np.int64)
     first, count = window[new], np.diff(np.r_[new, len(window)])
     at, owner = anchor[new], doc[new]
-    gram = ROLLS[0].of(prefixes[0], at, at + q)
-    offset = (at - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    runs = [r.of(p, first, first + count + length - 1) ^ offset for r, p in zip(ROLLS, prefixes)]
-    return owner, first - starts[owner], count, gram, *runs
+    gram = ROLLS[0].of(near, at, at + q)
+    run = _placed(ROLLS[1].of(whole, first, first + count + length - 1), at - first)
+    return owner, first - starts[owner], count, at - first, gram, run
 
 
-def _runs(length: int, q: int):
-    names = ["uid", "first", "count", "gram", "run1", "run2"]
+def _placed(hashes: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    return hashes ^ (offset.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
 
+def _batch(uid: np.ndarray, first, count, lead, a, b) -> pa.RecordBatch:
+    ints = [pa.array(np.asarray(x).astype(np.int32)) for x in (first, count, lead)]
+    return pa.RecordBatch.from_arrays([pa.array(uid), *ints, pa.array(a.view(np.int64)), pa.array(b.view(np.int64))],
+                                      [c.split()[0] for c in MEMBERS.split(", ")])
+
+
+def _runs(length: int, q: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             uid, texts = b.column(0).to_numpy(), text_bytes(b.column(1))
             for lo, hi in slices(texts, SLICE_BYTES):
-                owner, first, count, *hashes = anchored_runs(texts[lo:hi], length, q)
-                yield pa.RecordBatch.from_arrays([pa.array(uid[lo + owner]), pa.array(first.astype(np.int32)), pa.array(count.astype(np.int32)),
-                                                  *(pa.array(h.view(np.int64)) for h in hashes)], names)
+                owner, *rest = anchored_runs(texts[lo:hi], length, q)
+                yield _batch(uid[lo + owner], *rest)
 
     return run
 
 
-def _windows(length: int):
-    """Rows (uid, text, runs): the hashes of the runs' windows, each window of a text once."""
+def _finer(length: int, group: int):
+    """Rows (uid, text, runs): the runs' groups of windows, or single windows for groups of 1; each of a text once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            uid, texts, lists = b.column(0).to_numpy(), text_bytes(b.column(1)), b.column(2).to_pylist()
-            for k, text in enumerate(texts):
-                buf = np.frombuffer(text, np.uint8)
-                at = np.unique(np.concatenate([np.arange(r["first"], r["first"] + r["count"]) for r in lists[k]]))
-                w = [r.of(r.prefix(buf), at, at + length).view(np.int64) for r in ROLLS]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), uid[k])), pa.array(at.astype(np.int32)), pa.array(w[0]), pa.array(w[1])],
-                                                 ["uid", "first", "w1", "w2"])
+            uid, texts, lists = b.column(0).to_numpy(), text_bytes(b.column(1)), b.column(2)
+            ends, items = lists.offsets.to_numpy(), lists.flatten()
+            runs = np.stack([items.field(k).to_numpy().astype(np.int64) for k in range(3)], axis=1)
+            for lo, hi in slices(texts, SLICE_BYTES):
+                buf, starts = joined(texts[lo:hi], lower=False)
+                part, doc = runs[ends[lo] - ends[0]:ends[hi] - ends[0]], np.repeat(np.arange(hi - lo), np.diff(ends[lo:hi + 1]))
+                first, count, lead = part.T
+                near, whole = ROLLS[0].prefix(buf), ROLLS[1].prefix(buf)
+                n = np.repeat(np.arange(len(part)), count)
+                at = np.arange(len(n)) - np.repeat(np.cumsum(count) - count, count)        # the window's place in its run
+                before = lead[n] - at                       # from the window's first byte to the anchor
+                g = before // group
+                new = np.flatnonzero(np.r_[True, (n[1:] != n[:-1]) | (g[1:] != g[:-1])]) if len(n) else np.empty(0, np.int64)
+                size = np.diff(np.r_[new, len(n)])
+                n, s, before, g = n[new], first[n[new]] + at[new], before[new], g[new]
+                here = starts[doc[n]] + s
+                anchor = here + before
+                core = _placed(ROLLS[0].of(near, anchor - g * group, anchor + length - (g + 1) * group + 1), g)
+                hull = _placed(ROLLS[1].of(whole, here, here + size + length - 1), before)
+                if group == 1:      # windows are compared whatever their anchor
+                    core, hull = ROLLS[0].of(near, here, here + length), ROLLS[1].of(whole, here, here + length)
+                    keep = np.unique(here, return_index=True)[1]
+                    n, s, size, before, core, hull = (x[keep] for x in (n, s, size, before, core, hull))
+                yield _batch(uid[lo + doc[n]], s, size, before, core, hull)
 
     return run
 
 
+def refine(spark: SparkSession, members: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Settled members (their refined bucket a, b has others) and those to look at closer: open ones (only the first bucket
+    a has others), with one settled member of each refined bucket in an open first bucket."""
+    shared = members.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
+    alive = stage(spark, members.join(shared, "a", "left_semi"), name)
+    discard(spark, members)
+    equal = alive.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1")
+    parts = stage(spark, alive.join(equal, ["a", "b"], "left").select("uid", "first", "count", "lead", "a", "b",
+                                                                     F.col("n").isNotNull().alias("settled")), name)
+    discard(spark, alive)
+    settled, open_ = parts.where("settled"), parts.where("not settled")
+    stand_in = (settled.join(open_.select("a").distinct(), "a", "left_semi").groupBy("a", "b")
+                .agg(F.min(F.struct("uid", "first", "count", "lead")).alias("r")).select("r.*"))
+    return settled.select("uid", "first", "count"), open_.select("uid", "first", "count", "lead").unionByName(stand_in)
+
+
 def _removed(length: int, keep_text: bool):
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * keep_text
 
@@ -139,27 +187,21 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, q
     if not 8 <= q < length:
         raise ValueError("q must be at least 8 and below length")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    texts = stage(spark, rows.withColumn("uid", F.monotonically_increasing_id()), "texts")
-    runs = stage(spark, texts.select("uid", "text").mapInArrow(
-        _runs(length, q), "uid long, first int, count int, gram long, run1 long, run2 long"), "runs")
-
-    again = runs.groupBy("run1", "run2").agg(F.count("*").alias("n")).where("n > 1").select("run1", "run2")
-    settled = stage(spark, runs.join(again, ["run1", "run2"], "left_semi"), "settled-runs")
-    open_runs = runs.join(again, ["run1", "run2"], "left_anti")
-    grams = runs.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    open_runs = stage(spark, open_runs.join(grams, "gram", "left_semi").select("uid", "first", "count", "gram"), "open-runs")
-    # One run stands for all settled runs like it, where its first bucket still holds open runs.
-    for_open = open_runs.select("gram").distinct()
-    stand_in = (settled.groupBy("run1", "run2", "gram").agg(F.min(F.struct("uid", "first", "count")).alias("r"))
-                .join(for_open, "gram", "left_semi").select("r.uid", "r.first", "r.count"))
-    asked = open_runs.select("uid", "first", "count").unionByName(stand_in)
-    asked = asked.groupBy("uid").agg(F.collect_list(F.struct("first", "count")).alias("runs"))
-    windows = stage(spark, texts.select("uid", "text").join(asked, "uid").mapInArrow(
-        _windows(length), "uid long, first int, w1 long, w2 long"), "windows")
-    found = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
-    found = windows.join(found, ["w1", "w2"], "left_semi").select("uid", "first", F.lit(1).alias("count"))
-
-    marks = settled.select("uid", "first", "count").unionByName(found)
+    texts = bucketed(spark, rows.withColumn("uid", F.monotonically_increasing_id()), "texts", "uid")
+
+    def finer(asked: DataFrame, group: int) -> DataFrame:
+        lists = asked.groupBy("uid").agg(F.collect_list(F.struct("first", "count", "lead")).alias("runs"))
+        members = texts.select("uid", "text").join(lists, "uid").mapInArrow(_finer(length, group), MEMBERS)
+        return stage(spark, members, f"groups-of-{group}")
+
+    members = stage(spark, texts.select("uid", "text").mapInArrow(_runs(length, q), MEMBERS), "runs")
+    found, asked = refine(spark, members, "run-buckets")
+    inside, asked = refine(spark, finer(asked, GROUP), "group-buckets")
+    windows = finer(asked, 1)
+    equal = windows.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b")
+    single = windows.join(equal, ["a", "b"], "left_semi").select("uid", "first", "count")
+
+    marks = found.unionByName(inside).unionByName(single)
     marks = stage(spark, marks.groupBy("uid").agg(F.collect_list(F.struct("first", "count")).alias("runs")), "marks")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
     return texts.join(marks, "uid", "left").select("doc_id", "text", "runs").mapInArrow(_removed(length, keep_text), schema)
