@@ -153,8 +153,8 @@ def refine(spark: SparkSession, members: DataFrame, name: str) -> tuple[DataFram
                                                                      F.col("n").isNotNull().alias("settled")), name)
     discard(spark, alive)
     settled, open_ = parts.where("settled"), parts.where("not settled")
-    stand_in = (settled.join(open_.select("a").distinct(), "a", "left_semi").groupBy("a", "b")
-                .agg(F.min(F.struct("uid", "first", "count", "lead")).alias("r")).select("r.*"))
+    stand_in = settled.groupBy("a", "b").agg(F.min(F.struct("uid", "first", "count", "lead")).alias("r"))
+    stand_in = stand_in.join(open_.select("a").distinct(), "a", "left_semi").select("r.*")     # last, so that skew can be split
     return settled.select("uid", "first", "count"), open_.select("uid", "first", "count", "lead").unionByName(stand_in)
 
 
