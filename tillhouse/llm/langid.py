@@ -55,7 +55,8 @@ def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     have = picked.select("lang").distinct()
     longer = labelled.join(F.broadcast(have), "lang", "left_anti")       # a language with long texts only
     picked = picked.unionByName(sample_ids(longer.select("lang", "h"), ["lang"], 4))
-    texts = labelled.join(picked, ["lang", "h"], "left_semi").select("lang", "h", "text").dropDuplicates(["lang", "h"])
+    texts = labelled.join(F.broadcast(picked), ["lang", "h"], "left_semi")     # at most ``rows`` a language
+    texts = texts.select("lang", "h", "text").dropDuplicates(["lang", "h"])
     out: dict[str, bytes] = {}
     for r in sorted(texts.collect(), key=lambda r: (r["lang"], r["h"])):    # bounded by rows * row_bytes a language
         held = out.get(r["lang"], b"")

@@ -19,6 +19,9 @@ Skew: (line, document) pairs are made distinct first, which spreads a hot line
 over all tasks; counts then have partial sums; a leaf's token votes are sums
 over (leaf, position, token).  No line's or leaf's rows are collected.
 
+Texts are dealt out once, into buckets by row; the lines that vote and the
+final joins move only positions.
+
 Edge cases: null and empty texts have no lines and stay as they are; documents
 without id are one document; rows that repeat an id count once and lose the
 same lines; an empty table gives an empty result; other columns pass through.
@@ -29,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm.common import stage
+from tillhouse.llm.common import bucketed, stage
 
 LEAD = 3
 MIN_DOCS = 3
@@ -37,44 +40,48 @@ SIMILARITY = 0.8
 FIELD = "<*>"
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows (doc_id, key, pos, line, masked): key tells apart rows that share an id; pos counts all lines from 0."""
-    text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("key"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
-    rows = rows.select("doc_id", "key", "pos", F.trim("line").alias("line")).where("line <> ''")
-    return rows.withColumn("masked", F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", "[^ 0-9]*[0-9][^ ]*", FIELD))
-                           .otherwise(F.col("line")))
+def _masked(line: Column) -> Column:
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, "[^ 0-9]*[0-9][^ ]*", FIELD)).otherwise(line)
+
 
+def _split(text_col: str) -> Column:
+    return F.split(F.col(text_col).cast("string"), "\n")
 
-def _parsed(lines: DataFrame) -> DataFrame:
-    """Adds n (tokens), leaf and line_id."""
+
+def _occurrences(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows (uid, doc_id, pos, line_id, leaf) of lines that are not blank; pos counts all lines from 0."""
+    lines = rows.select(F.col("__uid").alias("uid"), F.col(id_col).alias("doc_id"), F.posexplode(_split(text_col)).alias("pos", "line"))
+    lines = lines.select("uid", "doc_id", "pos", F.trim("line").alias("line")).where("line <> ''")
+    lines = lines.select("uid", "doc_id", "pos", _masked(F.col("line")).alias("masked"))
     n = F.length("masked") - F.length(F.replace(F.col("masked"), F.lit(" "), F.lit(""))) + 1
-    leaf = F.xxhash64(F.lit("leaf"), n, F.substring_index("masked", " ", LEAD))
-    return lines.select("doc_id", "key", "pos", "masked", n.alias("n"), leaf.alias("leaf"),
-                        F.xxhash64(F.lit("line"), "masked").alias("line_id"))
+    return lines.select("uid", "doc_id", "pos", F.xxhash64(F.lit("line"), "masked").alias("line_id"),
+                        F.xxhash64(F.lit("leaf"), n, F.substring_index("masked", " ", LEAD)).alias("leaf"))
 
 
-def recurring_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+def recurring_lines(spark: SparkSession, rows: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(occurrences, recurring line_ids with template, n_docs and first_doc, templates as text)."""
-    parsed = _parsed(_lines(docs, id_col, text_col))
-    occurs = stage(spark, parsed.drop("masked"), "lines")
-    pairs = occurs.select("line_id", "leaf", "doc_id").distinct()
-    lines = stage(spark, pairs.groupBy("line_id", "leaf").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc")), "line-counts")
+    """From rows with __uid: (occurrences, recurring line_ids with template, n_docs and first_doc, the leaves' constant tokens)."""
+    occurs = stage(spark, _occurrences(rows, id_col, text_col), "lines")
+    pairs = occurs.groupBy("line_id", "leaf", "doc_id").agg(F.min(F.struct("uid", "pos")).alias("at"))
+    lines = stage(spark, pairs.groupBy("line_id", "leaf").agg(
+        F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"), F.min("at").alias("at")), "line-counts")
 
-    # Leaves with several lines vote on each position.
+    # Leaves with several lines vote on each position; a line is read where it stands first.
     shared = lines.groupBy("leaf").agg(F.count("*").alias("n_lines"), F.sum("n_docs").alias("votes"))
-    shared = shared.where((F.col("n_lines") > 1) & (F.col("votes") >= min_docs))
-    texts = parsed.select("line_id", "leaf", "n", "masked").join(shared.select("leaf", "votes"), "leaf")
-    texts = texts.where(F.col("n") > LEAD).groupBy("line_id", "leaf", "n", "votes").agg(F.first("masked").alias("masked"))
-    texts = stage(spark, texts.join(lines.select("line_id", "n_docs"), "line_id"), "leaf-lines")
-    tokens = texts.select("line_id", "leaf", "n", "votes", "n_docs", F.posexplode(F.split("masked", " ")).alias("at", "token"))
-    constant = (tokens.groupBy("leaf", "at", "token").agg(F.sum("n_docs").alias("have"), F.first("votes").alias("votes"))
+    shared = shared.where((F.col("n_lines") > 1) & (F.col("votes") >= min_docs)).select("leaf", "votes")
+    voters = lines.join(shared, "leaf").select("at.uid", "at.pos", "line_id", "leaf", "votes", "n_docs")
+    voters = voters.groupBy("uid").agg(F.collect_list(F.struct("pos", "line_id", "leaf", "votes", "n_docs")).alias("v"))
+    read = rows.select(F.col("__uid").alias("uid"), _split(text_col).alias("lines")).join(voters, "uid")
+    read = read.select("lines", F.explode("v").alias("v")).select(
+        "v.*", F.split(_masked(F.trim(F.element_at("lines", F.col("v.pos") + 1))), " ").alias("tokens"))
+    read = stage(spark, read.where(F.size("tokens") > LEAD).drop("pos"), "leaf-lines")
+    tokens = read.select("line_id", "leaf", F.size("tokens").alias("n"), "votes", "n_docs", F.posexplode("tokens").alias("at", "token"))
+    constant = (tokens.groupBy("leaf", "at", "token").agg(F.sum("n_docs").alias("have"), F.max("votes").alias("votes"))
                 .where(F.col("have") * 2 > F.col("votes")).select("leaf", "at", "token"))
     agree = tokens.join(constant, ["leaf", "at", "token"]).groupBy("line_id", "leaf", "n").agg(F.count("*").alias("same"))
     member = stage(spark, agree.where(F.col("same") >= F.lit(similarity) * F.col("n")).select("line_id", "leaf"), "leaf-members")
 
-    group = member.join(pairs, ["line_id", "leaf"]).select("leaf", "doc_id").distinct()
+    group = occurs.join(member.select("line_id"), "line_id").select("leaf", "doc_id").distinct()
     group = (group.groupBy("leaf").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
              .where(F.col("n_docs") >= min_docs))
     grouped = member.join(group, "leaf").select("line_id", F.col("leaf").alias("template"), "n_docs", "first_doc")
@@ -84,24 +91,18 @@ def recurring_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     return occurs, recurring, constant
 
 
-def _drops(occurs: DataFrame, recurring: DataFrame) -> DataFrame:
-    hit = occurs.join(recurring, "line_id").where(F.coalesce(F.col("doc_id") != F.col("first_doc"), F.col("first_doc").isNotNull()))
-    return (hit.groupBy("doc_id", "key").agg(F.collect_set("pos").alias("__drops"))
-            .withColumnsRenamed({"doc_id": "__drop_id", "key": "__drop_key"}))
-
-
 def dedup_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 **options: float) -> DataFrame:
     """The rows of ``docs`` with __kept (the text without dropped lines), __n_lines and __n_dropped."""
-    occurs, recurring, _ = recurring_lines(spark, docs, id_col, text_col, **options)
-    drops = stage(spark, _drops(occurs, recurring), "line-drops")
-    text = F.col(text_col).cast("string")
-    on = F.col(id_col).eqNullSafe(F.col("__drop_id")) & (F.xxhash64(text) == F.col("__drop_key"))
-    rows = docs.join(drops, on, "left").drop("__drop_id", "__drop_key")
-    kept = F.array_join(F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains("__drops", i)), "\n")
-    return rows.withColumns({
-        "__kept": F.when(F.col("__drops").isNull(), text).otherwise(kept),
-        "__n_lines": F.coalesce(F.size(F.filter(F.split(text, "\n"), lambda line: F.trim(line) != "")), F.lit(0)).cast("long"),
+    rows = bucketed(spark, docs.withColumn("__uid", F.monotonically_increasing_id()), "lined_texts", "__uid")
+    occurs, recurring, _ = recurring_lines(spark, rows, id_col, text_col, **options)
+    hit = occurs.join(recurring, "line_id").where(F.coalesce(F.col("doc_id") != F.col("first_doc"), F.col("first_doc").isNotNull()))
+    drops = stage(spark, hit.groupBy(F.col("uid").alias("__uid")).agg(F.collect_list("pos").alias("__drops")), "line-drops")
+    done = rows.join(drops, "__uid", "left").drop("__uid")
+    kept = F.array_join(F.filter(_split(text_col), lambda line, i: ~F.array_contains("__drops", i)), "\n")
+    return done.withColumns({
+        "__kept": F.when(F.col("__drops").isNull(), F.col(text_col).cast("string")).otherwise(kept),
+        "__n_lines": F.coalesce(F.size(F.filter(_split(text_col), lambda line: F.trim(line) != "")), F.lit(0)).cast("long"),
         "__n_dropped": F.coalesce(F.size("__drops"), F.lit(0)).cast("long"),
     }).drop("__drops")
 

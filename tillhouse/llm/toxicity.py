@@ -248,9 +248,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     if held_out_fold is not None:
         marks = marks.where(fold() != held_out_fold)
     marks = marks.groupBy("doc_id").agg(F.max("label").alias("label")).withColumn("h", F.xxhash64("doc_id"))
-    picked = marks.join(sample_ids(marks, ["label"], rows), ["label", "h"], "left_semi").select("doc_id", "label")
+    picked = marks.join(F.broadcast(sample_ids(marks, ["label"], rows)), ["label", "h"], "left_semi").select("doc_id", "label")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return texts.join(picked, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "label", "text")
+    # The picked rows are at most ``rows`` a label value.
+    return texts.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "label", "text")
 
 
 def learn_insults(sample: DataFrame) -> dict[str, float]:
