@@ -37,12 +37,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillhouse.llm.common import components, merge_labels, stage
 
 COSINE = 0.93
-LISTS = 28
-MAX_SHARE = 0.002
+LISTS = 20
+MAX_SHARE = 0.02
 BUCKET = 2_000
 BLOCK = 4_096
 SEED = 20_240_229
@@ -96,7 +97,8 @@ class Filters:
         return [np.sort(np.array(f, np.int64)) for f in out]
 
 
-def _decoded(vectors: int):
+def _decoded(vectors: int, kind: str):
+    """Rows (cid, vector, filters); vectors are kept as the numpy type ``kind``, that of the table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: dict = {}
         for b in batches:
@@ -110,8 +112,8 @@ def _decoded(vectors: int):
                     x /= np.abs(x).max(axis=1, keepdims=True)
                     for k, f in zip(at, filters.decode(x / np.linalg.norm(x, axis=1, keepdims=True))):
                         lists[k] = f
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in rows], pa.binary()),
-                                              pa.array([f.tolist() for f in lists], pa.list_(pa.int64()))], ["cid", "vector", "filters"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.astype(kind).tobytes() for x in rows], pa.binary()),
+                                              pa.array([f.tolist() for f in lists], pa.list_(pa.int32()))], ["cid", "vector", "filters"])
 
     return run
 
@@ -126,9 +128,9 @@ def _shared_below(lists: list[np.ndarray], f: int, i: np.ndarray, j: np.ndarray)
     return np.concatenate([(packed[i[k:k + 65536]] & packed[j[k:k + 65536]]).any(axis=1) for k in range(0, len(i), 65536)])
 
 
-def _verify(cosine: float):
+def _verify(cosine: float, kind: str):
     def bucket(f, cid, count, vector, lists, part, own):
-        x = np.stack([np.frombuffer(v, np.float64) for v in vector])
+        x = np.stack([np.frombuffer(v, kind) for v in vector]).astype(np.float64)
         x = x / np.abs(x).max(axis=1, keepdims=True)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         n, labels, links = len(x), np.arange(len(x)), np.zeros(len(x), np.int64)
@@ -176,6 +178,8 @@ def near_embeddings(spark: SparkSession, vectors: DataFrame, cosine: float = COS
                     vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """Rows (vec_id, n_links, component_id, kept), one per row of ``vectors``."""
     v = F.col("v")
+    # Double precision throughout the arithmetic; single-precision vectors travel as they are.
+    kind = "<f4" if vectors.schema[vector_col].dataType == T.ArrayType(T.FloatType()) else "<f8"
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"),
                           F.col(vector_col).cast("array<double>").alias("v"))
     finite = F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
@@ -185,7 +189,7 @@ def near_embeddings(spark: SparkSession, vectors: DataFrame, cosine: float = COS
     classes = rows.where("k1 is not null").groupBy("k1", "k2").agg(
         F.min("vec_id").alias("first"), F.count("*").alias("count"), F.any_value("label").alias("label"), F.any_value("v").alias("v"))
     classes = stage(spark, classes.withColumn("cid", F.monotonically_increasing_id()), "vector-classes")
-    decoded = stage(spark, classes.select("cid", "v").mapInArrow(_decoded(classes.count()), "cid long, vector binary, filters array<long>")
+    decoded = stage(spark, classes.select("cid", "v").mapInArrow(_decoded(classes.count(), kind), "cid long, vector binary, filters array<int>")
                     .join(classes.select("cid", "label", "count", F.size("v").alias("size")), "cid"), "vector-filters")
 
     listed = decoded.select("cid", "label", "size", F.explode("filters").alias("f"))
@@ -200,7 +204,7 @@ def near_embeddings(spark: SparkSession, vectors: DataFrame, cosine: float = COS
         F.concat_ws("/", F.col("label").cast("string"), "size", "f", low, high).alias("task"), "f", (low == high).alias("own"),
         "cid", "count", "vector", "filters", "part")
     found = stage(spark, placed.repartition("task").sortWithinPartitions("task").mapInArrow(
-        _verify(cosine), "cid long, links long, to long"), "vector-links")
+        _verify(cosine, kind), "cid long, links long, to long"), "vector-links")
 
     nodes = components(spark, found.select(F.col("cid").alias("a"), F.col("to").alias("b")))
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))

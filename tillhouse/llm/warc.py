@@ -4,8 +4,9 @@ Writing.  Pages become WARC/1.1 records; of records with equal payloads of at
 least MIN_REVISIT bytes, the one with the smallest id is a response and the
 others are revisits that refer to it.  Each task packs its records into
 archives of about ARCHIVE_BYTES: a ZIP file with two stored (uncompressed)
-members, ``archive/data.warc`` and ``indexes/index.cdxj``, with ZIP64 fields
-where a size needs them (or always, on demand).  Archives are written under an
+members, ``archive/data.warc.gz`` (each record a gzip member of its own, so
+that it can be read alone) and ``indexes/index.cdxj``, with ZIP64 fields where
+a size needs them (or always, on demand).  Archives are written under an
 attempt's own name to the shared folder; the stored list of archives names
 those of the attempts that counted, so a retried task leaves nothing behind
 that a reader would see.
@@ -25,6 +26,7 @@ ignored.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import struct
 import uuid
@@ -42,7 +44,8 @@ MIN_REVISIT = 100
 ARCHIVE_BYTES = 16 << 20
 READ_BYTES = 1 << 20
 DATE = "2020-01-01T00:00:00Z"       # capture time: the tables have none
-DATA, INDEX = "archive/data.warc", "indexes/index.cdxj"
+DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+LEVEL = 4
 
 LOCAL, CENTRAL, END, END64, LOCATOR64 = 0x04034B50, 0x02014B50, 0x06054B50, 0x06064B50, 0x07064B50
 BIG = 0xFFFFFFFF
@@ -199,7 +202,7 @@ def write_archives(spark: SparkSession, records: DataFrame, archive_bytes: int =
         for b in batches:
             for k in range(b.num_rows):
                 page_id, url, payload, digest, kind, refers_to = (c[k].as_py() for c in b.columns)
-                raw = record(page_id, url, payload, kind, refers_to, digest)
+                raw = gzip.compress(record(page_id, url, payload, kind, refers_to, digest), LEVEL, mtime=0)
                 index.append(f"{digest} {kind} {size} {len(raw)}\n")
                 held.append(raw)
                 size += len(raw)
@@ -255,7 +258,7 @@ def read_records(spark: SparkSession, archives: DataFrame, payloads: bool = Fals
                     raw = read(offset, sum(lengths))
                 out, at = [], 0
                 for n in lengths:
-                    h, payload = parse(raw[at:at + n])
+                    h, payload = parse(gzip.decompress(raw[at:at + n]))
                     at += n
                     kind, digest, size = h["warc-type"], h["warc-payload-digest"].removeprefix("sha256:"), int(h["x-payload-length"])
                     if kind == "response" and (len(payload) != size or hashlib.sha256(payload).hexdigest() != digest):
