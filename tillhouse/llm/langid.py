@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tillhouse.llm.common import LOWER, fold, sample_ids, slices, text_bytes
 
 SAMPLE_ROWS = 256
-SAMPLE_BYTES = 32_768
+SAMPLE_BYTES = 24_576
 MAX_ROW_BYTES = 4_096
 LANE = 256
 SLICE_BYTES = 1 << 19
@@ -109,19 +109,20 @@ class CrossParser:
         self.roots, tables, base = [], [], 0
         for t in texts:
             step = suffix_automaton(t)
-            table = np.full((len(step) + 1, width), -1, np.int64)      # the last state: after a byte unseen in the sample
+            table = np.full((len(step) + 1, width), -1, np.int32)      # the last state: after a byte unseen in the sample
             for s, nexts in enumerate(step):
                 for c, to in nexts.items():
                     table[s, self.code[c]] = base + to * width
-            fresh = np.where(table[0] < 0, base + len(step) * width, table[0])      # restart with this byte
-            table = np.where(table < 0, fresh[None, :] + FLAG, table)
+            fresh = np.where(table[0] < 0, np.int32(base + len(step) * width), table[0])      # restart with this byte
+            table = np.where(table < 0, fresh[None, :] + FLAG, table).astype(np.int32, copy=False)
             table[0] = fresh        # the start of a lane ends no phrase
+            del step
             tables.append(table.ravel())
             self.roots.append(base)
             base += table.size
         if base >= FLAG:
             raise ValueError("the samples are too large for one table")
-        self.table = np.concatenate(tables).astype(np.int32) if tables else np.empty(0, np.int32)
+        self.table = np.concatenate(tables) if tables else np.empty(0, np.int32)
 
     def phrases(self, texts: list[bytes]) -> np.ndarray:
         """Phrases of each text by language."""

@@ -20,8 +20,8 @@ by label by a log-odds of at least MIN_ODDS and that stand beside several
 different words (a phrase that is only copied does not); insult stems are word
 beginnings of STEM lengths with that log-odds and several endings.  The
 log-odds is the weight.  The patterns' weights are then fitted by logistic
-regression.
-Threats, targets, negations and reporting words are short fixed lists.
+regression, drawn to default weights that patterns missing from the sample
+keep.  Threats, targets, negations and reporting words are short fixed lists.
 Without both labels, the seed insults and default pattern weights are used.
 
 Edge cases: null, empty and wordless texts score as a text without matches;
@@ -61,7 +61,7 @@ DEFAULT = np.array([1.0, 1.0, 1.5, 1.5, 0.1, 0.1] + [0.0] * 6)
 DEFAULT_CONSTANT = -2.0
 
 SEED_INSULTS = "idiot moron stupid loser scum worthless pathetic disgusting"
-THREATS = "kill hurt destroy die beat burn shoot stab smash punch attack tuer matar morir schlagen"
+THREATS = "kill hurt destroy beat burn shoot stab smash punch attack tuer matar morir schlagen"
 TARGETS = ("you your yours yourself u he she they them him her his their this these those we us everyone people "
            "du dich dir ihr euch sie er tu toi vous te vos elle il ils ellos ella usted ustedes")
 NEGATIONS = "not no never none nor neither without isn aren wasn don doesn didn nicht kein keine nie pas jamais aucun nunca ni sin"
@@ -226,13 +226,14 @@ def pattern_features(sums: np.ndarray) -> np.ndarray:
     return np.log1p(np.c_[sums[:, :-1], DENSITY * sums[:, :-1] / (sums[:, -1:] + DENSITY / 4)])
 
 
-def logistic_fit(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2) -> tuple[np.ndarray, float]:
-    """Weights and constant by Newton steps; the penalty, relative to the rows, keeps separable data finite."""
-    z = np.c_[x, np.ones(len(x))]
-    w, ridge = np.zeros(z.shape[1]), penalty * np.r_[np.ones(x.shape[1]), 1e-3] * max(1, len(x)) / 10
+def logistic_fit(x: np.ndarray, y: np.ndarray, prior: np.ndarray, penalty: float = 1e-2) -> tuple[np.ndarray, float]:
+    """Weights and constant by Newton steps; the penalty, relative to the rows, draws weights to the prior ones, which a
+    pattern that the sample lacks keeps."""
+    z, prior = np.c_[x, np.ones(len(x))], np.r_[prior, 0.0]
+    w, ridge = prior.copy(), penalty * np.r_[np.ones(x.shape[1]), 1e-3] * max(1, len(x)) / 10
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        grad = z.T @ (p - y) + ridge * w
+        grad = z.T @ (p - y) + ridge * (w - prior)
         hess = (z * (p * (1 - p))[:, None]).T @ z + np.diag(ridge + 1e-9)
         step = np.linalg.solve(hess, grad)
         w -= step
@@ -285,7 +286,7 @@ def learn_insults(sample: DataFrame) -> dict[str, float]:
     best = strongest(stems.where(F.least("endings", "toxic") >= F.lit(least)), "stem")
     # Of stems that extend one another, the longer one stays only where it tells more.
     kept = {w: x for w, x in best.items() if all(best.get(w[:k], 0.0) + 0.5 < x for k in range(1, len(w)))}
-    return {w + "*": x for w, x in kept.items()} | found
+    return {w + "*": x for w, x in kept.items()} | found or dict.fromkeys(SEED_INSULTS.split(), MIN_ODDS)
 
 
 def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, **options: object) -> tuple[dict[str, float], np.ndarray, float]:
@@ -303,7 +304,7 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, **options: ob
     y = np.array([min(1, max(0, r["label"])) for r in rows], float)
     if len(set(y)) < 2:
         return insults, DEFAULT, DEFAULT_CONSTANT
-    return insults, *logistic_fit(pattern_features(np.array([r["x"] for r in rows])), y)
+    return insults, *logistic_fit(pattern_features(np.array([r["x"] for r in rows])), y, DEFAULT)
 
 
 def score(spark: SparkSession, docs: DataFrame, model: tuple[dict[str, float], np.ndarray, float], id_col: str = "doc_id",

@@ -268,8 +268,9 @@ def read_records(spark: SparkSession, archives: DataFrame, payloads: bool = Fals
                 yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(types)], names)
 
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    ranges = list_ranges(archives.repartition(F.col("path")), read_bytes)
-    return ranges.repartition("path", "offset").mapInArrow(run, schema + ", payload binary" * payloads)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))     # given, so that a few small rows are not drawn into one task
+    ranges = list_ranges(archives.repartition(n, "path"), read_bytes)
+    return ranges.repartition(n, "path", "offset").mapInArrow(run, schema + ", payload binary" * payloads)
 
 
 def archive_pages(spark: SparkSession, pages: DataFrame, **options: object) -> DataFrame:
