@@ -70,7 +70,7 @@ def test_edges(spark, make_docs):
     docs = [(i, f"some calm text number {i} about {w} things") for i, w in enumerate("red blue green grey dark pale warm cold".split() * 6)]
     docs += [(100 + i, f"{w} blorg {v} go away") for i, (w, v) in enumerate((a, b) for a in "oh hey well so now ah um ooh".split() for b in
                                                                                    "please just never do always really then".split())]
-    docs += [(500, None), (501, ""), (502, "?!"), (None, "blorg you"), (503, "you blorg " * 20000), (503, "you blorg " * 20000)]
+    docs += [(500, None), (501, ""), (502, "?!"), (None, "blorg you"), (503, "you blorg. " * 20000), (503, "you blorg. " * 20000)]
     labels = [(d, int(d >= 100)) for d, _ in docs if d is not None and d < 500] + [(None, 1), (9999, 1), (3, 0), (500, None)]
     lab = spark.createDataFrame(labels, "doc_id long, toxic int")
     got = X.toxicity(spark, make_docs(docs), lab).collect()
