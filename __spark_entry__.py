@@ -2,9 +2,9 @@
 
 Every registered query derives the operational tables from the driver's
 parquet tables (``tillhouse.sources.testdata``), runs the warehouse load and
-then the query.  Within one Spark application the first-load warehouse of a
-table folder is built once and kept as reliable checkpoints, so the queries
-share it instead of reloading it each time.
+then the query.  Within one Spark application the warehouse of a table folder is
+loaded once, through ``WarehouseStore`` on the shared folder, and the queries
+share it.
 
 Results are presented with portable types on both sides: money as DOUBLE
 (computed exactly in decimals, converted last), dates and timestamps as
@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -29,8 +30,9 @@ from tillhouse import schemas as S  # noqa: E402
 from tillhouse.model import DwTables, OpTables  # noqa: E402
 from tillhouse.functions.dates import ntz  # noqa: E402
 from tillhouse.operators import quality  # noqa: E402
-from tillhouse.operators.joins import checked_broadcast  # noqa: E402
+from tillhouse.operators.joins import calendar  # noqa: E402
 from tillhouse.plans import drift, etl, kpi, reports, validate, views  # noqa: E402
+from tillhouse.session import scratch_path  # noqa: E402
 from tillhouse.sources import seed, store, testdata  # noqa: E402
 
 try:  # the training-data operators are a removable part
@@ -54,6 +56,9 @@ DRIFT_MISSING, DRIFT_AMOUNT, DRIFT_PENDING, DRIFT_COPY, DRIFT_BROKEN = 97, 89, 1
 
 SEED_AS_OF = dt.datetime(2024, 3, 10, 12, 0)  # the seed's NOW()
 
+# The columns of the wide reports (branch names of the driver tables): fixed values.
+BRANCHES = sorted(f"NATION_{k}" for k in range(25))
+
 D0, D1 = kpi.report_window(REPORT_AS_OF, REPORT_DAYS)
 M0, M1 = (D0.year, D0.month), (D1.year, D1.month)
 
@@ -90,12 +95,16 @@ def source(spark: SparkSession, sf_dir: str, category: str = "p_type") -> OpTabl
     return _BUILT[k]
 
 
+def _store(spark: SparkSession, name: str) -> store.WarehouseStore:
+    return store.WarehouseStore(scratch_path(spark, f"warehouse-{name}-{uuid.uuid4().hex}"))
+
+
 def warehouse(spark: SparkSession, sf_dir: str, category: str = "p_type") -> tuple[OpTables, DwTables]:
     """Operational tables and the first-load warehouse (built once per app)."""
     k = _key(spark, "dw", sf_dir, category)
     if k not in _BUILT:
         op = source(spark, sf_dir, category)
-        _BUILT[k] = (op, etl.first_load(op, LOAD_AS_OF, initial_mark=FIRST_MARK, stage=store.checkpoint_stage).dw)
+        _BUILT[k] = (op, _store(spark, "full").run(op, LOAD_AS_OF, initial_mark=FIRST_MARK).dw)
     return _BUILT[k]
 
 
@@ -107,7 +116,8 @@ def incremental(spark: SparkSession, sf_dir: str) -> tuple[DwTables, DwTables, O
         op = source(spark, sf_dir)
         sale1 = op.sale.filter(F.col("updated_at") < ntz(INCR_MARK))
         op1 = op.with_(sale=sale1, sale_item=op.sale_item.join(sale1.select("sale_id"), "sale_id", "left_semi"))
-        dw1 = etl.first_load(op1, INCR_MARK, initial_mark=FIRST_MARK, stage=store.checkpoint_stage).dw
+        loads = _store(spark, "incremental")
+        dw1 = loads.run(op1, INCR_MARK, initial_mark=FIRST_MARK).dw
         flip = (F.col("sale_id") % FLIP_EVERY == 0) & (F.col("status") == S.STATUS_COMPLETED)
         sale2 = (op.sale.withColumn("updated_at", F.when(flip, F.greatest("updated_at", ntz(INCR_MARK)))
                                     .otherwise(F.col("updated_at")))
@@ -116,7 +126,7 @@ def incremental(spark: SparkSession, sf_dir: str) -> tuple[DwTables, DwTables, O
             "category", F.when(F.col("product_id") % NEW_CATEGORY_EVERY == 0, F.lit("NEW"))
             .otherwise(F.col("category")))
         op2 = op.with_(sale=sale2, product=prod2)
-        dw2 = etl.run_etl(op2, dw1, INCR_AS_OF, stage=store.checkpoint_stage).dw
+        dw2 = loads.run(op2, INCR_AS_OF).dw
         _BUILT[k] = (dw1, dw2, op2)
     return _BUILT[k]
 
@@ -124,8 +134,8 @@ def incremental(spark: SparkSession, sf_dir: str) -> tuple[DwTables, DwTables, O
 def fact_natural(dw: DwTables) -> DataFrame:
     """Fact rows with natural keys in place of surrogate keys."""
     f = dw.fact_sale_item
-    return (f.join(checked_broadcast(dw.dim_date.select("date_sk", "date")), "date_sk")
-            .join(checked_broadcast(dw.dim_branch.select("branch_sk", "branch_id")), "branch_sk")
+    return (f.join(calendar(dw.dim_date.select("date_sk", "date")), "date_sk")
+            .join(dw.dim_branch.select("branch_sk", "branch_id"), "branch_sk")
             .join(dw.dim_product.select("product_sk", "product_id"), "product_sk")
             .join(dw.dim_customer.select("customer_sk", "customer_id"), "customer_sk", "left")
             .select("item_id", "sale_id", "date", "branch_id", "product_id", "customer_id", "qty",
@@ -219,6 +229,15 @@ def _surrogate_keys(spark, d):
     return out
 
 
+def _control_marks(spark, d):
+    """The control row after each of the two runs, with the number of source sales it leaves for the next."""
+    dw1, dw2, _ = incremental(spark, d)
+    marks = dw1.etl_control.unionByName(dw2.etl_control)
+    sales = source(spark, d).sale.select("updated_at")
+    return (marks.select("process", "last_run").join(sales, sales["updated_at"] >= F.col("last_run"), "left")
+            .groupBy("process", "last_run").agg(F.count(sales["updated_at"]).alias("sales_left")))
+
+
 def _dim_product_scd1(spark, d):
     dw1, dw2, _ = incremental(spark, d)
     p1 = dw1.dim_product.select("product_id", F.col("product_sk").alias("sk1"))
@@ -243,11 +262,11 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "kpi_daily_range": _daily,
         "kpi_monthly_range": _monthly,
         # reports
-        "report_daily_pivot": lambda s, d: reports.daily_net_pivot(_daily(s, d)),
+        "report_daily_pivot": lambda s, d: reports.daily_net_pivot(_daily(s, d), BRANCHES),
         "report_branch_total": lambda s, d: reports.branch_totals(_daily(s, d)),
-        "report_weekday_matrix": lambda s, d: reports.weekday_matrix(_daily(s, d), warehouse(s, d)[1].dim_date),
-        "report_top_categories": lambda s, d: reports.top_category_matrix(_monthly(s, d, "p_brand")),
-        "report_stack_bases": lambda s, d: reports.stack_cells(_monthly(s, d, "p_brand")),
+        "report_weekday_matrix": lambda s, d: reports.weekday_matrix(_daily(s, d), warehouse(s, d)[1].dim_date, BRANCHES),
+        "report_top_categories": lambda s, d: reports.top_category_matrix(_monthly(s, d, "p_brand"), BRANCHES),
+        "report_stack_bases": lambda s, d: reports.stack_cells(_monthly(s, d, "p_brand"), BRANCHES),
         # operational queries
         "item_count": lambda s, d: kpi.item_count(source(s, d)),
         "sales_by_branch": lambda s, d: kpi.sales_by_branch(source(s, d)),
@@ -261,7 +280,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_customer": _dims_query("dim_customer", ["customer_id", "city", "uf", "updated_at"]),
         "fact_first_load": lambda s, d: fact_natural(warehouse(s, d)[1]),
         "surrogate_keys": _surrogate_keys,
-        "etl_control": lambda s, d: warehouse(s, d)[1].etl_control,
+        "etl_control": _control_marks,
         "changed_range": lambda s, d: etl.changed_range_frame(source(s, d).sale, INCR_MARK),
         # incremental scenario
         "fact_incremental": lambda s, d: fact_natural(incremental(s, d)[1]),
@@ -418,7 +437,7 @@ top AS (SELECT category FROM rows GROUP BY category ORDER BY SUM(net_c) DESC, ca
 trows AS (SELECT * FROM rows WHERE category IN (SELECT category FROM top)),
 cells AS (
   SELECT k.period, k.category, br.branch, COALESCE(SUM(r.net_c), 0) AS net_c
-  FROM (SELECT DISTINCT period, category FROM trows) k CROSS JOIN (SELECT DISTINCT branch FROM trows) br
+  FROM (SELECT DISTINCT period, category FROM trows) k CROSS JOIN (SELECT name AS branch FROM op_branch) br
   LEFT JOIN trows r ON r.period = k.period AND r.category = k.category AND r.branch = br.branch
   GROUP BY 1, 2, 3)
 """
@@ -673,34 +692,18 @@ FROM it JOIN price p ON p.product_id = k % 12 + 1""",
 def oracle_sql() -> dict[str, str]:
     window_rows = f"""SELECT f.date, b.name AS branch, f.net_c FROM fact f JOIN op_branch b ON b.branch_id = f.branch_id
   {DAILY_WHERE}"""
-    daily_pivot_cells = f""",
-w AS ({window_rows}),
-cells AS (
-  SELECT CAST(k.date AS VARCHAR) AS date, br.branch, {_money('COALESCE(SUM(w.net_c), 0)')} AS net
-  FROM (SELECT DISTINCT date FROM w) k CROSS JOIN (SELECT DISTINCT branch FROM w) br
-  LEFT JOIN w ON w.date = k.date AND w.branch = br.branch GROUP BY 1, 2)
-"""
-    weekday_cells = f""",
-w AS (SELECT CAST(isodow(date) AS BIGINT) AS weekday, branch, net_c FROM ({window_rows})),
-cells AS (
-  SELECT k.weekday, br.branch, {_money('COALESCE(SUM(w.net_c), 0)')} AS net
-  FROM (SELECT DISTINCT weekday FROM w) k CROSS JOIN (SELECT DISTINCT branch FROM w) br
-  LEFT JOIN w ON w.weekday = k.weekday AND w.branch = br.branch GROUP BY 1, 2)
-"""
+    wide = ", ".join(f"{_money(f"COALESCE(SUM(net_c) FILTER (WHERE branch = '{b}'), 0)")} AS \"{b}\"" for b in BRANCHES)
     sql = {
         "kpi_daily_branch": BASE + DAILY_SELECT.format(where=""),
         "kpi_monthly_branch_category": BASE + MONTHLY_SELECT.format(where=""),
         "kpi_daily_range": BASE + DAILY_SELECT.format(where=DAILY_WHERE) + " ORDER BY 1, 2",
         "kpi_monthly_range": BASE + MONTHLY_SELECT.format(where=MONTHLY_WHERE) + " ORDER BY 1, 2, 3, 4",
-        "report_daily_pivot": BASE + daily_pivot_cells
-        + "SELECT * FROM (PIVOT cells ON branch USING SUM(net) GROUP BY date) ORDER BY date",
+        "report_daily_pivot": BASE + f"SELECT CAST(date AS VARCHAR) AS date, {wide} FROM ({window_rows}) GROUP BY 1 ORDER BY 1",
         "report_branch_total": BASE + f"SELECT branch, {_money('SUM(net_c)')} AS net FROM ({window_rows}) "
         "GROUP BY branch",
-        "report_weekday_matrix": BASE + weekday_cells
-        + "SELECT * FROM (PIVOT cells ON branch USING SUM(net) GROUP BY weekday) ORDER BY weekday",
-        "report_top_categories": BRAND + TOP_CELLS
-        + f"SELECT * FROM (PIVOT (SELECT period, category, branch, {_money('net_c')} AS net FROM cells) "
-        "ON branch USING SUM(net) GROUP BY period, category) ORDER BY 1, 2",
+        "report_weekday_matrix": BASE + f"SELECT CAST(isodow(date) AS BIGINT) AS weekday, {wide} FROM ({window_rows}) GROUP BY 1 "
+        "ORDER BY 1",
+        "report_top_categories": BRAND + TOP_CELLS + f"SELECT period, category, {wide} FROM cells GROUP BY 1, 2 ORDER BY 1, 2",
         "report_stack_bases": BRAND + TOP_CELLS + f"""SELECT period, category, branch, {_money('net_c')} AS net,
        {_money("""COALESCE(SUM(net_c) OVER (PARTITION BY period, category ORDER BY branch
                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)""")} AS base
@@ -735,8 +738,9 @@ FROM (SELECT CAST(date_diff('day', min(CAST(sold_at AS DATE)), max(CAST(sold_at
 UNION ALL SELECT 'dim_branch', COUNT(*), COUNT(*), 1, COUNT(*) FROM op_branch
 UNION ALL SELECT 'dim_product', COUNT(*), COUNT(*), 1, COUNT(*) FROM op_product
 UNION ALL SELECT 'dim_customer', COUNT(*), COUNT(*), 1, COUNT(*) FROM op_customer""",
-        "etl_control": f"""SELECT '{S.PROCESS_NAME}' AS process, '{LOAD_AS_OF:%Y-%m-%d %H:%M:%S}' AS last_run,
-       '{LOAD_AS_OF:%Y-%m-%d %H:%M:%S}' AS updated_at""",
+        "etl_control": _with(_op_cte()) + f"""SELECT '{S.PROCESS_NAME}' AS process, CAST(mark AS VARCHAR) AS last_run,
+       (SELECT COUNT(*) FROM op_sale WHERE updated_at >= mark) AS sales_left
+FROM (VALUES ({_ts(INCR_MARK)}), ({_ts(INCR_AS_OF)})) m(mark)""",
         "changed_range": _with(_op_cte()) + f"""SELECT CAST(min(sold_at) AS VARCHAR) AS min_sold_at,
        CAST(max(sold_at) AS VARCHAR) AS max_sold_at FROM op_sale WHERE updated_at >= {_ts(INCR_MARK)}""",
         "fact_incremental": BASE + INCR_CTES + FACT_NATURAL_SELECT.format(loaded="loaded", src="incr"),

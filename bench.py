@@ -117,9 +117,10 @@ def main() -> None:
     timed("kpi_monthly", lambda: noop(kpi.kpi_monthly_branch_category(dw)))
     timed("kpi_daily_range", lambda: daily.collect())
     timed("kpi_monthly_range", lambda: monthly.collect())
-    timed("report_daily_pivot", lambda: reports.daily_net_pivot(daily).collect())
-    timed("report_weekday_matrix", lambda: reports.weekday_matrix(daily, dw.dim_date).collect())
-    timed("report_top_categories", lambda: reports.top_category_matrix(monthly).collect())
+    branches = reports.branch_labels(dw)
+    timed("report_daily_pivot", lambda: reports.daily_net_pivot(daily, branches).collect())
+    timed("report_weekday_matrix", lambda: reports.weekday_matrix(daily, dw.dim_date, branches).collect())
+    timed("report_top_categories", lambda: reports.top_category_matrix(monthly, branches).collect())
     timed("sales_by_branch", lambda: kpi.sales_by_branch(op).collect())
     verdict = timed("checks_verdict", lambda: validate.run_checks(op, dw)[1])
     timed("check_missing_items", lambda: validate.missing_items(op, dw).collect())

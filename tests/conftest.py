@@ -53,4 +53,4 @@ def sf001_dw(spark, sf001_op):
     from tillhouse.sources import store
 
     return etl.first_load(sf001_op, dt.datetime(2002, 1, 1), initial_mark=dt.datetime(1990, 1, 1),
-                          stage=store.checkpoint_stage).dw
+                          stage=store.parquet_stage).dw

@@ -54,7 +54,7 @@ def test_assign_keys_deterministic_and_offset(spark):
 def test_rerun_is_idempotent(sf001_op, sf001_dw):
     """Same mark again: the upsert replaces the same rows, keys stay."""
     again = etl.run_etl(sf001_op, sf001_dw.with_(etl_control=sf001_dw.etl_control.limit(0)), AS_OF,
-                        initial_mark=dt.datetime(1990, 1, 1), stage=store.checkpoint_stage).dw
+                        initial_mark=dt.datetime(1990, 1, 1), stage=store.parquet_stage).dw
     cols = ["item_id", "date_sk", "branch_sk", "product_sk", "customer_sk", "qty", "gross", "discount", "net"]
     assert again.fact_sale_item.select(cols).exceptAll(sf001_dw.fact_sale_item.select(cols)).count() == 0
     assert again.fact_sale_item.count() == sf001_dw.fact_sale_item.count()
@@ -71,14 +71,14 @@ def test_incremental_two_runs(spark, sf001_op):
     op = sf001_op
     sale1 = op.sale.filter(F.col("updated_at") < ntz(MARK))
     op1 = op.with_(sale=sale1, sale_item=op.sale_item.join(sale1.select("sale_id"), "sale_id", "left_semi"))
-    dw1 = etl.first_load(op1, MARK, initial_mark=dt.datetime(1990, 1, 1), stage=store.checkpoint_stage).dw
+    dw1 = etl.first_load(op1, MARK, initial_mark=dt.datetime(1990, 1, 1), stage=store.parquet_stage).dw
     assert dw1.fact_sale_item.count() == 891
     flip = (F.col("sale_id") % 17 == 0) & (F.col("status") == S.STATUS_COMPLETED)
     sale2 = (op.sale.withColumn("updated_at", F.when(flip, F.greatest("updated_at", ntz(MARK)))
                                 .otherwise(F.col("updated_at")))
              .withColumn("status", F.when(flip, F.lit(S.STATUS_CANCELLED)).otherwise(F.col("status"))))
     op2 = op.with_(sale=sale2)
-    run2 = etl.run_etl(op2, dw1, AS_OF, stage=store.checkpoint_stage)
+    run2 = etl.run_etl(op2, dw1, AS_OF, stage=store.parquet_stage)
     assert run2.last_run == MARK and run2.loaded
     f2 = run2.dw.fact_sale_item
     assert f2.count() == 1910

@@ -88,7 +88,7 @@ def test_seed_monthly_kpi_and_categories(seeded):
 def test_seed_weekday_matrix(seeded):
     _, dw = seeded
     daily = kpi.kpi_daily_range(dw, dt.date(2024, 2, 19), dt.date(2024, 3, 10))
-    mat = {r["weekday"]: r.asDict() for r in reports.weekday_matrix(daily, dw.dim_date).collect()}
+    mat = {r["weekday"]: r.asDict() for r in reports.weekday_matrix(daily, dw.dim_date, reports.branch_labels(dw)).collect()}
     assert sorted(mat) == [1, 2, 3, 4, 5, 6, 7]
     assert mat[1][BRANCH[2]] == Decimal("3241.66") and mat[1][BRANCH[1]] == 0
     assert mat[2][BRANCH[1]] == Decimal("2558.32") and mat[2][BRANCH[5]] == Decimal("4405.03")
@@ -99,7 +99,7 @@ def test_seed_top_categories_keeps_all_five(seeded):
     _, dw = seeded
     monthly = kpi.kpi_monthly_range(dw, 2024, 2, 2024, 3)
     assert reports.top_categories(monthly).count() == 5
-    cells = reports.stack_cells(monthly)
+    cells = reports.stack_cells(monthly, reports.branch_labels(dw))
     # the first branch of each bar starts at 0, bases grow within a bar
     first = cells.filter(F.col("branch") == BRANCH[3]).select("base").distinct().collect()
     assert [r[0] for r in first] == [0]

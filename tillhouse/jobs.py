@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import json
 import sys
 
 from pyspark.sql import SparkSession
@@ -22,7 +23,7 @@ from pyspark.sql import SparkSession
 from tillhouse import schemas as S
 from tillhouse.session import ensure_checkpoint_dir
 
-PRINT_MAX_ROWS = 50
+LISTED = 50      # rows of each finding that a failing validation lists
 
 
 def _ts(s: str | None) -> dt.datetime:
@@ -59,10 +60,8 @@ def cmd_etl(a) -> int:
     spark = _session()
     run = WarehouseStore(a.warehouse).run(read_op_parquet(spark, a.op), _ts(a.as_of),
                                           initial_mark=_ts(a.initial_mark) if a.initial_mark else S.DEFAULT_LAST_RUN)
-    if run.loaded:
-        print(f"[DW] loaded changes since {run.last_run}; range {run.changed[0]} -> {run.changed[1]}")
-    else:
-        print(f"[DW] nothing to load since {run.last_run}")
+    span = "no changed sales" if not run.loaded else f"sales sold {run.changed[0]} to {run.changed[1]}"
+    print(f"etl from mark {run.last_run}: {span}")
     return 0
 
 
@@ -75,14 +74,12 @@ def cmd_validate(a) -> int:
     op, dw = read_op_parquet(spark, a.op), WarehouseStore(a.warehouse).read(spark)
     ok, rows = validate.run_checks(op, dw)
     for r in rows:
-        print(f"{'PASS' if r['passed'] else 'FAIL'} {r['check']:15s} n_bad={r['n_bad']} {r['detail']}")
-    if not ok:
-        for name, df in [("missing_items", validate.missing_items(op, dw)),
-                         ("surplus_items", validate.surplus_items(op, dw)),
-                         ("daily_diffs", validate.daily_diffs(op, dw))]:
-            for i, row in enumerate(df.limit(PRINT_MAX_ROWS).collect(), start=1):
-                print(f"{name} {i:>3}: " + " | ".join(f"{k}={v}" for k, v in row.asDict().items()))
-    print("[RESULT] OK" if ok else "[RESULT] divergences found")
+        print(json.dumps({"check": r["check"], "passed": r["passed"], "bad": r["n_bad"], "detail": str(r["detail"])}))
+    findings = {} if ok else {"missing_items": validate.missing_items, "surplus_items": validate.surplus_items,
+                              "daily_diffs": validate.daily_diffs}
+    for name, finding in findings.items():
+        for line in finding(op, dw).limit(LISTED).toJSON().collect():
+            print(f"{name}: {line}")
     return 0 if ok else 1
 
 
@@ -94,7 +91,7 @@ def cmd_reports(a) -> int:
     as_of = dt.date.fromisoformat(a.as_of) if a.as_of else dt.date.today()
     dw = WarehouseStore(a.warehouse).read(spark)
     for path in reports.write_reports(reports.report_datasets(dw, as_of, a.days), a.out):
-        print(f"[OK] {path}")
+        print(path)
     return 0
 
 
@@ -109,8 +106,7 @@ def cmd_quality(a) -> int:
     for df in (quality.row_rules(op, dw), quality.duplicate_keys(op, dw), quality.orphans(op, dw)):
         for r in df.filter("n_bad > 0").collect():
             bad += 1
-            print(f"FAIL {r['table']}: {r['rule']} ({r['n_bad']} rows)")
-    print("[RESULT] OK" if not bad else f"[RESULT] {bad} rules violated")
+            print(json.dumps({"table": r["table"], "rule": r["rule"], "bad": r["n_bad"]}))
     return 0 if not bad else 1
 
 

@@ -1,21 +1,16 @@
-"""Join helpers: broadcast only behind a size check."""
+"""Join hints.
+
+Dimensions are read from written tables, so Spark knows their bytes and picks
+broadcast or shuffle joins itself (``autoBroadcastJoinThreshold``, AQE).  Only
+the calendar is hinted: it has one row per day, whatever the data's size.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest row count a dimension may have to be broadcast explicitly.  Above
-# it the join stays a shuffle join (AQE may still switch to broadcast at
-# runtime from the measured shuffle size).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
 
-    Counts the rows first (a column-less scan of a dimension); use it for
-    dimensions whose size does not grow with the fact (dates, branches).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def calendar(df: DataFrame) -> DataFrame:
+    """Hint that ``df``, with at most one row per day, is to be broadcast."""
+    return F.broadcast(df)

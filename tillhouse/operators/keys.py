@@ -1,10 +1,10 @@
-"""Surrogate keys and position lookups, without single-task windows.
+"""Surrogate keys, without single-task windows.
 
 ``assign_surrogate_keys`` gives new natural keys consecutive integer keys
 ``base + 1 .. base + n``:
 
 1. bucket every new key by a hash of its natural key into B buckets
-   (B = shuffle partitions); natural keys are unique, so buckets are even
+   (B = KEY_BUCKETS); natural keys are unique, so buckets are even
    and no bucket is hot;
 2. count keys per bucket and turn the counts into bucket offsets with a
    running sum over the B count rows (a window over B rows, broadcast back);
@@ -27,28 +27,24 @@ _BUCKET = "_sk_bucket"
 _OFFSET = "_sk_offset"
 
 
-def max_key(df: DataFrame, sk: str) -> int:
-    """Largest existing surrogate key (0 for an empty table): one scalar."""
-    row = df.agg(F.max(sk).alias("m")).first()
-    return int(row["m"]) if row and row["m"] is not None else 0
-
-
 def max_key_of(df: DataFrame, sk: str) -> Column:
     """Largest existing surrogate key (0 for an empty table) as a scalar subquery."""
     return df.agg(F.coalesce(F.max(sk).cast("long"), F.lit(0).cast("long"))).scalar()
 
 
+KEY_BUCKETS = 1024     # fixed, so that keys do not depend on a session's settings
+
+
 def assign_surrogate_keys(new_rows: DataFrame, order_cols: list[str], sk: str, base: int | Column,
                           sk_type: str = "long", buckets: int | None = None) -> DataFrame:
     """Add column ``sk`` with unique keys base+1 .. base+n (n = rows of ``new_rows``).
 
     ``order_cols`` must be unique in ``new_rows``.
     """
-    spark = new_rows.sparkSession
-    n_buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = buckets or KEY_BUCKETS
     # One exchange by bucket, shared by the per-bucket counts and the numbering.
     tagged = (new_rows.withColumn(_BUCKET, F.pmod(F.xxhash64(*order_cols), F.lit(n_buckets)).cast("int"))
-              .repartition(n_buckets, _BUCKET))
+              .repartition(_BUCKET))
     running = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (tagged.groupBy(_BUCKET).count()
                .select(_BUCKET, F.coalesce(F.sum("count").over(running), F.lit(0)).alias(_OFFSET)))
@@ -57,18 +53,3 @@ def assign_surrogate_keys(new_rows: DataFrame, order_cols: list[str], sk: str, b
     return (tagged.join(F.broadcast(offsets), _BUCKET)  # at most n_buckets rows
             .withColumn(sk, (base_col + F.col(_OFFSET) + F.row_number().over(w)).cast(sk_type))
             .drop(_BUCKET, _OFFSET))
-
-
-def position_lookup(small: DataFrame, order_col: str, value_col: str, pos_alias: str = "pos") -> DataFrame:
-    """``(pos, value)`` where pos = 0-based position of a row ordered by ``order_col``.
-
-    Used in place of ``ORDER BY id LIMIT 1 OFFSET f(row)``: join the result on
-    ``pos == f(row)``.  Only for small lookup tables (branches, products); the
-    window has no partition key and so runs in one task.
-    """
-    w = Window.orderBy(order_col)
-    return small.select((F.row_number().over(w) - 1).alias(pos_alias), F.col(value_col))
-
-
-def offset_key(expr: Column, modulus: int) -> Column:
-    return (expr % modulus).cast("long")

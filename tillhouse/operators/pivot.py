@@ -1,8 +1,8 @@
 """Pivot with zero fill and stacked-bar bases.
 
-The pivot value list (the report's columns, e.g. branch names) is collected
-first and passed to ``pivot``: it is a bounded list of column labels, and
-giving it explicitly saves Spark the extra distinct job.
+The columns of a wide result are a label list that the caller gives (branch
+names, say): no job runs to find them, and the schema does not depend on the
+rows.  ``dense_cells`` is the long form, with one row per cell.
 """
 
 from __future__ import annotations
@@ -10,36 +10,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PIVOT_MAX_VALUES = 10_000  # same bound Spark applies to pivot columns
 
-
-def pivot_values(df: DataFrame, col: str) -> list:
-    rows = df.select(col).distinct().orderBy(col).limit(PIVOT_MAX_VALUES + 1).collect()
-    if len(rows) > PIVOT_MAX_VALUES:
-        raise ValueError(f"pivot column {col!r} has more than {PIVOT_MAX_VALUES} values")
-    return [r[0] for r in rows]
-
-
-def pivot_sum(df: DataFrame, index: list[str], column: str, value: str, values: list | None = None,
-              fill: int = 0) -> DataFrame:
-    """index x column matrix of sum(value); missing cells -> ``fill``."""
-    vals = values if values is not None else pivot_values(df, column)
-    if not vals:
+def pivot_sum(df: DataFrame, index: list[str], column: str, value: str, labels: list[str], fill: int = 0) -> DataFrame:
+    """index x label matrix of sum(value); missing cells -> ``fill``."""
+    zero = F.lit(fill).cast(df.schema[value].dataType)
+    if not labels:
         return df.select(*index).limit(0)
-    wide = df.groupBy(*index).pivot(column, vals).agg(F.sum(value))
-    filled = [F.coalesce(F.col(f"`{v}`"), F.lit(fill).cast(df.schema[value].dataType)).alias(str(v))
-              for v in vals]
-    return wide.select(*[F.col(c) for c in index], *filled)
+    wide = df.groupBy(*index).pivot(column, labels).agg(F.sum(value))
+    return wide.select(*index, *(F.coalesce(F.col(f"`{v}`"), zero).alias(str(v)) for v in labels))
 
 
-def dense_cells(df: DataFrame, index: list[str], column: str, value: str, values: list | None = None,
-                fill: int = 0) -> DataFrame:
-    """Long form of ``pivot_sum``: one row per (index, column value), zero filled."""
-    vals = values if values is not None else pivot_values(df, column)
-    if not vals:
+def dense_cells(df: DataFrame, index: list[str], column: str, value: str, labels: list[str], fill: int = 0) -> DataFrame:
+    """Long form of ``pivot_sum``: one row per (index, label), zero filled."""
+    if not labels:
         return df.select(*index, column, value).limit(0)
-    wide = pivot_sum(df, index, column, value, vals, fill)
-    return wide.unpivot(index, [F.col(f"`{v}`") for v in vals], column, value)
+    wide = pivot_sum(df, index, column, value, labels, fill)
+    return wide.unpivot(index, [F.col(f"`{v}`") for v in labels], column, value)
 
 
 def stack_bases(cells: DataFrame, group: list[str], order: str, value: str, base: str = "base") -> Column:

@@ -34,7 +34,7 @@ from tillhouse import schemas as S
 from tillhouse.functions.dates import calendar_columns, date_series, ntz, year_month
 from tillhouse.functions.money import line_gross, line_net
 from tillhouse.model import DwTables, OpTables, conform, literal_rows
-from tillhouse.operators.joins import checked_broadcast
+from tillhouse.operators.joins import calendar
 from tillhouse.operators.upsert import insert_if_absent, upsert_by_key, upsert_scd1
 
 
@@ -145,17 +145,16 @@ def fact_source(op: OpTables, dw: DwTables, last_run: dt.datetime, as_of: dt.dat
     """Fact rows of sales in ``status`` (COMPLETED) updated since ``last_run``.
 
     Join order keeps the wide shuffles small: sale-level lookups (date,
-    branch: broadcast after a size check; customer: shuffle on the sale side
-    only) come before the item join on sale id; the product lookup is last
-    and is broadcast when the product dimension passes the size check.
+    branch, customer) come before the item join on sale id; the product lookup
+    is last.  Which of them are broadcast follows from the tables' bytes.
     Sales without customer get a salted, never-matching join key: a large
     NULL group spreads over ``NULL_CUSTOMER_SALT`` shuffle keys instead of
     landing in one partition, and the sales are scanned once.
     """
     sales = op.sale.filter((F.col("status") == status) & (F.col("updated_at") >= ntz(last_run)))
     sales = sales.select("sale_id", "branch_id", "customer_id", F.to_date("sold_at").alias("date"))
-    dates = checked_broadcast(dw.dim_date.select("date", "date_sk"))
-    branches = checked_broadcast(dw.dim_branch.select("branch_id", "branch_sk"))
+    dates = calendar(dw.dim_date.select("date", "date_sk"))
+    branches = dw.dim_branch.select("branch_id", "branch_sk")
     s = sales.join(dates, "date").join(branches, "branch_id")
     no_customer = F.col("customer_id").isNull()
     s = s.select("*", F.coalesce("customer_id", F.lit(0).cast("long")).alias("_ck"),
@@ -167,7 +166,7 @@ def fact_source(op: OpTables, dw: DwTables, last_run: dt.datetime, as_of: dt.dat
         "sale_id", "date_sk", "branch_sk", "customer_sk", year_month(F.col("date")).alias("sale_month"))
     items = op.sale_item.select("item_id", "sale_id", "product_id", "qty", "unit_price", "discount")
     f = (s.join(items, "sale_id")
-         .join(checked_broadcast(dw.dim_product.select("product_id", "product_sk")), "product_id"))
+         .join(dw.dim_product.select("product_id", "product_sk"), "product_id"))
     q, p, d = F.col("qty"), F.col("unit_price"), F.col("discount")
     return conform(f.select(
         "date_sk", "branch_sk", "product_sk", "customer_sk", "sale_id", "item_id", "qty",
@@ -210,7 +209,8 @@ def run_etl(op: OpTables, dw: DwTables, as_of: dt.datetime, process: str = S.PRO
     A partitioned store rewrites only the partitions the source touches.
 
     ``since`` replaces the stored mark when the caller already restricted
-    ``op.sale`` to the changed sales (a stream's micro-batch).
+    ``op.sale`` to the changed sales (a stream's micro-batch); the mark then
+    stays, so that a later batch run misses nothing.
     """
     control = ensure_control(dw.etl_control, process, initial_mark, as_of)
     last_run = read_last_run(control, process) if since is None else since
@@ -227,7 +227,8 @@ def run_etl(op: OpTables, dw: DwTables, as_of: dt.datetime, process: str = S.PRO
     else:
         fact = merge_fact(dw.fact_sale_item, source)
     dw = dw.with_(fact_sale_item=fact)
-    dw = dw.with_(etl_control=stage("etl_control", advance_mark(control, as_of, process)))
+    moved = advance_mark(control, as_of, process) if since is None else control
+    dw = dw.with_(etl_control=stage("etl_control", moved))
     return EtlRun(dw, last_run, rng, as_of)
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tillhouse.functions.dates import month_in_range, year_month
 from tillhouse.functions.money import guarded_ratio, sum_money
 from tillhouse.model import DwTables, OpTables
-from tillhouse.operators.joins import checked_broadcast
+from tillhouse.operators.joins import calendar
 
 DAILY_COLUMNS = ["date", "branch", "city", "uf", "net", "gross", "discount", "discount_pct",
                  "n_sales", "units_sold", "avg_ticket", "units_per_sale"]
@@ -42,8 +42,8 @@ def kpi_daily_branch(dw: DwTables, first: dt.date | None = None, last: dt.date |
         fact = fact.filter(F.col("sale_month").between(_ym(first), _ym(last)))
         dates = dates.filter(F.col("date").between(F.lit(first), F.lit(last)))
     x = (fact.select("date_sk", "branch_sk", "sale_id", "qty", "gross", "discount", "net")
-         .join(checked_broadcast(dates), "date_sk")
-         .join(checked_broadcast(dw.dim_branch.select("branch_sk", F.col("name").alias("branch"), "city", "uf")),
+         .join(calendar(dates), "date_sk")
+         .join(dw.dim_branch.select("branch_sk", F.col("name").alias("branch"), "city", "uf"),
                "branch_sk"))
     g = x.groupBy("date", "branch", "city", "uf").agg(
         sum_money(F.col("net")).alias("net"),
@@ -69,9 +69,9 @@ def kpi_monthly_branch_category(dw: DwTables, first: tuple[int, int] | None = No
         fact = fact.filter(F.col("sale_month").between(first[0] * 100 + first[1], last[0] * 100 + last[1]))
         dates = dates.filter(month_in_range(F.col("year"), F.col("month"), *first, *last))
     x = (fact.select("date_sk", "branch_sk", "product_sk", "sale_id", "qty", "net")
-         .join(checked_broadcast(dates), "date_sk")
-         .join(checked_broadcast(dw.dim_branch.select("branch_sk", F.col("name").alias("branch"))), "branch_sk")
-         .join(checked_broadcast(dw.dim_product.select("product_sk", "category")), "product_sk"))
+         .join(calendar(dates), "date_sk")
+         .join(dw.dim_branch.select("branch_sk", F.col("name").alias("branch")), "branch_sk")
+         .join(dw.dim_product.select("product_sk", "category"), "product_sk"))
     return x.groupBy("year", "month", "branch", "category").agg(
         sum_money(F.col("net")).alias("net"),
         F.countDistinct("sale_id").alias("n_sales"),
@@ -111,7 +111,7 @@ def sales_by_branch(op: OpTables) -> DataFrame:
     """
     per_sale = op.sale_item.groupBy("sale_id").agg(
         F.sum(F.col("qty").cast("decimal(10,0)") * F.col("unit_price") - F.col("discount")).alias("amount"))
-    branches = checked_broadcast(op.branch.select("branch_id", F.col("name").alias("branch")))
+    branches = op.branch.select("branch_id", F.col("name").alias("branch"))
     s = op.sale.select("sale_id", "branch_id").join(per_sale, "sale_id", "left").join(branches, "branch_id")
     return (s.groupBy("branch")
             .agg(F.count(F.lit(1)).alias("total_sales"), sum_money(F.col("amount")).alias("revenue"))

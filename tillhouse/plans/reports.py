@@ -19,12 +19,17 @@ from pyspark.sql import functions as F
 
 from tillhouse import schemas as S
 from tillhouse.functions.dates import period_label
-from tillhouse.operators.joins import checked_broadcast
-from tillhouse.operators.pivot import dense_cells, pivot_sum, pivot_values, stack_bases
+from tillhouse.operators.joins import calendar
+from tillhouse.operators.pivot import dense_cells, pivot_sum, stack_bases
 
 
-def daily_net_pivot(daily: DataFrame) -> DataFrame:
-    return pivot_sum(daily, ["date"], "branch", "net").orderBy("date")
+def branch_labels(dw) -> list[str]:
+    """The branch names, in order: the columns of the wide reports."""
+    return [r["name"] for r in dw.dim_branch.select("name").distinct().orderBy("name").collect()]
+
+
+def daily_net_pivot(daily: DataFrame, branches: list[str]) -> DataFrame:
+    return pivot_sum(daily, ["date"], "branch", "net", branches).orderBy("date")
 
 
 def branch_totals(daily: DataFrame) -> DataFrame:
@@ -34,12 +39,12 @@ def branch_totals(daily: DataFrame) -> DataFrame:
 
 def weekday_cells(daily: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Daily rows with the weekday of their date (left join on date)."""
-    days = checked_broadcast(dim_date.select("date", "weekday"))
+    days = calendar(dim_date.select("date", "weekday"))
     return daily.join(days, "date", "left").filter(F.col("weekday").isNotNull())
 
 
-def weekday_matrix(daily: DataFrame, dim_date: DataFrame) -> DataFrame:
-    return pivot_sum(weekday_cells(daily, dim_date), ["weekday"], "branch", "net").orderBy("weekday")
+def weekday_matrix(daily: DataFrame, dim_date: DataFrame, branches: list[str]) -> DataFrame:
+    return pivot_sum(weekday_cells(daily, dim_date), ["weekday"], "branch", "net", branches).orderBy("weekday")
 
 
 def with_period(monthly: DataFrame) -> DataFrame:
@@ -57,24 +62,19 @@ def top_category_rows(monthly: DataFrame, k: int = S.TOP_CATEGORIES) -> DataFram
     return with_period(monthly).join(top, "category", "left_semi")
 
 
-def top_category_matrix(monthly: DataFrame, k: int = S.TOP_CATEGORIES) -> DataFrame:
+def top_category_matrix(monthly: DataFrame, branches: list[str], k: int = S.TOP_CATEGORIES) -> DataFrame:
     rows = top_category_rows(monthly, k)
-    return pivot_sum(rows, ["period", "category"], "branch", "net").orderBy("period", "category")
+    return pivot_sum(rows, ["period", "category"], "branch", "net", branches).orderBy("period", "category")
 
 
-def stack_cells(monthly: DataFrame, k: int = S.TOP_CATEGORIES) -> DataFrame:
+def stack_cells(monthly: DataFrame, branches: list[str], k: int = S.TOP_CATEGORIES) -> DataFrame:
     """Long form of the top-category matrix with each segment's base."""
     rows = top_category_rows(monthly, k)
-    cells = dense_cells(rows, ["period", "category"], "branch", "net", pivot_values(rows, "branch"))
+    cells = dense_cells(rows, ["period", "category"], "branch", "net", branches)
     return cells.select("period", "category", "branch", "net",
                         stack_bases(cells, ["period", "category"], "branch", "net"))
 
 
-def axis_label(period, category):
-    """Two-line bar label 'YYYY-MM\\ncategory'."""
-    return F.concat_ws("\n", period, category)
-
-
 def report_datasets(dw, as_of, days: int = S.DEFAULT_REPORT_DAYS) -> dict:
     """All report datasets for the window ``as_of - days .. as_of``.
 
@@ -83,21 +83,22 @@ def report_datasets(dw, as_of, days: int = S.DEFAULT_REPORT_DAYS) -> dict:
     from tillhouse.plans import kpi
 
     first, last = kpi.report_window(as_of, days)
+    branches = branch_labels(dw)
     daily = kpi.kpi_daily_range(dw, first, last)
     monthly = kpi.kpi_monthly_range(dw, first.year, first.month, last.year, last.month)
     return {
         "kpi_daily": daily,
         "kpi_monthly": monthly,
-        "01_daily_net_by_branch": daily_net_pivot(daily),
+        "01_daily_net_by_branch": daily_net_pivot(daily, branches),
         "02_net_total_by_branch": branch_totals(daily),
-        "03_weekday_x_branch": weekday_matrix(daily, dw.dim_date),
-        "04_monthly_top_categories": top_category_matrix(monthly),
-        "04_monthly_top_categories_stack": stack_cells(monthly),
+        "03_weekday_x_branch": weekday_matrix(daily, dw.dim_date, branches),
+        "04_monthly_top_categories": top_category_matrix(monthly, branches),
+        "04_monthly_top_categories_stack": stack_cells(monthly, branches),
     }
 
 
 def write_reports(datasets: dict, out: str) -> list[str]:
-    """Write each (bounded) dataset as one CSV folder ``<out>/<name>``.
+    """Write each dataset as one CSV folder ``<out>/<name>``, in as many files as it has partitions.
 
     The two range loads feed every report, so they are persisted while the
     reports are written (each is computed once; a lost block is recomputed).
@@ -109,7 +110,7 @@ def write_reports(datasets: dict, out: str) -> list[str]:
     try:
         for name, df in datasets.items():
             path = f"{out.rstrip('/')}/{name}"
-            df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+            df.write.mode("overwrite").option("header", True).csv(path)
             written.append(path)
     finally:
         for df in loads:

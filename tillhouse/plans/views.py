@@ -31,23 +31,16 @@ def register(spark: SparkSession, dw: DwTables, op: OpTables | None = None) -> N
 
 
 def load_daily(spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame:
-    return spark.sql(
-        f"""SELECT date, branch, city, uf, net, gross, discount, discount_pct, n_sales, units_sold,
-                   avg_ticket, units_per_sale
-            FROM {DAILY_VIEW}
-            WHERE date BETWEEN :first AND :last
-            ORDER BY date, branch""",
-        args={"first": first, "last": last})
+    """The daily KPI rows of a window of days."""
+    return spark.sql(f"SELECT v.* FROM {DAILY_VIEW} v WHERE v.date >= :start AND v.date < :stop ORDER BY v.date, v.branch",
+                     args={"start": first, "stop": last + dt.timedelta(days=1)})
 
 
 def load_monthly(spark: SparkSession, y0: int, m0: int, y1: int, m1: int) -> DataFrame:
-    return spark.sql(
-        f"""SELECT year, month, branch, category, net, n_sales, units_sold
-            FROM {MONTHLY_VIEW}
-            WHERE (year > :a0 OR (year = :a0 AND month >= :m0))
-              AND (year < :a1 OR (year = :a1 AND month <= :m1))
-            ORDER BY year, month, branch, category""",
-        args={"a0": y0, "m0": m0, "a1": y1, "m1": m1})
+    """The monthly KPI rows of a span of months, both ends included."""
+    return spark.sql(f"SELECT v.* FROM {MONTHLY_VIEW} v WHERE v.year * 100 + v.month BETWEEN :start AND :stop "
+                     "ORDER BY v.year, v.month, v.branch, v.category",
+                     args={"start": y0 * 100 + m0, "stop": y1 * 100 + m1})
 
 
 def item_count_sql(spark: SparkSession) -> DataFrame:

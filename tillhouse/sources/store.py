@@ -24,7 +24,7 @@ folders); folders of a failed attempt that no manifest lists are never read.
 from __future__ import annotations
 
 import datetime as dt
-import os
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +35,7 @@ from tillhouse import schemas as S
 from tillhouse.model import DwTables, OpTables, conform, empty, literal_rows
 from tillhouse.operators.upsert import upsert_by_key
 from tillhouse.plans.etl import EtlRun, run_etl
-from tillhouse.session import ensure_checkpoint_dir
+from tillhouse.session import scratch_path
 
 FACT = "fact_sale_item"
 MANIFEST = "fact_manifest"
@@ -55,17 +55,17 @@ def _missing_path(e: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in str(getattr(e, "getCondition", lambda: "")() or "") or "does not exist" in str(e)
 
 
-def checkpoint_stage(name: str, df: DataFrame) -> DataFrame:
-    """ETL stage that cuts lineage with a reliable checkpoint (shared folder)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def parquet_stage(name: str, df: DataFrame) -> DataFrame:
+    """ETL stage that writes the table to the shared folder and reads it back: prunable, and of known size."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def persist_op(op: OpTables) -> OpTables:
-    ensure_checkpoint_dir(op.sale.sparkSession)
-    return OpTables(branch=op.branch.checkpoint(), customer=op.customer.checkpoint(),
-                    product=op.product.checkpoint(), sale=op.sale.checkpoint(),
-                    sale_item=op.sale_item.checkpoint())
+    return OpTables(branch=parquet_stage("branch", op.branch), customer=parquet_stage("customer", op.customer),
+                    product=parquet_stage("product", op.product), sale=parquet_stage("sale", op.sale),
+                    sale_item=parquet_stage("sale_item", op.sale_item))
 
 
 class WarehouseStore:
@@ -143,8 +143,12 @@ class WarehouseStore:
         reference in the returned manifest.
         """
         spark = source.sparkSession
-        ensure_checkpoint_dir(spark)
-        src = source.checkpoint(eager=True)
+        if not previous:  # a first load writes its source as it is
+            self._write_fact(source, version)
+            months = self._fact_from_root(spark).where(F.col(FACT_VERSION) == version).select("sale_month").distinct().collect()
+            entries = [(m, version) for m in sorted(r[0] for r in months)]
+            return self._fact_from(spark, entries), entries
+        src = parquet_stage("fact_source", source)
         lo, hi = src.agg(F.min("item_id"), F.max("item_id")).first()
         if lo is None:  # nothing to load
             return target, previous
@@ -153,14 +157,21 @@ class WarehouseStore:
                  .join(ids, "item_id", "left_semi").select("sale_month"))
         months = sorted(r[0] for r in src.select("sale_month").union(moved).distinct().collect())
         part = target.filter(F.col("sale_month").isin(months))
-        new = (upsert_by_key(part, src, "item_id").withColumn(FACT_VERSION, F.lit(version).cast("long"))
-               .hint("rebalance", "sale_month").sortWithinPartitions("sale_month", "item_id"))
-        (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("sale_month", FACT_VERSION).parquet(self._path(FACT)))
+        self._write_fact(upsert_by_key(part, src, "item_id"), version)
         touched = set(months)
         entries = [(m, v) for m, v in previous if m not in touched] + [(m, version) for m in months]
         return self._fact_from(spark, entries), entries
 
+    def _write_fact(self, rows: DataFrame, version: int) -> None:
+        rows = (rows.withColumn(FACT_VERSION, F.lit(version).cast("long"))
+                .hint("rebalance", "sale_month").sortWithinPartitions("sale_month", "item_id"))
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("sale_month", FACT_VERSION).parquet(self._path(FACT)))
+
+    def _fact_from_root(self, spark: SparkSession) -> DataFrame:
+        schema = T.StructType(S.FACT_SALE_ITEM.fields + [T.StructField(FACT_VERSION, T.LongType())])
+        return spark.read.schema(schema).parquet(self._path(FACT))
+
     def commit(self, spark: SparkSession, version: int, as_of: dt.datetime, loaded: bool) -> None:
         row = literal_rows(spark, [(version, as_of, loaded)], COMMITS)
         row.coalesce(1).write.mode("append").parquet(self._path("_commits"))
@@ -201,8 +212,3 @@ class WarehouseStore:
             self._path(MANIFEST, f"v={version}"))
         self.commit(spark, version, as_of, result.loaded)
         return EtlRun(self.read(spark, version), result.last_run, result.changed, as_of)
-
-
-def local_store(spark: SparkSession, name: str) -> WarehouseStore:
-    base = ensure_checkpoint_dir(spark)
-    return WarehouseStore(os.path.join(base, "warehouse", name))

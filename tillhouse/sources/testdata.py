@@ -121,7 +121,9 @@ def sale_items(lineitem: DataFrame, part: DataFrame, orders: DataFrame) -> DataF
     # Line position inside its order: a window per order key, bounded by the
     # id scheme (< 100 lines per order).
     w = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
-    lines = lineitem.withColumn("n", F.row_number().over(w))
+    n = F.row_number().over(w)
+    too_many = F.raise_error(F.concat(F.lit("the item id scheme has no room for the lines of order "), F.col("l_orderkey")))
+    lines = lineitem.withColumn("n", n).withColumn("n", F.when(F.col("n") < LINES_PER_ORDER, F.col("n")).otherwise(too_many.cast("int")))
     k = F.col("l_orderkey") + F.col("n")
     status = _status(F.col("o_orderstatus"))
     df = (
