@@ -47,7 +47,7 @@ from tillhouse.llm.common import Rolling, bucketed, discard, joined, slices, sta
 LENGTH = 200
 Q = 40
 GROUP = 17
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 ROLLS = Rolling(0x2545F4914F6CDD1D), Rolling(0xD1342543DE82EF95)
 POSITION_BITS = 28
 

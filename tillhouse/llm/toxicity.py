@@ -49,7 +49,7 @@ LEXICON_ROWS = 2_000
 STEM = (4, 5, 6, 7)
 DENSITY = 100
 SCOPE, REACH = 3, 4
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ROLL = Rolling(0x5851F42D4C957F2D)
 
