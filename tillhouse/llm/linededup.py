@@ -68,7 +68,8 @@ def recurring_lines(spark: SparkSession, rows: DataFrame, id_col: str = "doc_id"
 
     # Leaves with several lines vote on each position; a line is read where it stands first.
     shared = lines.groupBy("leaf").agg(F.count("*").alias("n_lines"), F.sum("n_docs").alias("votes"))
-    shared = shared.where((F.col("n_lines") > 1) & (F.col("votes") >= min_docs)).select("leaf", "votes")
+    # Written before the join, so that a hot leaf can be split there; so is what each position keeps.
+    shared = stage(spark, shared.where((F.col("n_lines") > 1) & (F.col("votes") >= min_docs)).select("leaf", "votes"), "shared-leaves")
     voters = lines.join(shared, "leaf").select("at.uid", "at.pos", "line_id", "leaf", "votes", "n_docs")
     voters = voters.groupBy("uid").agg(F.collect_list(F.struct("pos", "line_id", "leaf", "votes", "n_docs")).alias("v"))
     read = rows.select(F.col("__uid").alias("uid"), _split(text_col).alias("lines")).join(voters, "uid")
@@ -78,6 +79,7 @@ def recurring_lines(spark: SparkSession, rows: DataFrame, id_col: str = "doc_id"
     tokens = read.select("line_id", "leaf", F.size("tokens").alias("n"), "votes", "n_docs", F.posexplode("tokens").alias("at", "token"))
     constant = (tokens.groupBy("leaf", "at", "token").agg(F.sum("n_docs").alias("have"), F.max("votes").alias("votes"))
                 .where(F.col("have") * 2 > F.col("votes")).select("leaf", "at", "token"))
+    constant = stage(spark, constant, "leaf-constants")
     agree = tokens.join(constant, ["leaf", "at", "token"]).groupBy("line_id", "leaf", "n").agg(F.count("*").alias("same"))
     member = stage(spark, agree.where(F.col("same") >= F.lit(similarity) * F.col("n")).select("line_id", "leaf"), "leaf-members")
 

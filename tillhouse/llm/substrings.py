@@ -145,10 +145,11 @@ def _finer(length: int, group: int):
 def refine(spark: SparkSession, members: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """Settled members (their refined bucket a, b has others) and those to look at closer: open ones (only the first bucket
     a has others), with one settled member of each refined bucket in an open first bucket."""
-    shared = members.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
+    # The counts are written first: a join of two plain exchanges is one whose skewed keys Spark can split.
+    shared = stage(spark, members.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a"), name)
     alive = stage(spark, members.join(shared, "a", "left_semi"), name)
     discard(spark, members)
-    equal = alive.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1")
+    equal = stage(spark, alive.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1"), name)
     parts = stage(spark, alive.join(equal, ["a", "b"], "left").select("uid", "first", "count", "lead", "a", "b",
                                                                      F.col("n").isNotNull().alias("settled")), name)
     discard(spark, alive)
@@ -198,7 +199,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, q
     found, asked = refine(spark, members, "run-buckets")
     inside, asked = refine(spark, finer(asked, GROUP), "group-buckets")
     windows = finer(asked, 1)
-    equal = windows.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b")
+    equal = stage(spark, windows.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b"), "windows")
     single = windows.join(equal, ["a", "b"], "left_semi").select("uid", "first", "count")
 
     marks = found.unionByName(inside).unionByName(single)
