@@ -168,6 +168,11 @@ def _drifted(spark, d, kind: str) -> tuple[OpTables, DwTables]:
     raise ValueError(kind)
 
 
+def _staged_sides(op: OpTables, dw: DwTables) -> validate.Sides:
+    sides = validate.Sides.of(op, dw)
+    return validate.Sides(store.parquet_stage("op_sales", sides.op_sales), store.parquet_stage("dw_sales", sides.dw_sales))
+
+
 CHECKS: dict[str, Callable[[OpTables, DwTables], DataFrame]] = {
     "check1_item_count": validate.item_counts,
     "check2_money_totals": validate.money_totals,
@@ -176,7 +181,7 @@ CHECKS: dict[str, Callable[[OpTables, DwTables], DataFrame]] = {
     "check5_surplus_items": validate.surplus_items,
     "check6_dim_keys": lambda op, dw: validate.dim_key_check(dw),
     "check7_sanity": validate.sanity,
-    "check_verdict": lambda op, dw: validate.verdict(op, dw).select("check", "passed", "n_bad"),
+    "check_verdict": lambda op, dw: validate.verdict(op, dw, _staged_sides(op, dw)).select("check", "passed", "n_bad"),
 }
 
 

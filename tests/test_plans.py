@@ -57,8 +57,13 @@ def test_cluster_like_plan_shapes(spark, sf001_op, sf001_dw):
                 assert "SinglePartition" not in text, name      # no global sort / window over data
         # the fact load shuffles items once on sale_id (one exchange per join side)
         assert plans["fact"].count("hashpartitioning(sale_id") == 2
-        # date and branch lookups stay broadcast (size-checked), even with auto-broadcast off
-        assert plans["daily"].split("\n\n")[0].count("BroadcastExchange") == 2
+        # with automatic broadcast off, only the calendar is broadcast (one row per day)
+        assert plans["daily"].split("\n\n")[0].count("BroadcastExchange") == 1
         assert "TakeOrderedAndProject" in _formatted(validate.surplus_items(sf001_op, dw))
+        # totals need no per-sale rows of the fact, and two distinct counts must not multiply its rows
+        for check in (validate.item_counts, validate.money_totals):
+            assert "hashpartitioning(date_sk" not in _formatted(check(sf001_op, dw))
+        assert "Expand" not in _formatted(validate.sanity(sf001_op, dw))
+        assert "Expand" not in _formatted(validate.daily_diffs(sf001_op, dw))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
