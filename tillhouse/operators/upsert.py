@@ -13,6 +13,7 @@ for matched rows and new keys are assigned only to unseen natural keys.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillhouse.model import conform
 from tillhouse.operators.keys import assign_surrogate_keys, max_key_of
@@ -43,12 +44,19 @@ def upsert_scd1(target: DataFrame, source: DataFrame, key: str, sk: str, sk_type
     ``source`` must be unique on ``key`` (its primary key; ``quality.duplicate_keys``
     checks it) - an upsert cannot update the same target row twice.
     """
-    matched = source.join(target.select(key, sk), key, "inner")
-    new = source.join(target.select(key), key, "left_anti")
-    new = assign_surrogate_keys(new, [key], sk, max_key_of(target, sk), sk_type)
-    kept = target.join(source.select(key), key, "left_anti")
-    cols = target.columns
-    out = kept.select(*cols).unionByName(matched.select(*cols)).unionByName(new.select(*cols))
+    joined = target.alias("t").join(source.withColumn("__in_source", F.lit(True)).alias("s"),
+                                    F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
+
+    def merged(c: str):
+        if c == key:
+            return F.coalesce(F.col(f"s.{c}"), F.col(f"t.{c}")).alias(c)
+        if c == sk or c not in source.columns:
+            return F.col(f"t.{c}").alias(c)
+        return F.when(F.col("s.__in_source"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
+
+    rows = joined.select([merged(c) for c in target.columns])
+    new = assign_surrogate_keys(rows.where(F.col(sk).isNull()).drop(sk), [key], sk, max_key_of(target, sk), sk_type)
+    out = rows.where(F.col(sk).isNotNull()).unionByName(new.select(*target.columns))
     return conform(out, schema) if schema is not None else out
 
 
