@@ -402,20 +402,17 @@ def _half_up(num: str, den: str) -> str:
 BASE = _with(_op_cte(), _fact_cte())
 BRAND = _with(_op_cte("p_brand"), _fact_cte())
 
+# One row per sale first: a sale has one day and one branch, so counting rows counts sales.
 DAILY_SELECT = f"""
-SELECT CAST(f.date AS VARCHAR) AS date, b.name AS branch, b.city, b.uf,
-       {_money('SUM(f.net_c)')} AS net, {_money('SUM(f.gross_c)')} AS gross,
-       {_money('SUM(f.disc_c)')} AS discount,
-       CASE WHEN SUM(f.gross_c) > 0 THEN {_half_up('10000 * SUM(f.disc_c)', 'SUM(f.gross_c)')} ELSE 0 END
-         AS discount_pct,
-       COUNT(DISTINCT f.sale_id) AS n_sales, CAST(SUM(f.qty) AS BIGINT) AS units_sold,
-       CASE WHEN COUNT(DISTINCT f.sale_id) > 0 THEN {_half_up('SUM(f.net_c)', 'COUNT(DISTINCT f.sale_id)')}
-            ELSE 0 END AS avg_ticket,
-       CASE WHEN COUNT(DISTINCT f.sale_id) > 0 THEN {_half_up('100 * SUM(f.qty)', 'COUNT(DISTINCT f.sale_id)')}
-            ELSE 0 END AS units_per_sale
-FROM fact f JOIN op_branch b ON b.branch_id = f.branch_id
-{{where}}
-GROUP BY f.date, b.name, b.city, b.uf"""
+SELECT CAST(s.date AS VARCHAR) AS date, b.name AS branch, b.city, b.uf, COUNT(*) AS n_sales,
+       CAST(SUM(s.units) AS BIGINT) AS units_sold, {_money('SUM(s.net)')} AS net, {_money('SUM(s.gross)')} AS gross,
+       {_money('SUM(s.disc)')} AS discount,
+       CASE SUM(s.gross) WHEN 0 THEN 0 ELSE {_half_up('10000 * SUM(s.disc)', 'SUM(s.gross)')} END AS discount_pct,
+       {_half_up('SUM(s.net)', 'COUNT(*)')} AS avg_ticket, {_half_up('100 * SUM(s.units)', 'COUNT(*)')} AS units_per_sale
+FROM (SELECT f.date, f.branch_id, f.sale_id, SUM(f.qty) AS units, SUM(f.net_c) AS net, SUM(f.gross_c) AS gross, SUM(f.disc_c) AS disc
+      FROM fact f {{where}} GROUP BY f.sale_id, f.branch_id, f.date) s
+JOIN op_branch b USING (branch_id)
+GROUP BY s.date, b.name, b.city, b.uf"""
 
 MONTHLY_SELECT = f"""
 SELECT CAST(year(f.date) AS BIGINT) AS year, CAST(month(f.date) AS BIGINT) AS month, b.name AS branch,
@@ -518,28 +515,24 @@ def _check_sql(name: str, kind: str | None) -> str:
         return pre + f"""SELECT (SELECT COUNT(*) FROM {OP_COMPLETED}) AS op_items_completed,
                                (SELECT COUNT(*) FROM dwf) AS dw_items"""
     if name == "check2_money_totals":
-        return pre + f"""SELECT {_money('o.g')} AS gross_op, {_money('d.g')} AS gross_dw,
-       {_money('o.g - d.g')} AS diff_gross, {_money('o.dd')} AS discount_op, {_money('d.dd')} AS discount_dw,
-       {_money('o.dd - d.dd')} AS diff_discount, {_money('o.n')} AS net_op, {_money('d.n')} AS net_dw,
-       {_money('o.n - d.n')} AS diff_net
-FROM (SELECT SUM(gross_c) AS g, SUM(disc_c) AS dd, SUM(net_c) AS n FROM {OP_COMPLETED}) o,
-     (SELECT SUM(gross_c) AS g, SUM(disc_c) AS dd, SUM(net_c) AS n FROM dwf) d"""
+        sums = {"gross": "gross_c", "discount": "disc_c", "net": "net_c"}
+        cols = ", ".join(f"{_money(f'SUM({c}) FILTER (op)')} AS {m}_op, {_money(f'SUM({c}) FILTER (NOT op)')} AS {m}_dw, "
+                         f"{_money(f'SUM(CASE WHEN op THEN {c} ELSE -{c} END)')} AS diff_{m}" for m, c in sums.items())
+        return pre + f"""SELECT {cols} FROM (SELECT TRUE AS op, gross_c, disc_c, net_c FROM {OP_COMPLETED}
+      UNION ALL SELECT FALSE, gross_c, disc_c, net_c FROM dwf)"""
     if name == "check3_daily_diffs":
+        measures = {"n_sales": "COUNT(DISTINCT sale_id)", "n_items": "COUNT(item_id)", "gross": "SUM(gross_c)",
+                    "discount": "SUM(disc_c)", "net": "SUM(net_c)"}
         cols, bad = [], []
-        for m in ["n_sales", "n_items", "gross", "discount", "net"]:
-            money = m in ("gross", "discount", "net")
-            o, d = f"COALESCE(o.{m}, 0)", f"COALESCE(w.{m}, 0)"
-            conv = _money if money else (lambda c: f"CAST({c} AS BIGINT)")
-            cols += [f"{conv(o)} AS op_{m}", f"{conv(d)} AS dw_{m}", f"{conv(f'{o} - {d}')} AS diff_{m}"]
-            bad.append(f"{o} <> {d}")
-        side = """SELECT CAST({date} AS DATE) AS date, branch_id, COUNT(DISTINCT sale_id) AS n_sales,
-                 COUNT(item_id) AS n_items, SUM(gross_c) AS gross, SUM(disc_c) AS discount, SUM(net_c) AS net
-          FROM {src} GROUP BY 1, 2"""
-        return pre + f"""SELECT CAST(COALESCE(o.date, w.date) AS VARCHAR) AS date,
-       CAST(COALESCE(o.branch_id, w.branch_id) AS BIGINT) AS branch_id, {', '.join(cols)}
-FROM ({side.format(date='sold_at', src=OP_COMPLETED)}) o
-FULL OUTER JOIN ({side.format(date='date', src=DW_DATED)}) w ON o.date = w.date AND o.branch_id = w.branch_id
-WHERE {' OR '.join(bad)}"""
+        for m, agg in measures.items():
+            o, d = f"COALESCE({agg} FILTER (op), 0)", f"COALESCE({agg} FILTER (NOT op), 0)"
+            conv = (lambda c: f"CAST({c} AS BIGINT)") if m.startswith("n_") else _money
+            cols += [f"{conv(f'({o})')} AS op_{m}", f"{conv(f'({d})')} AS dw_{m}", f"{conv(f'({o} - {d})')} AS diff_{m}"]
+            bad.append(f"{o} - {d} <> 0")
+        return pre + f"""SELECT CAST(day AS VARCHAR) AS date, CAST(branch_id AS BIGINT) AS branch_id, {', '.join(cols)}
+FROM (SELECT TRUE AS op, CAST(sold_at AS DATE) AS day, branch_id, sale_id, item_id, gross_c, disc_c, net_c FROM {OP_COMPLETED}
+      UNION ALL SELECT FALSE, CAST(date AS DATE), branch_id, sale_id, item_id, gross_c, disc_c, net_c FROM {DW_DATED})
+GROUP BY day, branch_id HAVING {' OR '.join(bad)}"""
     if name == "check4_missing_items":
         return pre + f"""SELECT item_id, sale_id, CAST(sold_at AS VARCHAR) AS sold_at,
        CAST(branch_id AS BIGINT) AS branch_id, product_id, CAST(qty AS BIGINT) AS qty,
@@ -550,8 +543,9 @@ ORDER BY sold_at, item_id LIMIT 200"""
         return pre + f"""SELECT f.item_id, f.sale_id, CAST(f.date AS VARCHAR) AS date_dw,
        CAST(f.branch_id AS BIGINT) AS branch_id_dw, CAST(f.qty AS BIGINT) AS qty, {_money('f.gross_c')} AS gross,
        {_money('f.disc_c')} AS discount, {_money('f.net_c')} AS net
-FROM {DW_DATED} f LEFT JOIN op_item i ON i.item_id = f.item_id LEFT JOIN op_sale_v s ON s.sale_id = f.sale_id
-WHERE i.item_id IS NULL OR s.sale_id IS NULL OR s.status <> 'COMPLETED'
+FROM {DW_DATED} f
+WHERE NOT EXISTS (SELECT 1 FROM op_item i WHERE i.item_id = f.item_id)
+   OR NOT EXISTS (SELECT 1 FROM op_sale_v s WHERE s.sale_id = f.sale_id AND s.status = 'COMPLETED')
 ORDER BY f.date DESC, f.item_id LIMIT 200"""
     if name == "check6_dim_keys":
         return pre + f"""SELECT CAST(SUM(CASE WHEN dd.d IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS no_dim_date,
