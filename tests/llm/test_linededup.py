@@ -83,3 +83,19 @@ def test_templates_and_edges(spark, make_docs):
 def test_no_python_in_the_plan(spark, make_docs):
     plan = L.dedup_lines(spark, make_docs([(1, "a\nb")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_several_templates_behind_one_lead(spark, make_docs):
+    cities = [f"{a}{b}" for a in ("ros", "tal", "ven", "mor", "kel") for b in ("ia", "on", "um", "as", "ek", "or", "il", "et")]
+    by_boat = [f"the order was shipped to {c} on a monday morning by boat" for c in cities]
+    called = [f"the order was cancelled by our client {c}{k} who wanted no tea" for c in cities for k in ("x", "y")][:60]
+    even = [[f"in order to {body.replace('_', c)}" for c in cities[:30]] for body in (
+        "reach the harbour of _ please follow yellow signs", "pay for _ you need one silver coin each",
+        "see what _ looks like open a third window")]
+    prose = ["in order to " + " ".join(f"{w}{k}" for w in cities[j:j + 9]) for j, k in enumerate("abcdefghijkl")]
+    families = [by_boat, called, *even]
+    docs = [(1000 * f + i, line) for f, family in enumerate(families) for i, line in enumerate(family)]
+    docs += [(9000 + i, line) for i, line in enumerate(prose)]
+    assert len({len(line.split()) for family in families for line in family}) == 1
+    got = {r["doc_id"]: r["__kept"] for r in L.dedup_lines(spark, make_docs(docs)).collect()}
+    assert {d: t for d, t in got.items() if t} == {d: t for d, t in docs if d % 1000 == 0 or d >= 9000}

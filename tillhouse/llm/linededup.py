@@ -3,11 +3,18 @@
 A document's lines (split at newlines, trimmed, not blank) are parsed into a
 tree of fixed depth: the number of space-separated tokens, then the leading
 LEAD tokens.  A token that holds a digit is a variable field, ``<*>``.  Lines
-that end at the same leaf share a template:
+that end at the same leaf are a node; nodes are searched for templates in rounds:
 
-* the leaf's template keeps, at each position, the token that more than half
-  of the leaf's (document, line) pairs have there, and ``<*>`` elsewhere; a
+* a node's template keeps, at each position, the token that more than half
+  of the node's (document, line) pairs have there, and ``<*>`` elsewhere; a
   line belongs to it if at least SIMILARITY of its positions agree;
+* where these lines are in MIN_DOCS documents, they leave, and the node's
+  other lines vote again; else the node is split: each line follows its most
+  voted token among those that at most half of the pairs have, which is one
+  more level of the tree and at least halves the node;
+* a line ends its search when fewer than SIMILARITY of its positions have
+  tokens that could still be a majority of MIN_DOCS pairs; the rounds go on
+  until no line is left;
 * any other line is a template of its own (its fields masked).
 
 A template found in at least MIN_DOCS documents is recurring, and its lines
@@ -16,8 +23,8 @@ a group of copies keeps one whole text.  Within a document, nothing is dropped
 for repeating itself.
 
 Skew: (line, document) pairs are made distinct first, which spreads a hot line
-over all tasks; counts then have partial sums; a leaf's token votes are sums
-over (leaf, position, token).  No line's or leaf's rows are collected.
+over all tasks; counts then have partial sums; a node's token votes are sums
+over (node, position, token).  No line's or leaf's rows are collected.
 
 Texts are dealt out once, into buckets by row; the lines that vote and the
 final joins move only positions.
@@ -29,10 +36,12 @@ same lines; an empty table gives an empty result; other columns pass through.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm.common import bucketed, stage
+from tillhouse.llm.common import bucketed, discard, stage
 
 LEAD = 3
 MIN_DOCS = 3
@@ -58,9 +67,50 @@ def _occurrences(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         F.xxhash64(F.lit("leaf"), n, F.substring_index("masked", " ", LEAD)).alias("leaf"))
 
 
+def _search(spark: SparkSession, occurs: DataFrame, lines: DataFrame, min_docs: int, similarity: float) -> list[DataFrame]:
+    """From rows (line_id, node, votes, n_docs, tokens): the members of all templates, a table for each round."""
+    found: list[DataFrame] = []
+    while True:
+        tokens = lines.select("line_id", "node", "votes", "n_docs", F.size("tokens").alias("n"), F.posexplode("tokens").alias("at", "token"))
+        tokens = tokens.withColumn("pair", F.xxhash64("node", "at", "token")).drop("token")
+        # Written before the join, so that a hot pair can be split there.
+        have = tokens.groupBy("pair").agg(F.sum("n_docs").alias("have")).where(F.col("have") * 2 > min_docs)
+        have = stage(spark, have, "token-votes")
+        constant = F.col("have") * 2 > F.col("votes")
+        seen = tokens.join(have, "pair").groupBy("line_id", "node", "n_docs", "n").agg(
+            F.count("*").alias("able"), F.count(F.when(constant, 1)).alias("same"),
+            F.max(F.when(~constant & (F.col("have") >= min_docs), F.struct("have", -F.col("at"), "pair"))).alias("best"))
+        enough = F.lit(similarity) * F.col("n")
+        seen = stage(spark, seen.where(F.col("able") >= enough).select(
+            "line_id", "node", "n_docs", (F.col("same") >= enough).alias("member"), F.col("best.pair").alias("pair")), "node-lines")
+
+        member = seen.where("member").select("line_id", "node")
+        group = occurs.join(member, "line_id").select("node", "doc_id").distinct()
+        group = (group.groupBy("node").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
+                 .where(F.col("n_docs") >= min_docs))
+        group = stage(spark, group, "templates")
+        found.append(stage(spark, member.join(group, "node").select(
+            "line_id", F.col("node").alias("template"), "n_docs", "first_doc"), "template-lines"))
+
+        rest = seen.join(group.select("node", F.lit(True).alias("left")), "node", "left").where("left is null or not member")
+        rest = rest.where("left or pair is not null").select(
+            "line_id", "n_docs", F.when(F.col("left"), F.xxhash64(F.lit("rest"), "node")).otherwise(F.col("pair")).alias("node"))
+        rest = stage(spark, rest, "open-lines")
+        nodes = rest.groupBy("node").agg(F.count("*").alias("n_lines"), F.sum("n_docs").alias("votes"))
+        nodes = stage(spark, nodes.where((F.col("n_lines") > 1) & (F.col("votes") >= min_docs)).select("node", "votes"), "open-nodes")
+        if nodes.isEmpty():
+            return found
+        rest = rest.join(nodes, "node").select("line_id", "node", "votes", "n_docs")
+        done, lines = lines, stage(spark, rest.join(lines.select("line_id", "tokens"), "line_id"), "open-tokens")
+        if len(found) == 1:
+            occurs = stage(spark, occurs.join(lines.select("line_id"), "line_id").select("line_id", "doc_id").distinct(), "open-pairs")
+        for old in (done, have, seen):
+            discard(spark, old)
+
+
 def recurring_lines(spark: SparkSession, rows: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """From rows with __uid: (occurrences, recurring line_ids with template, n_docs and first_doc, the leaves' constant tokens)."""
+                    min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """From rows with __uid: (occurrences, recurring line_ids with template, n_docs and first_doc)."""
     occurs = stage(spark, _occurrences(rows, id_col, text_col), "lines")
     pairs = occurs.groupBy("line_id", "leaf", "doc_id").agg(F.min(F.struct("uid", "pos")).alias("at"))
     lines = stage(spark, pairs.groupBy("line_id", "leaf").agg(
@@ -68,36 +118,28 @@ def recurring_lines(spark: SparkSession, rows: DataFrame, id_col: str = "doc_id"
 
     # Leaves with several lines vote on each position; a line is read where it stands first.
     shared = lines.groupBy("leaf").agg(F.count("*").alias("n_lines"), F.sum("n_docs").alias("votes"))
-    # Written before the join, so that a hot leaf can be split there; so is what each position keeps.
+    # Written before the join, so that a hot leaf can be split there; so is what each position has.
     shared = stage(spark, shared.where((F.col("n_lines") > 1) & (F.col("votes") >= min_docs)).select("leaf", "votes"), "shared-leaves")
     voters = lines.join(shared, "leaf").select("at.uid", "at.pos", "line_id", "leaf", "votes", "n_docs")
     voters = voters.groupBy("uid").agg(F.collect_list(F.struct("pos", "line_id", "leaf", "votes", "n_docs")).alias("v"))
     read = rows.select(F.col("__uid").alias("uid"), _split(text_col).alias("lines")).join(voters, "uid")
     read = read.select("lines", F.explode("v").alias("v")).select(
-        "v.*", F.split(_masked(F.trim(F.element_at("lines", F.col("v.pos") + 1))), " ").alias("tokens"))
-    read = stage(spark, read.where(F.size("tokens") > LEAD).drop("pos"), "leaf-lines")
-    tokens = read.select("line_id", "leaf", F.size("tokens").alias("n"), "votes", "n_docs", F.posexplode("tokens").alias("at", "token"))
-    constant = (tokens.groupBy("leaf", "at", "token").agg(F.sum("n_docs").alias("have"), F.max("votes").alias("votes"))
-                .where(F.col("have") * 2 > F.col("votes")).select("leaf", "at", "token"))
-    constant = stage(spark, constant, "leaf-constants")
-    agree = tokens.join(constant, ["leaf", "at", "token"]).groupBy("line_id", "leaf", "n").agg(F.count("*").alias("same"))
-    member = stage(spark, agree.where(F.col("same") >= F.lit(similarity) * F.col("n")).select("line_id", "leaf"), "leaf-members")
-
-    group = occurs.join(member.select("line_id"), "line_id").select("leaf", "doc_id").distinct()
-    group = (group.groupBy("leaf").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
-             .where(F.col("n_docs") >= min_docs))
-    grouped = member.join(group, "leaf").select("line_id", F.col("leaf").alias("template"), "n_docs", "first_doc")
+        "v.line_id", F.col("v.leaf").alias("node"), "v.votes", "v.n_docs",
+        F.split(_masked(F.trim(F.element_at("lines", F.col("v.pos") + 1))), " ").alias("tokens"))
+    read = stage(spark, read.where(F.size("tokens") > LEAD), "leaf-lines")
+
+    grouped = reduce(DataFrame.unionByName, _search(spark, occurs, read, min_docs, similarity))
     alone = (lines.where(F.col("n_docs") >= min_docs).join(grouped.select("line_id"), "line_id", "left_anti")
              .select("line_id", F.col("line_id").alias("template"), "n_docs", "first_doc"))
     recurring = stage(spark, grouped.unionByName(alone), "recurring-lines")
-    return occurs, recurring, constant
+    return occurs, recurring
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 **options: float) -> DataFrame:
     """The rows of ``docs`` with __kept (the text without dropped lines), __n_lines and __n_dropped."""
     rows = bucketed(spark, docs.withColumn("__uid", F.monotonically_increasing_id()), "lined_texts", "__uid")
-    occurs, recurring, _ = recurring_lines(spark, rows, id_col, text_col, **options)
+    occurs, recurring = recurring_lines(spark, rows, id_col, text_col, **options)
     hit = occurs.join(recurring, "line_id").where(F.coalesce(F.col("doc_id") != F.col("first_doc"), F.col("first_doc").isNotNull()))
     drops = stage(spark, hit.groupBy(F.col("uid").alias("__uid")).agg(F.collect_list("pos").alias("__drops")), "line-drops")
     done = rows.join(drops, "__uid", "left").drop("__uid")
