@@ -99,3 +99,11 @@ def test_several_templates_behind_one_lead(spark, make_docs):
     assert len({len(line.split()) for family in families for line in family}) == 1
     got = {r["doc_id"]: r["__kept"] for r in L.dedup_lines(spark, make_docs(docs)).collect()}
     assert {d: t for d, t in got.items() if t} == {d: t for d, t in docs if d % 1000 == 0 or d >= 9000}
+
+
+def test_exact_lines_of_two_documents(spark, make_docs):
+    passage = " ".join(f"word{c}" for c in "abcdefghijklmnopqrstuvwxyz" * 3)
+    docs = [(1, f"one own line\n{passage}"), (2, f"{passage}\nanother line of its own"), (3, "short"), (4, "short\nrest"),
+            (5, "the cat sat on red mats"), (6, "the cat sat on blue mats")]
+    got = {r["doc_id"]: r["__kept"] for r in L.dedup_lines(spark, make_docs(docs)).collect()}
+    assert got == dict(docs) | {2: "another line of its own", 4: "rest"}

@@ -17,8 +17,8 @@ that end at the same leaf are a node; nodes are searched for templates in rounds
   until no line is left;
 * any other line is a template of its own (its fields masked).
 
-A template found in at least MIN_DOCS documents is recurring, and its lines
-are dropped from all these documents but the one with the smallest id, so that
+A node's template found in at least MIN_DOCS documents is recurring, and so is
+a line of its own found in at least EXACT_DOCS; recurring lines are dropped from all these documents but the one with the smallest id, so that
 a group of copies keeps one whole text.  Within a document, nothing is dropped
 for repeating itself.
 
@@ -45,6 +45,7 @@ from tillhouse.llm.common import bucketed, discard, stage
 
 LEAD = 3
 MIN_DOCS = 3
+EXACT_DOCS = 2
 SIMILARITY = 0.8
 FIELD = "<*>"
 
@@ -109,7 +110,8 @@ def _search(spark: SparkSession, occurs: DataFrame, lines: DataFrame, min_docs:
 
 
 def recurring_lines(spark: SparkSession, rows: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+                    min_docs: int = MIN_DOCS, similarity: float = SIMILARITY,
+                    exact_docs: int = EXACT_DOCS) -> tuple[DataFrame, DataFrame]:
     """From rows with __uid: (occurrences, recurring line_ids with template, n_docs and first_doc)."""
     occurs = stage(spark, _occurrences(rows, id_col, text_col), "lines")
     pairs = occurs.groupBy("line_id", "leaf", "doc_id").agg(F.min(F.struct("uid", "pos")).alias("at"))
@@ -129,7 +131,7 @@ def recurring_lines(spark: SparkSession, rows: DataFrame, id_col: str = "doc_id"
     read = stage(spark, read.where(F.size("tokens") > LEAD), "leaf-lines")
 
     grouped = reduce(DataFrame.unionByName, _search(spark, occurs, read, min_docs, similarity))
-    alone = (lines.where(F.col("n_docs") >= min_docs).join(grouped.select("line_id"), "line_id", "left_anti")
+    alone = (lines.where(F.col("n_docs") >= exact_docs).join(grouped.select("line_id"), "line_id", "left_anti")
              .select("line_id", F.col("line_id").alias("template"), "n_docs", "first_doc"))
     recurring = stage(spark, grouped.unionByName(alone), "recurring-lines")
     return occurs, recurring
