@@ -70,3 +70,13 @@ def test_proximity(spark, make_docs):
     m = D.find_matches(spark, make_docs(docs), bench, slop=6)
     assert {r["doc_id"]: (len(r["spans"]), len(r["near"]) > 0) for r in m.collect()} == \
         {1: (0, True), 2: (0, True), 3: (0, False), 4: (0, False)}
+
+
+def test_rows_go_by_themselves_not_by_id(spark, make_docs):
+    bad = "one two three four five six seven eight nine ten"
+    bench = spark.createDataFrame([(1, bad)], "item_id long, text string")
+    docs = [(None, bad), (None, "a clean row"), (7, f"x {bad}"), (7, "another clean row"), (8, "clean"), (8, "clean"), (None, None)]
+    left = D.remove_contaminated(spark, make_docs(docs), bench)
+    assert left.columns == make_docs([]).columns
+    want = [(None, "a clean row"), (7, "another clean row"), (8, "clean"), (8, "clean"), (None, None)]
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted(want, key=str)

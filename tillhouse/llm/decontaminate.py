@@ -229,9 +229,10 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, **opti
             .withColumn("contaminated", F.col("n_hit") > 0))
 
 
-def remove_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
-                        **options: object) -> DataFrame:
+def remove_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, **options: object) -> DataFrame:
     """The rows of ``docs`` that hold no window of a test item."""
-    c = contamination(spark, docs, items, id_col=id_col, **options)
-    bad = c.where("contaminated").select(F.col("doc_id").alias("__bad_id")).distinct()
-    return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col("__bad_id")), "left_anti")
+    # Rows are told apart by a key of their own, written once: ids can be missing or repeated.
+    rows = stage(spark, docs.withColumn("__row", F.monotonically_increasing_id()), "keyed-rows")
+    c = contamination(spark, rows, items, id_col="__row", **options)
+    bad = c.where("contaminated").select(F.col("doc_id").alias("__row"))
+    return rows.join(bad, "__row", "left_anti").drop("__row")
