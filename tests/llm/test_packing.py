@@ -69,3 +69,12 @@ def test_nnls_and_plan():
         for c in combo:
             used[c] += k
     assert (used <= h).all() and used.sum() > 60
+
+
+def test_ids_are_those_of_the_unmodified_tokenizer():
+    t = Tokenizer.from_file(P.vocabulary(P.JSON))
+    encode = P.Encoder(P.vocabulary(P.RANKS), P.vocabulary(P.JSON)).ids
+    texts = ["<|endoftext|> hi", "a  <|endoftext|>\n\nb<|endoftext|><|endoftext|>", "<|endoftext| >", "plain", "x" * 5000 + "<|endoftext|> hi"]
+    for text in texts:
+        assert encode(text).tolist() == [*t.encode(text, add_special_tokens=False).ids, P.END_ID]
+    assert encode("<|endoftext|> hi").tolist() == [50256, 23105, P.END_ID]

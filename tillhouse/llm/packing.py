@@ -19,8 +19,9 @@
 Ids are computed with the byte-level BPE vocabulary by its rank file, which
 gives the ids of the JSON file's tokenizer several times faster (a test holds
 them equal); a text with an unbroken run of over LONG_RUN bytes goes to the
-JSON file's tokenizer itself, whose merging stays near-linear there.  A special
-token's string in a text is ordinary text.
+JSON file's tokenizer itself, whose merging stays near-linear there.  The JSON
+file's added token is one id wherever its string stands in a text, as that
+tokenizer has it.
 
 Edge cases: a null or empty text is the document [END_ID]; rows without id or
 with a repeated id are documents like any other; no documents give no pieces;
@@ -34,6 +35,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from json import load
 
 import numpy as np
 import pyarrow as pa
@@ -71,17 +73,18 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+        with open(json, encoding="utf-8") as f:
+            added = {t["content"]: t["id"] for t in load(f)["added_tokens"]}
+        self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=added)
         self.json, self.slow, self.tokenizer = json, re.compile(r"\S{%d}|\s{%d}" % (LONG_RUN, LONG_RUN)), Tokenizer
 
     def ids(self, text: str) -> np.ndarray:
         if self.slow.search(text):
             if isinstance(self.tokenizer, type):
                 self.tokenizer = self.tokenizer.from_file(self.json)
-                self.tokenizer.encode_special_tokens = True
             out = self.tokenizer.encode(text, add_special_tokens=False).ids
         else:
-            out = self.fast.encode_ordinary(text)
+            out = self.fast.encode(text, allowed_special="all")
         return np.array([*out, END_ID], dtype="<u4")
 
 
