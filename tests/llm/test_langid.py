@@ -61,3 +61,22 @@ def test_edges(spark, make_docs):
     assert G.identify(spark, make_docs([])).count() == 0
     unlabelled = G.identify(spark, make_docs([(1, "the", None), (2, None, None)])).collect()
     assert {r["lang_pred"] for r in unlabelled} == {"und"}
+
+
+def test_long_texts_are_cut_for_training(spark, make_docs):
+    rows = [(i, "12 " * 3000 + f"日本{i}語の文 " * 40000, "ja") for i in range(40)] + [(100 + i, "the dog and the cat", "en") for i in range(20)]
+    sample = G.training_sample(make_docs(rows))
+    assert 0 < len(sample["ja"]) <= G.SAMPLE_BYTES + G.MAX_ROW_BYTES + 1
+    sample["ja"].decode()
+    assert {r["lang_pred"] for r in G.identify(spark, make_docs(rows)).where("doc_id < 40").collect()} == {"ja"}
+
+
+def test_many_languages_are_parsed_in_groups(monkeypatch):
+    rng = np.random.default_rng(5)
+    sample = {f"l{k:03}": bytes(rng.choice(list(b"abcdefgh "[k % 4:]), 300).astype(np.uint8)) for k in range(40)}
+    texts = [sample[g][20:200] + sample["l000"][:150] for g in list(sample)[:12]] + [b"", b"zz"]
+    whole = G.CrossParser(sample)
+    monkeypatch.setattr(G, "TABLE_ENTRIES", 20_000)
+    parts = G.CrossParser(sample)
+    assert len(whole.groups) == 1 and len(parts.groups) > 5
+    assert (parts.phrases(texts) == whole.phrases(texts)).all() and parts.predict(texts)[0] == whole.predict(texts)[0]

@@ -3,7 +3,9 @@
 Training.  A bounded sample of labelled texts per language (at most
 ``SAMPLE_ROWS`` whole texts, of at most ``MAX_ROW_BYTES`` each, up to about
 ``SAMPLE_BYTES`` of UTF-8, ASCII lower-cased) is turned into a suffix
-automaton, which recognises every substring of the sample.
+automaton, which recognises every substring of the sample.  A language that
+has longer texts only is learnt from the first ``MAX_ROW_BYTES`` of some,
+from the first letter on.
 
 Prediction.  A text is parsed greedily into the longest phrases that the
 automaton recognises.  A phrase costs log2 of the sample's size (a pointer
@@ -13,7 +15,9 @@ name.  The score is the winner's share of 2**-cost over all languages.
 
 Whole texts are parsed, in lanes of LANE bytes that advance together (one
 table lookup moves a state of every lane and every language); a phrase also
-ends where a lane ends, for every language alike.
+ends where a lane ends, for every language alike (the README has figures
+against an uncut parse).  Languages whose automata make a table of more than
+TABLE_ENTRIES are parsed in groups, whose tables are filled one after another.
 
 Edge cases: a null text, or one without any letter, is ``und`` with score 0;
 so is every text if no labelled row is left to learn from.  Rows without
@@ -36,6 +40,7 @@ SAMPLE_BYTES = 24_576
 MAX_ROW_BYTES = 4_096
 LANE = 256
 SLICE_BYTES = 1 << 19
+TABLE_ENTRIES = 1 << 26
 UNKNOWN = "und"
 RESULT = "struct<lang: string, score: double>"
 FLAG = np.int32(1 << 30)
@@ -54,14 +59,16 @@ def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     picked = sample_ids(short.select("lang", "h"), ["lang"], rows)
     have = picked.select("lang").distinct()
     longer = labelled.join(F.broadcast(have), "lang", "left_anti")       # a language with long texts only
-    picked = picked.unionByName(sample_ids(longer.select("lang", "h"), ["lang"], 4))
+    picked = picked.unionByName(sample_ids(longer.select("lang", "h"), ["lang"], 1 + total // row_bytes))
     texts = labelled.join(F.broadcast(picked), ["lang", "h"], "left_semi")     # at most ``rows`` a language
+    cut = F.substring(F.regexp_replace("text", r"^\P{L}+", ""), 1, row_bytes)
+    texts = texts.withColumn("text", F.when(F.octet_length("text") <= row_bytes, F.col("text")).otherwise(cut))
     texts = texts.select("lang", "h", "text").dropDuplicates(["lang", "h"])
     out: dict[str, bytes] = {}
     for r in sorted(texts.collect(), key=lambda r: (r["lang"], r["h"])):    # bounded by rows * row_bytes a language
         held = out.get(r["lang"], b"")
         if len(held) < total:
-            out[r["lang"]] = held + b"\n" * bool(held) + r["text"].encode()
+            out[r["lang"]] = held + b"\n" * bool(held) + r["text"].encode()[:row_bytes].decode(errors="ignore").encode()
     return out
 
 
@@ -96,7 +103,10 @@ def suffix_automaton(text: bytes) -> list[dict[int, int]]:
 
 
 class CrossParser:
-    """All languages' automata as one table: table[state + code] = next state, plus FLAG where a phrase ends."""
+    """All languages' automata as tables: table[state + code] = next state, plus FLAG where a phrase ends.
+
+    A table holds a group of languages, of TABLE_ENTRIES or one language at most; only one is filled at a time.
+    """
 
     def __init__(self, sample: dict[str, bytes]):
         self.langs = sorted(sample)
@@ -104,56 +114,77 @@ class CrossParser:
         seen = sorted(set().union(*texts)) if texts else []
         self.code = np.zeros(256, np.int32)
         self.code[seen] = np.arange(1, len(seen) + 1)
-        width = len(seen) + 1
+        self.width = len(seen) + 1
         self.bits = np.log2([max(2, len(t)) for t in texts])
-        self.roots, tables, base = [], [], 0
-        for t in texts:
+        self.steps, self.groups, size = [], [], 0
+        for g, t in enumerate(texts):
             step = suffix_automaton(t)
-            table = np.full((len(step) + 1, width), -1, np.int32)      # the last state: after a byte unseen in the sample
-            for s, nexts in enumerate(step):
-                for c, to in nexts.items():
-                    table[s, self.code[c]] = base + to * width
-            fresh = np.where(table[0] < 0, np.int32(base + len(step) * width), table[0])      # restart with this byte
-            table = np.where(table < 0, fresh[None, :] + FLAG, table).astype(np.int32, copy=False)
-            table[0] = fresh        # the start of a lane ends no phrase
+            moves = np.array([(s, self.code[c], to) for s, nexts in enumerate(step) for c, to in nexts.items()], np.int32)
+            self.steps.append((len(step), moves.reshape(-1, 3)))
+            entries = (len(step) + 1) * self.width
             del step
-            tables.append(table.ravel())
-            self.roots.append(base)
-            base += table.size
-        if base >= FLAG:
-            raise ValueError("the samples are too large for one table")
-        self.table = np.concatenate(tables) if tables else np.empty(0, np.int32)
+            if not self.groups or size + entries > TABLE_ENTRIES:
+                self.groups.append([])
+                size = 0
+            self.groups[-1].append(g)
+            size += entries
+        self.filled: tuple[int, np.ndarray, list[int]] = (-1, np.empty(0, np.int32), [])
+
+    def fill(self, group: int) -> tuple[np.ndarray, list[int]]:
+        """The group's table and where each of its languages starts."""
+        if self.filled[0] != group:
+            self.filled = (-1, np.empty(0, np.int32), [])
+            width, roots, base = self.width, [], 0
+            whole = np.empty(sum(self.steps[g][0] + 1 for g in self.groups[group]) * width, np.int32)
+            for g in self.groups[group]:
+                n, moves = self.steps[g]
+                table = np.full((n + 1, width), -1, np.int32)      # the last state: after a byte unseen in the sample
+                table[moves[:, 0], moves[:, 1]] = base + moves[:, 2] * width
+                fresh = np.where(table[0] < 0, np.int32(base + n * width), table[0])      # restart with this byte
+                table = np.where(table < 0, fresh[None, :] + FLAG, table).astype(np.int32, copy=False)
+                table[0] = fresh        # the start of a lane ends no phrase
+                whole[base:base + table.size] = table.ravel()
+                roots.append(base)
+                base += table.size
+            self.filled = (group, whole, roots)
+        return self.filled[1:]
 
     def phrases(self, texts: list[bytes]) -> np.ndarray:
         """Phrases of each text by language."""
         out = np.zeros((len(texts), len(self.langs)))
-        for lo, hi in slices(texts, SLICE_BYTES):
-            part = texts[lo:hi]
-            sizes = np.array([len(t) for t in part])
-            lanes = -(-sizes // LANE)
-            owner = np.repeat(np.arange(len(part)), lanes)
-            if not len(owner):
-                continue
-            first = np.cumsum(lanes) - lanes
-            length = np.minimum(LANE, sizes[owner] - (np.arange(len(owner)) - first[owner]) * LANE)
-            order = np.argsort(-length, kind="stable")      # lanes still running are a prefix
-            grid = np.zeros((len(owner), LANE), np.int32)
-            inside = np.arange(LANE) < length[:, None]
-            grid[inside] = self.code[LOWER[np.frombuffer(b"".join(part), np.uint8)]]
-            grid = np.ascontiguousarray(grid[order].T)
-            running = np.searchsorted(-length[order], -np.arange(LANE), "left")
-            state = np.repeat(np.array(self.roots, np.int32)[:, None], len(owner), axis=1)
-            count = np.ones((len(self.langs), len(owner)), np.int32)        # the last phrase
-            for i in range(LANE):
-                n = running[i]
-                if not n:
-                    break
-                state[:, :n] += grid[i, :n]
-                went = self.table.take(state[:, :n])
-                count[:, :n] += went >> 30
-                state[:, :n] = went & (FLAG - 1)
-            for g in range(len(self.langs)):
-                out[lo:hi, g] = np.bincount(owner[order], weights=count[g], minlength=len(part))
+        for group, members in enumerate(self.groups):
+            table, roots = self.fill(group)
+            for lo, hi in slices(texts, SLICE_BYTES):
+                out[lo:hi, members] = self._parse(texts[lo:hi], table, roots)
+        return out
+
+    def _parse(self, part: list[bytes], table: np.ndarray, roots: list[int]) -> np.ndarray:
+        out = np.zeros((len(part), len(roots)))
+        sizes = np.array([len(t) for t in part])
+        lanes = -(-sizes // LANE)
+        owner = np.repeat(np.arange(len(part)), lanes)
+        if not len(owner):
+            return out
+        first = np.cumsum(lanes) - lanes
+        length = np.minimum(LANE, sizes[owner] - (np.arange(len(owner)) - first[owner]) * LANE)
+        order = np.argsort(-length, kind="stable")      # lanes still running are a prefix
+        grid = np.zeros((len(owner), LANE), np.int32)
+        inside = np.arange(LANE) < length[:, None]
+        grid[inside] = self.code[LOWER[np.frombuffer(b"".join(part), np.uint8)]]
+        grid = np.ascontiguousarray(grid[order].T)
+        running = np.searchsorted(-length[order], -np.arange(LANE), "left")
+        state = np.repeat(np.array(roots, np.int32)[:, None], len(owner), axis=1)
+        count = np.ones((len(roots), len(owner)), np.int32)        # the last phrase
+        for i in range(LANE):
+            n = running[i]
+            if not n:
+                break
+            state[:, :n] += grid[i, :n]
+            went = table.take(state[:, :n])
+            count[:, :n] += went >> 30
+            state[:, :n] = went & (FLAG - 1)
+        for g in range(len(roots)):
+            out[:, g] = np.bincount(owner[order], weights=count[g], minlength=len(part))
         return out
 
     def predict(self, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
