@@ -185,3 +185,26 @@ def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
+
+
+# ---- state of a Python worker, tokenizers ----------------------------------
+
+def held(slot: str, key: object, make):
+    """What ``make()`` gave for this key in this worker process; it outlives the task, until the slot gets another key."""
+    import sys
+    import types
+
+    store = sys.modules.setdefault("_tillhouse_held", types.ModuleType("_tillhouse_held")).__dict__
+    if slot not in store or store[slot][0] != key:
+        store[slot] = key, make()
+    return store[slot][1]
+
+
+def unsettled():
+    """Pattern of the code points on whose class Unicode tables of different age differ: those not assigned yet."""
+    import re
+    import unicodedata
+
+    ends = [c for c in range(0x110001) if (c < 0x110000 and unicodedata.category(chr(c)) == "Cn")
+            != (c > 0 and unicodedata.category(chr(c - 1)) == "Cn")]
+    return re.compile("[%s]" % "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(ends[::2], ends[1::2])))
