@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import decontaminate, embeddings, langid, linededup, packing, quality, simhash, substrings, tokencount, toxicity, warc
+from tillhouse.llm import decontaminate, embeddings, langid, linededup, packing, quality, simhash, spelling, substrings, tokencount, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def near_copies(spark: SparkSession, d: str) -> DataFrame:
     return g.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def spelling_groups(spark: SparkSession, d: str) -> DataFrame:
+    return spelling.spelling_variants(spark, _table(spark, d, "documents"))
+
+
 def counted_tokens(spark: SparkSession, d: str) -> DataFrame:
     return tokencount.token_counts(spark, _table(spark, d, "documents"))
 
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": quality_grades,
     "op9_embedding_near_dedup": near_vectors,
     "op10_simhash_near_dedup": near_copies,
+    "op11_spelling_variants": spelling_groups,
     "op13_token_counts": counted_tokens,
 }
 
