@@ -4,6 +4,7 @@ import regex
 from tokenizers import Tokenizer
 
 from tillhouse.llm import tokencount as C
+from tillhouse.llm.common import settled
 from tillhouse.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -57,6 +58,15 @@ def test_cuts_and_cache(library, monkeypatch):
     assert counter.count([text, text, "word word"]) == [whole, whole, want(library, "word word")] and len(counter.cache) <= 5 + len(text)
 
 
+def test_ranks_give_the_librarys_ids(library):
+    cutter = C.PreTokens(C.vocabulary())
+    whole = [library.decode([i]) for i in range(library.get_vocab_size() - 1)]
+    tokens = [t for t in whole if "\ufffd" not in t and cutter.find(t) == [t]] + ["áéáé", "zqxj" * 10, "ß日本", "\u3000", "'s"]
+    assert len(tokens) > 45000 and cutter.ranked
+    assert [cutter.ranked(t) for t in tokens] == [e.ids for e in library.encode_batch(tokens, add_special_tokens=False)]
+    assert cutter.lengths(["x" * 5000]) == [want(library, "x" * 5000)]
+
+
 def test_table_is_compact():
     lengths = {f" word{i}": i % 5 + 1 for i in range(3000)} | {"é": 1, "": 1}
     table = C.Table(lengths)
@@ -71,6 +81,6 @@ def test_pattern_agrees_with_the_library(library):
     pick = {c for c in points if c < 0x3000} | set(rng.choice(points, 20000).tolist())
     for c in pick:
         s = "a{0}1{0}!{0} {0}  {0}".format(chr(c))
-        if cutter.settled(s):
+        if settled(s):
             assert [s[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(s)] == cutter.find(s), hex(c)
     assert regex.search(r"\p{L}", "é")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import uuid
 from collections.abc import Iterator
 
@@ -200,11 +202,18 @@ def held(slot: str, key: object, make):
     return store[slot][1]
 
 
-def unsettled():
-    """Pattern of the code points on whose class Unicode tables of different age differ: those not assigned yet."""
-    import re
-    import unicodedata
+def byte_level() -> dict[str, int]:
+    """The public byte-level alphabet: printable Latin-1 characters stand for their own byte, 256.. for the others in order."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    rest = [b for b in range(256) if b not in set(own)]
+    return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
-    ends = [c for c in range(0x110001) if (c < 0x110000 and unicodedata.category(chr(c)) == "Cn")
-            != (c > 0 and unicodedata.category(chr(c - 1)) == "Cn")]
-    return re.compile("[%s]" % "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(ends[::2], ends[1::2])))
+
+PLAIN = re.compile("[^\\x00-\u0377\u2010-\u2027\u2030-\u205e\u3041-\u3096\u30a0-\u30ff\u4e00-\u9fff\uac00-\ud7a3]")
+
+
+def settled(text: str) -> bool:
+    """No code point that is not assigned yet: on the class of those, Unicode tables of different age differ."""
+    if text.isascii() or not PLAIN.search(text):
+        return True
+    return all(unicodedata.category(c) != "Cn" for c in set(text))
