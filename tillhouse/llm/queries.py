@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import decontaminate, embeddings, langid, linededup, packing, quality, simhash, spelling, substrings, tokencount, toxicity, warc
+from tillhouse.llm import alignment, decontaminate, embeddings, langid, linededup, packing, quality, simhash, spelling, substrings, tokencount, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,10 @@ def spelling_groups(spark: SparkSession, d: str) -> DataFrame:
     return spelling.spelling_variants(spark, _table(spark, d, "documents"))
 
 
+def aligned_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return alignment.align(spark, _table(spark, d, "documents"))
+
+
 def counted_tokens(spark: SparkSession, d: str) -> DataFrame:
     return tokencount.token_counts(spark, _table(spark, d, "documents"))
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_near_dedup": near_vectors,
     "op10_simhash_near_dedup": near_copies,
     "op11_spelling_variants": spelling_groups,
+    "op12_cross_tokenizer_alignment": aligned_tokens,
     "op13_token_counts": counted_tokens,
 }
 
