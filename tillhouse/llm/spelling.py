@@ -136,7 +136,8 @@ def _roots(spark: SparkSession, forms: DataFrame, largest: int, ratio: int, min_
 def variants(spark: SparkSession, words: DataFrame, ratio: int = RATIO, min_count: int = MIN_COUNT) -> DataFrame:
     """From (word, n) of distinct words: rows (word, n, n_near, form, form_n, root)."""
     words = stage(spark, words, "words")
-    pairs = near_pairs(words)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pairs = near_pairs(words.repartition(n, "word"))      # few bytes, but the dear part: many tasks for the signatures
     both = pairs.select(F.col("a").alias("word"), F.col("b").alias("other"), F.col("n_b").alias("other_n")).union(
         pairs.select("b", "a", "n_a"))
     best = both.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("other_n")).alias("less"), "other")).alias("best"))
