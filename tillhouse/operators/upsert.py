@@ -34,11 +34,11 @@ def insert_if_absent(target: DataFrame, source: DataFrame, key: str, sk: str | N
 
 
 def upsert_scd1(target: DataFrame, source: DataFrame, key: str, sk: str, sk_type: str = "long",
-                schema=None) -> DataFrame:
+                schema=None, base: int | None = None) -> DataFrame:
     """Type-1 upsert of a dimension.
 
     matched source rows  -> source attributes, target surrogate key kept
-    new source rows      -> new surrogate keys (max + rank by natural key)
+    new source rows      -> new surrogate keys (``base``, by default the target's largest, + rank by natural key)
     target-only rows     -> kept unchanged
 
     ``source`` must be unique on ``key`` (its primary key; ``quality.duplicate_keys``
@@ -55,7 +55,8 @@ def upsert_scd1(target: DataFrame, source: DataFrame, key: str, sk: str, sk_type
         return F.when(F.col("s.__in_source"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
 
     rows = joined.select([merged(c) for c in target.columns])
-    new = assign_surrogate_keys(rows.where(F.col(sk).isNull()).drop(sk), [key], sk, max_key_of(target, sk), sk_type)
+    new = assign_surrogate_keys(rows.where(F.col(sk).isNull()).drop(sk), [key], sk,
+                                max_key_of(target, sk) if base is None else base, sk_type)
     out = rows.where(F.col(sk).isNotNull()).unionByName(new.select(*target.columns))
     return conform(out, schema) if schema is not None else out
 

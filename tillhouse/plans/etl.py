@@ -127,15 +127,16 @@ def customer_source(customer: DataFrame, as_of: dt.datetime) -> DataFrame:
     return customer.select("customer_id", "city", "uf", ntz(as_of).alias("updated_at"))
 
 
-def upsert_dimensions(dw: DwTables, op: OpTables, as_of: dt.datetime) -> DwTables:
-    return dw.with_(
-        dim_branch=upsert_scd1(dw.dim_branch, branch_source(op.branch, as_of), "branch_id", "branch_sk",
-                               "int", S.DIM_BRANCH),
-        dim_product=upsert_scd1(dw.dim_product, product_source(op.product, as_of), "product_id", "product_sk",
-                                "long", S.DIM_PRODUCT),
-        dim_customer=upsert_scd1(dw.dim_customer, customer_source(op.customer, as_of), "customer_id",
-                                 "customer_sk", "long", S.DIM_CUSTOMER),
-    )
+def dimension_sources(op: OpTables, as_of: dt.datetime) -> dict[str, DataFrame]:
+    """The source rows of each type-1 dimension."""
+    return {"dim_branch": branch_source(op.branch, as_of), "dim_product": product_source(op.product, as_of),
+            "dim_customer": customer_source(op.customer, as_of)}
+
+
+def upsert_dimension(dw: DwTables, name: str, source: DataFrame) -> DataFrame:
+    key, sk = S.DIM_KEYS[name]
+    schema = S.DW_SCHEMAS[name]
+    return upsert_scd1(getattr(dw, name), source, key, sk, schema[sk].dataType.simpleString(), schema)
 
 
 # --- fact (D8, D14) ---------------------------------------------------------
@@ -186,6 +187,7 @@ def load_fact(op: OpTables, dw: DwTables, last_run: dt.datetime, as_of: dt.datet
 
 Stage = Callable[[str, DataFrame], DataFrame]
 MergeFact = Callable[[DataFrame, DataFrame], DataFrame]
+MergeDimension = Callable[[str, DataFrame], DataFrame]
 
 
 def lazy(name: str, df: DataFrame) -> DataFrame:
@@ -195,7 +197,8 @@ def lazy(name: str, df: DataFrame) -> DataFrame:
 
 def run_etl(op: OpTables, dw: DwTables, as_of: dt.datetime, process: str = S.PROCESS_NAME,
             initial_mark: dt.datetime = S.DEFAULT_LAST_RUN, stage: Stage = lazy,
-            merge_fact: MergeFact | None = None, since: dt.datetime | None = None) -> EtlRun:
+            merge_fact: MergeFact | None = None, merge_dimension: MergeDimension | None = None,
+            since: dt.datetime | None = None) -> EtlRun:
     """One ETL run; returns the new warehouse content.
 
     ``stage(table, frame)`` is called for each new table as soon as it is
@@ -207,6 +210,7 @@ def run_etl(op: OpTables, dw: DwTables, as_of: dt.datetime, process: str = S.PRO
     ``merge_fact(target, source)`` applies the fact upsert; the default
     replaces rows by item id over the whole target and stages the result.
     A partitioned store rewrites only the partitions the source touches.
+    ``merge_dimension(name, source)`` does the same for a type-1 dimension.
 
     ``since`` replaces the stored mark when the caller already restricted
     ``op.sale`` to the changed sales (a stream's micro-batch); the mark then
@@ -218,9 +222,8 @@ def run_etl(op: OpTables, dw: DwTables, as_of: dt.datetime, process: str = S.PRO
     if rng is None:
         return EtlRun(dw.with_(etl_control=control), last_run, None, as_of)
     dw = dw.with_(dim_date=stage("dim_date", upsert_dim_date(dw.dim_date, rng[0].date(), rng[1].date())))
-    dims = upsert_dimensions(dw, op, as_of)
-    dw = dw.with_(**{name: stage(name, getattr(dims, name)) for name in ("dim_branch", "dim_product",
-                                                                          "dim_customer")})
+    dw = dw.with_(**{name: merge_dimension(name, rows) if merge_dimension else stage(name, upsert_dimension(dw, name, rows))
+                     for name, rows in dimension_sources(op, as_of).items()})
     source = fact_source(op, dw, last_run, as_of)
     if merge_fact is None:
         fact = stage("fact_sale_item", upsert_by_key(dw.fact_sale_item, source, "item_id"))

@@ -2,9 +2,11 @@
 
 Layout under ``root``::
 
-    <table>/v=<N>/                               control row and dimensions, one folder per version
+    <table>/v=<N>/                               control row and date dimension, one folder per version
+    <dim>/bucket=<b>/dv=<N>/, <dim>_manifest/    type-1 dimensions by hash bucket (``dimstore``)
     fact_sale_item/sale_month=<yyyymm>/fv=<N>/   fact rows of one month as written by load N
     fact_manifest/v=<N>/                         (sale_month, fv): the month folders of version N
+    fact_summary/v=<N>/, fact_filter/v=<N>/      where item ids may be stored (``locator``)
     _commits/                                    one row per published version
 
 A load writes new dimension versions first, then the fact months it touches
@@ -13,7 +15,8 @@ touch keep pointing at older ``fv`` folders), the control row, and finally
 appends the commit row.  Readers take a committed version and read exactly
 the month folders its manifest lists, so a reader never sees half a load,
 older versions stay readable, and no job ever overwrites a folder somebody
-reads.  An incremental load costs O(touched months), not O(fact).
+reads.  An incremental load costs O(touched months), not O(fact), and
+dimension buckets without a changed row keep their files.
 
 Recovery is a rerun: the mark moves only with the commit, the fact load is a
 keyed upsert, and surrogate keys are a pure function of the new natural keys,
@@ -36,8 +39,11 @@ from tillhouse.model import DwTables, OpTables, conform, empty, literal_rows
 from tillhouse.operators.upsert import upsert_by_key
 from tillhouse.plans.etl import EtlRun, run_etl
 from tillhouse.session import scratch_path
+from tillhouse.sources.dimstore import BUCKET_ROWS, DimensionStore
+from tillhouse.sources.locator import Locator
 
 FACT = "fact_sale_item"
+BUCKETED = ("dim_branch", "dim_product", "dim_customer")
 MANIFEST = "fact_manifest"
 FACT_VERSION = "fv"
 MANIFEST_SCHEMA = T.StructType([
@@ -69,8 +75,10 @@ def persist_op(op: OpTables) -> OpTables:
 
 
 class WarehouseStore:
-    def __init__(self, root: str):
+    def __init__(self, root: str, dim_bucket_rows: int = BUCKET_ROWS):
         self.root = root.rstrip("/")
+        self.dims = {name: DimensionStore(self.root, name, dim_bucket_rows) for name in BUCKETED}
+        self.locator = Locator(self.root)
 
     def _path(self, *parts) -> str:
         return "/".join([self.root, *parts])
@@ -87,6 +95,8 @@ class WarehouseStore:
         return sorted(int(r[0]) for r in rows)
 
     def _read_table(self, spark: SparkSession, name: str, version: int) -> DataFrame:
+        if name in self.dims:
+            return self.dims[name].read(spark, version)
         schema = S.DW_SCHEMAS[name]
         return conform(spark.read.schema(schema).parquet(self._path(name, f"v={version}")), schema)
 
@@ -134,34 +144,53 @@ class WarehouseStore:
 
         Touched months: months of the source rows, plus months of stored rows
         whose item id is in the source (an item moves when its sale date
-        changes).  The moved-item lookup reads one column of the fact and is
-        bounded by the source's item-id range: month files are written sorted
-        by item id, so the pushed-down range filter skips every row group
-        outside it.  The touched months are rewritten as ``fv=version``
-        folders (dynamic partition overwrite replaces only those, e.g. the
-        leftovers of a failed attempt); the others are carried over by
-        reference in the returned manifest.
+        changes; ``stored_elsewhere`` finds them).  The touched months are
+        rewritten as ``fv=version`` folders (dynamic partition overwrite
+        replaces only those, e.g. the leftovers of a failed attempt); the
+        others are carried over by reference in the returned manifest.
         """
         spark = source.sparkSession
         if not previous:  # a first load writes its source as it is
             self._write_fact(source, version)
             months = self._fact_from_root(spark).where(F.col(FACT_VERSION) == version).select("sale_month").distinct().collect()
             entries = [(m, version) for m in sorted(r[0] for r in months)]
+            self._locate(spark, entries, version)
             return self._fact_from(spark, entries), entries
         src = parquet_stage("fact_source", source)
-        lo, hi = src.agg(F.min("item_id"), F.max("item_id")).first()
-        if lo is None:  # nothing to load
+        months = {r[0] for r in src.select("sale_month").distinct().collect()}
+        if not months:  # nothing to load
             return target, previous
-        ids = src.select("item_id")
-        moved = (target.filter(F.col("item_id").between(lo, hi))
-                 .join(ids, "item_id", "left_semi").select("sale_month"))
-        months = sorted(r[0] for r in src.select("sale_month").union(moved).distinct().collect())
-        part = target.filter(F.col("sale_month").isin(months))
+        moved = self.stored_elsewhere(src, previous)
+        months = sorted(months | {r[0] for r in moved.select("sale_month").distinct().collect()})
+        part = self._fact_from(spark, [(m, v) for m, v in previous if m in months])
         self._write_fact(upsert_by_key(part, src, "item_id"), version)
-        touched = set(months)
-        entries = [(m, v) for m, v in previous if m not in touched] + [(m, version) for m in months]
+        touched = [(m, version) for m in months]
+        self._locate(spark, touched, version)
+        entries = [(m, v) for m, v in previous if m not in months] + touched
         return self._fact_from(spark, entries), entries
 
+    def stored_elsewhere(self, source: DataFrame, entries: list[tuple[int, int]]) -> DataFrame:
+        """Stored rows (item_id, sale_month) of the source's items in other months than the source gives them.
+
+        The locator names the folders that may hold such an item, and only
+        their files are read.  Where the source meets more (item, folder)
+        pairs than the fact has items, one column of the fact is read instead.
+        """
+        spark = source.sparkSession
+        ids = source.select("item_id", "sale_month")
+        stored = self.locator.summary(spark, entries).agg(F.sum("n_items")).first()[0] or 0
+        folders = self.locator.lookup(ids, entries) if ids.count() * len(entries) <= stored else entries
+        own = ids.withColumnRenamed("sale_month", "own")
+        rows = self._fact_from(spark, folders).select("item_id", "sale_month").join(own, "item_id")
+        return rows.where("own <> sale_month").select("item_id", "sale_month")
+
+    def _locate(self, spark: SparkSession, entries: list[tuple[int, int]], version: int) -> None:
+        """Write the locator of the folders that this load wrote."""
+        if entries:
+            paths = [self._path(FACT, f"sale_month={m}", f"{FACT_VERSION}={v}") for m, v in entries]
+            rows = spark.read.schema("item_id long, sale_month int, fv long").option("basePath", self._path(FACT)).parquet(*paths)
+            self.locator.write(rows, version)
+
     def _write_fact(self, rows: DataFrame, version: int) -> None:
         rows = (rows.withColumn(FACT_VERSION, F.lit(version).cast("long"))
                 .hint("rebalance", "sale_month").sortWithinPartitions("sale_month", "item_id"))
@@ -201,12 +230,21 @@ class WarehouseStore:
             fact, manifest[0] = self.merge_fact(target, source, previous, version)
             return fact
 
+        def merge_dimension(name: str, source: DataFrame) -> DataFrame:
+            self.dims[name].upsert(source, vs[-1] if vs else None, version, as_of)
+            written.add(name)
+            return self._read_table(spark, name, version)
+
         result = run_etl(op, current, as_of, initial_mark=initial_mark, stage=stage, merge_fact=merge,
-                         since=since)
+                         merge_dimension=merge_dimension, since=since)
         if not result.loaded and vs:
             return EtlRun(current, result.last_run, None, as_of)
         for name, df in result.dw.items():
-            if name not in written:  # carried over unchanged (or first, empty version)
+            if name in written:
+                continue
+            if name in self.dims:  # a first, empty version
+                self.dims[name].write_manifest(spark, version, None)
+            else:  # carried over unchanged (or first, empty version)
                 self.write_table(name, df, version)
         literal_rows(spark, manifest[0], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
             self._path(MANIFEST, f"v={version}"))
