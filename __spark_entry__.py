@@ -169,8 +169,7 @@ def _drifted(spark, d, kind: str) -> tuple[OpTables, DwTables]:
 
 
 def _staged_sides(op: OpTables, dw: DwTables) -> validate.Sides:
-    sides = validate.Sides.of(op, dw)
-    return validate.Sides(store.parquet_stage("op_sales", sides.op_sales), store.parquet_stage("dw_sales", sides.dw_sales))
+    return validate.Sides.staged_by(op, dw, store.parquet_stage)
 
 
 CHECKS: dict[str, Callable[[OpTables, DwTables], DataFrame]] = {
@@ -505,6 +504,11 @@ OP_COMPLETED = """(SELECT i.item_id, s.sale_id, s.sold_at, s.branch_id, i.produc
 DW_DATED = "(SELECT * FROM dwf WHERE branch_id IN (SELECT branch_id FROM op_branch))"
 
 
+# What the dimension-key check looks up: result column, fact column, key and table of the dimension.
+DIM_OF_FACT = [("no_dim_date", "date", "d", f"{DIM_DATE_SQL} t"), ("no_dim_branch", "branch_id", "branch_id", "op_branch"),
+               ("no_dim_product", "product_id", "product_id", "op_product")]
+
+
 def _check_sql(name: str, kind: str | None) -> str:
     """Oracle of a check; ``op_sale_v`` is the operational sale table the check sees."""
     if kind == "incremental":
@@ -548,11 +552,9 @@ WHERE NOT EXISTS (SELECT 1 FROM op_item i WHERE i.item_id = f.item_id)
    OR NOT EXISTS (SELECT 1 FROM op_sale_v s WHERE s.sale_id = f.sale_id AND s.status = 'COMPLETED')
 ORDER BY f.date DESC, f.item_id LIMIT 200"""
     if name == "check6_dim_keys":
-        return pre + f"""SELECT CAST(SUM(CASE WHEN dd.d IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS no_dim_date,
-       CAST(SUM(CASE WHEN b.branch_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS no_dim_branch,
-       CAST(SUM(CASE WHEN p.product_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS no_dim_product
-FROM dwf f LEFT JOIN {DIM_DATE_SQL} dd ON dd.d = f.date LEFT JOIN op_branch b ON b.branch_id = f.branch_id
-LEFT JOIN op_product p ON p.product_id = f.product_id"""
+        lost = ", ".join(f"CAST((SELECT COUNT(*) FROM dwf WHERE {c} IN (SELECT {c} FROM dwf EXCEPT SELECT {k} FROM {t})) AS BIGINT) AS {n}"
+                         for n, c, k, t in DIM_OF_FACT)
+        return pre + f"SELECT {lost}"
     if name == "check7_sanity":
         return pre + f"""SELECT {_money('d.n')} AS dw_net_total, {_money('o.n')} AS op_net_total,
        {_half_up('d.n', 'NULLIF(d.k, 0)')} AS dw_avg_ticket, {_half_up('o.n', 'NULLIF(o.k, 0)')} AS op_avg_ticket
@@ -565,21 +567,17 @@ c1 AS (SELECT (SELECT COUNT(*) FROM op_c) AS o, (SELECT COUNT(*) FROM dwf) AS d)
 c2 AS (SELECT (SELECT SUM(gross_c) FROM op_c) - (SELECT SUM(gross_c) FROM dwf) AS g,
               (SELECT SUM(disc_c) FROM op_c) - (SELECT SUM(disc_c) FROM dwf) AS dd,
               (SELECT SUM(net_c) FROM op_c) - (SELECT SUM(net_c) FROM dwf) AS n),
-od AS (SELECT CAST(sold_at AS DATE) AS date, branch_id, COUNT(DISTINCT sale_id) AS a, COUNT(item_id) AS b,
-              SUM(gross_c) AS c, SUM(disc_c) AS d, SUM(net_c) AS e FROM op_c GROUP BY 1, 2),
-wd AS (SELECT date, branch_id, COUNT(DISTINCT sale_id) AS a, COUNT(item_id) AS b,
-              SUM(gross_c) AS c, SUM(disc_c) AS d, SUM(net_c) AS e FROM {DW_DATED} GROUP BY 1, 2),
-c3 AS (SELECT COUNT(*) AS k FROM od FULL OUTER JOIN wd ON od.date = wd.date AND od.branch_id = wd.branch_id
-       WHERE COALESCE(od.a, 0) <> COALESCE(wd.a, 0) OR COALESCE(od.b, 0) <> COALESCE(wd.b, 0)
-          OR COALESCE(od.c, 0) <> COALESCE(wd.c, 0) OR COALESCE(od.d, 0) <> COALESCE(wd.d, 0)
-          OR COALESCE(od.e, 0) <> COALESCE(wd.e, 0)),
+signed AS (SELECT 1 AS sign, CAST(sold_at AS DATE) AS day, branch_id, sale_id, gross_c, disc_c, net_c FROM op_c
+  UNION ALL SELECT -1, CAST(date AS DATE), branch_id, sale_id, gross_c, disc_c, net_c FROM {DW_DATED}),
+c3 AS (SELECT COUNT(*) AS k FROM (
+  SELECT day, branch_id FROM signed GROUP BY day, branch_id
+  HAVING SUM(sign) <> 0 OR SUM(sign * gross_c) <> 0 OR SUM(sign * disc_c) <> 0 OR SUM(sign * net_c) <> 0
+      OR COUNT(DISTINCT sale_id) FILTER (sign = 1) <> COUNT(DISTINCT sale_id) FILTER (sign = -1))),
 c4 AS (SELECT COUNT(*) AS k FROM op_c WHERE item_id NOT IN (SELECT item_id FROM dwf)),
-c5 AS (SELECT COUNT(*) AS k FROM {DW_DATED} f LEFT JOIN op_item i ON i.item_id = f.item_id
-       LEFT JOIN op_sale_v s ON s.sale_id = f.sale_id
-       WHERE i.item_id IS NULL OR s.sale_id IS NULL OR s.status <> 'COMPLETED'),
-c6 AS (SELECT COUNT(*) FILTER (WHERE b.branch_id IS NULL) + COUNT(*) FILTER (WHERE p.product_id IS NULL) AS k
-       FROM dwf f LEFT JOIN op_branch b ON b.branch_id = f.branch_id
-       LEFT JOIN op_product p ON p.product_id = f.product_id)
+c5 AS (SELECT COUNT(*) AS k FROM {DW_DATED} f
+  WHERE NOT EXISTS (SELECT 1 FROM op_item i WHERE i.item_id = f.item_id)
+     OR NOT EXISTS (SELECT 1 FROM op_sale_v s WHERE s.sale_id = f.sale_id AND s.status = 'COMPLETED')),
+c6 AS (SELECT {" + ".join(f"(SELECT COUNT(*) FROM dwf WHERE {c} IN (SELECT {c} FROM dwf EXCEPT SELECT {k} FROM {t}))" for _, c, k, t in DIM_OF_FACT)} AS k)
 SELECT 'item_counts' AS "check", o = d AS passed, CAST(abs(o - d) AS BIGINT) AS n_bad FROM c1
 UNION ALL SELECT 'money_totals', (COALESCE(g, 0) = 0 AND COALESCE(dd, 0) = 0 AND COALESCE(n, 0) = 0),
   CAST((COALESCE(g, 0) <> 0)::INT + (COALESCE(dd, 0) <> 0)::INT + (COALESCE(n, 0) <> 0)::INT AS BIGINT) FROM c2

@@ -83,3 +83,38 @@ def test_lists_are_bounded(sf001_op, sf001_dw, limit):
     item = _item()
     dw = drift.drop_facts(sf001_dw, item % 97 == 0)
     assert validate.missing_items(sf001_op, dw, limit=limit).count() == limit
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_clean_load_moves_no_item_row(sf001_op, sf001_dw):
+    from tillhouse.sources.store import parquet_stage
+
+    sides = validate.Sides.staged_by(sf001_op, sf001_dw, parquet_stage)
+    assert sides.cells.count() == 0
+    for check in (validate.missing_items, validate.surplus_items):
+        plan = final_plan(check(sf001_op, sf001_dw, sides=sides))
+        assert "Exchange" not in plan and "EmptyRelation" in plan, plan
+
+
+def test_differing_cells_are_few_and_enough(sf001_op, sf001_dw):
+    lost = drift.drop_facts(sf001_dw, _item() == sf001_dw.fact_sale_item.agg(F.min("item_id")).scalar())
+    sides = validate.Sides.of(sf001_op, lost)
+    assert sides.cells.count() == 1 and validate.missing_items(sf001_op, lost, sides=sides).count() == 1
+    # an item under another month: both cells differ, yet it is neither missing nor surplus
+    moved = sf001_dw.with_(fact_sale_item=sf001_dw.fact_sale_item.withColumn(
+        "sale_month", F.when(_item() % 97 == 0, F.lit(199001)).otherwise(F.col("sale_month"))))
+    sides = validate.Sides.of(sf001_op, moved)
+    assert sides.cells.count() > 21
+    assert validate.missing_items(sf001_op, moved, sides=sides).count() == 0
+    assert validate.surplus_items(sf001_op, moved, sides=sides).count() == 0
+    # an item under another, completed sale is stored; under a sale of another status it is surplus
+    item = sf001_dw.fact_sale_item.agg(F.min("item_id")).first()[0]
+    for status, surplus in ((S.STATUS_COMPLETED, 0), (S.STATUS_PENDING, 1)):
+        other = sf001_op.sale.where(F.col("status") == status).agg(F.max("sale_id")).first()[0]
+        dw = sf001_dw.with_(fact_sale_item=sf001_dw.fact_sale_item.withColumn(
+            "sale_id", F.when(_item() == item, F.lit(other)).otherwise(F.col("sale_id"))))
+        assert validate.missing_items(sf001_op, dw).count() == 0 and validate.surplus_items(sf001_op, dw).count() == surplus
