@@ -31,9 +31,10 @@ from tillhouse.model import DwTables, OpTables  # noqa: E402
 from tillhouse.functions.dates import ntz  # noqa: E402
 from tillhouse.operators import quality  # noqa: E402
 from tillhouse.operators.joins import calendar  # noqa: E402
+from tillhouse.operators.rank import ordered_positions  # noqa: E402
 from tillhouse.plans import drift, etl, kpi, reports, validate, views  # noqa: E402
 from tillhouse.session import scratch_path  # noqa: E402
-from tillhouse.sources import seed, store, testdata  # noqa: E402
+from tillhouse.sources import kpistore, readers, seed, store, testdata  # noqa: E402
 
 try:  # the training-data operators are a removable part
     import corpus_pipeline
@@ -51,6 +52,9 @@ REPORT_DAYS = 365                         # daily window: as_of - 365 .. as_of
 INCR_MARK = dt.datetime(1998, 1, 1)       # incremental scenario: run 1 as of this mark
 INCR_AS_OF = dt.datetime(2002, 1, 1)      # incremental scenario: run 2 timestamp
 FLIP_EVERY = 17                           # run 2: COMPLETED sales with sale_id % 17 = 0 become CANCELLED
+MOVE_AS_OF = dt.datetime(2002, 2, 1)      # moved-sales scenario: the run after the full load
+MOVE_EVERY, MOVE_DAYS = 53, 40            # sales with id % 53 = 0 get a date 40 days later
+RELOCATE_EVERY = 1000                     # run 2: customers with id % 1000 = 3 move to city 'MOVED'
 NEW_CATEGORY_EVERY = 10                   # run 2: products with id % 10 = 0 move to category 'NEW'
 DRIFT_MISSING, DRIFT_AMOUNT, DRIFT_PENDING, DRIFT_COPY, DRIFT_BROKEN = 97, 89, 101, 107, 83
 
@@ -95,8 +99,8 @@ def source(spark: SparkSession, sf_dir: str, category: str = "p_type") -> OpTabl
     return _BUILT[k]
 
 
-def _store(spark: SparkSession, name: str) -> store.WarehouseStore:
-    return store.WarehouseStore(scratch_path(spark, f"warehouse-{name}-{uuid.uuid4().hex}"))
+def _store(spark: SparkSession, name: str, **options: int) -> store.WarehouseStore:
+    return store.WarehouseStore(scratch_path(spark, f"warehouse-{name}-{uuid.uuid4().hex}"), **options)
 
 
 def warehouse(spark: SparkSession, sf_dir: str, category: str = "p_type") -> tuple[OpTables, DwTables]:
@@ -116,7 +120,7 @@ def incremental(spark: SparkSession, sf_dir: str) -> tuple[DwTables, DwTables, O
         op = source(spark, sf_dir)
         sale1 = op.sale.filter(F.col("updated_at") < ntz(INCR_MARK))
         op1 = op.with_(sale=sale1, sale_item=op.sale_item.join(sale1.select("sale_id"), "sale_id", "left_semi"))
-        loads = _store(spark, "incremental")
+        loads = _store(spark, "incremental", dim_bucket_rows=500)
         dw1 = loads.run(op1, INCR_MARK, initial_mark=FIRST_MARK).dw
         flip = (F.col("sale_id") % FLIP_EVERY == 0) & (F.col("status") == S.STATUS_COMPLETED)
         sale2 = (op.sale.withColumn("updated_at", F.when(flip, F.greatest("updated_at", ntz(INCR_MARK)))
@@ -125,9 +129,36 @@ def incremental(spark: SparkSession, sf_dir: str) -> tuple[DwTables, DwTables, O
         prod2 = op.product.withColumn(
             "category", F.when(F.col("product_id") % NEW_CATEGORY_EVERY == 0, F.lit("NEW"))
             .otherwise(F.col("category")))
-        op2 = op.with_(sale=sale2, product=prod2)
+        cust2 = op.customer.withColumn("city", F.when(F.col("customer_id") % RELOCATE_EVERY == 3, "MOVED").otherwise(F.col("city")))
+        op2 = op.with_(sale=sale2, product=prod2, customer=cust2)
         dw2 = loads.run(op2, INCR_AS_OF).dw
         _BUILT[k] = (dw1, dw2, op2)
+        _BUILT[_key(spark, "incr store", sf_dir)] = loads
+    return _BUILT[k]
+
+
+def stored_kpis(spark: SparkSession, sf_dir: str) -> kpistore.KpiStore:
+    """The KPI tables of the incremental scenario: made after run 1, refreshed after run 2."""
+    k = _key(spark, "kpis", sf_dir)
+    if k not in _BUILT:
+        incremental(spark, sf_dir)
+        kpis = kpistore.KpiStore(_BUILT[_key(spark, "incr store", sf_dir)])
+        kpis.refresh(spark, 1)
+        kpis.refresh(spark, 2, 1)
+        _BUILT[k] = kpis
+    return _BUILT[k]
+
+
+def moved(spark: SparkSession, sf_dir: str) -> DwTables:
+    """A full load, then a run in which some sales have another date: their items are stored in other months."""
+    k = _key(spark, "moved", sf_dir)
+    if k not in _BUILT:
+        op, loads = source(spark, sf_dir), _store(spark, "moved")
+        loads.run(op, LOAD_AS_OF, initial_mark=FIRST_MARK)
+        hit, later = F.col("sale_id") % MOVE_EVERY == 0, F.make_dt_interval(F.lit(MOVE_DAYS))
+        sale = (op.sale.withColumn("sold_at", F.when(hit, F.col("sold_at") + later).otherwise(F.col("sold_at")))
+                .withColumn("updated_at", F.when(hit, ntz(LOAD_AS_OF)).otherwise(F.col("updated_at"))))
+        _BUILT[k] = loads.run(op.with_(sale=sale), MOVE_AS_OF).dw
     return _BUILT[k]
 
 
@@ -250,6 +281,49 @@ def _dim_product_scd1(spark, d):
                     (F.col("product_sk") == F.col("sk1")).alias("sk_kept")))
 
 
+def _dim_customer_scd1(spark, d):
+    dw1, dw2, _ = incremental(spark, d)
+    c1 = dw1.dim_customer.select("customer_id", F.col("customer_sk").alias("sk1"))
+    return (dw2.dim_customer.join(c1, "customer_id", "left")
+            .select("customer_id", "city", "uf", "updated_at", (F.col("customer_sk") == F.col("sk1")).alias("sk_kept")))
+
+
+def _sql_monthly(spark, d):
+    _, dw = warehouse(spark, d)
+    views.register(spark, dw)
+    return views.load_monthly(spark, *M0, *M1)
+
+
+def _quarter_city(spark, d):
+    rows = stored_kpis(spark, d).rollup(spark, 2, kpistore.quarter_of(), "city")
+    q = F.col("period")
+    return rows.select(F.floor(q / 10).alias("year"), (q % 10).alias("quarter"), "city", "net", "n_sales", "units_sold")
+
+
+def _appended_products(spark, d):
+    """Products appended in two writes with a column list, read back with the defaults filled in."""
+    root = scratch_path(spark, f"appended-{uuid.uuid4().hex}")
+    rows = source(spark, d).product.select("product_id", "sku", "name", "category", "list_price")
+    for half in (0, 1):
+        readers.append_rows(rows.where(F.col("product_id") % 2 == half), root, "product", SEED_AS_OF)
+    return spark.read.schema(S.PRODUCT).parquet(f"{root}/product")
+
+
+def _report_written(spark, d):
+    """The stacked report written as CSV and read back; an empty report beside it leaves no folder."""
+    out = scratch_path(spark, f"reports-{uuid.uuid4().hex}")
+    cells = reports.stack_cells(_monthly(spark, d, "p_brand"), BRANCHES)
+    written = reports.write_reports({"stack": cells, "nothing": cells.where("net < 0")}, out)
+    if written != [f"{out}/stack"]:
+        raise ValueError(f"unexpected folders {written}")
+    return reports.read_report(spark, out, "stack", cells.schema)
+
+
+def _customer_positions(spark, d):
+    rows = source(spark, d).customer.select("customer_id", "name")
+    return ordered_positions(rows, ["name", "customer_id"], store.parquet_stage)
+
+
 def seeded(spark: SparkSession, sf_dir: str) -> OpTables:
     """Seed tables sized by the driver tables: one customer per customer row,
     one sale per order row (ids 1..n from the dense table keys)."""
@@ -289,9 +363,18 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # incremental scenario
         "fact_incremental": lambda s, d: fact_natural(incremental(s, d)[1]),
         "dim_product_scd1": _dim_product_scd1,
+        "dim_customer_scd1": _dim_customer_scd1,
+        "fact_moved": lambda s, d: fact_natural(moved(s, d)),
+        "kpi_stored_daily": lambda s, d: stored_kpis(s, d).daily(s, 2),
+        "kpi_stored_monthly": lambda s, d: stored_kpis(s, d).monthly(s, 2),
+        "kpi_quarter_city": _quarter_city,
+        # written tables read back, positions in an order
+        "appended_products": _appended_products,
+        "report_written": _report_written,
+        "customer_positions": _customer_positions,
         # data quality
         "dq_domains": lambda s, d: quality.domain_violations(*warehouse(s, d)),
-        "dq_not_null": lambda s, d: quality.null_violations(source(s, d)),
+        "dq_not_null": lambda s, d: quality.null_violations(*warehouse(s, d)),
         "dq_duplicates": lambda s, d: quality.duplicate_keys(*warehouse(s, d)),
         "dq_orphans": lambda s, d: quality.orphans(*warehouse(s, d)),
         "dq_orphans_drift": lambda s, d: quality.orphans(*_drifted(s, d, "broken")),
@@ -306,6 +389,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for name in INCREMENTAL_CHECKS:
         q[name + "_incremental"] = _check_query(name, "incremental")
     q["kpi_daily_range_sql"] = _sql_daily
+    q["kpi_monthly_range_sql"] = _sql_monthly
     return q
 
 
@@ -443,6 +527,8 @@ cells AS (
   GROUP BY 1, 2, 3)
 """
 
+LABEL = "period || chr(10) || category"
+
 # Dense date dimension of the full load: every day between the first and last sale.
 DIM_DATE_SQL = """(SELECT d, CAST(month(d) AS INT) AS month, CAST(day(d) AS INT) AS day,
         CAST(quarter(d) AS INT) AS quarter, CAST(isodow(d) AS INT) AS weekday FROM (
@@ -652,9 +738,25 @@ def _dq_sql() -> dict[str, str]:
                    "customer_id"),
         ]
 
+    dw_nulls = {
+        "etl_control": {"process": "TRUE", "last_run": "TRUE", "updated_at": "TRUE"},
+        "dim_date": {"date_sk": "d IS NOT NULL", "date": "d IS NOT NULL", "year": "d IS NOT NULL", "month_name": "d IS NOT NULL"},
+        "dim_branch": {"branch_sk": "branch_id IS NOT NULL"}, "dim_product": {"product_sk": "product_id IS NOT NULL"},
+        "dim_customer": {"customer_sk": "customer_id IS NOT NULL"},
+        "fact_sale_item": {"date_sk": "date IS NOT NULL", "branch_sk": "branch_id IS NOT NULL", "product_sk": "product_id IS NOT NULL",
+                           "gross": "gross_c IS NOT NULL", "discount": "disc_c IS NOT NULL", "net": "net_c IS NOT NULL",
+                           "loaded_at": "TRUE", "sale_month": "date IS NOT NULL"}}
+    dw_rows = {"etl_control": "(SELECT 1 AS k)", "dim_date": f"{dim_date} t", "dim_branch": "op_branch", "dim_product": "op_product",
+               "dim_customer": "op_customer", "fact_sale_item": "fact"}
+    for table, schema in S.DW_SCHEMAS.items():
+        for f in schema.fields:
+            if not f.nullable:
+                ok = dw_nulls[table].get(f.name, f"{f.name} IS NOT NULL")
+                nulls.append(rule(table, f"{f.name} not null", ok, dw_rows[table]))
+
     return {
         "dq_domains": BASE + "\nUNION ALL\n".join(domains),
-        "dq_not_null": _with(_op_cte()) + "\nUNION ALL\n".join(nulls),
+        "dq_not_null": BASE + "\nUNION ALL\n".join(nulls),
         "dq_duplicates": BASE + "\nUNION ALL\n".join(dups),
         "dq_orphans": BASE + "\nUNION ALL\n".join(orphans("fact")),
         "dq_orphans_drift": BASE + "," + _dw_cte("broken") + "\n" + "\nUNION ALL\n".join(orphans("dwf")),
@@ -706,8 +808,8 @@ def oracle_sql() -> dict[str, str]:
         "GROUP BY branch",
         "report_weekday_matrix": BASE + f"SELECT CAST(isodow(date) AS BIGINT) AS weekday, {wide} FROM ({window_rows}) GROUP BY 1 "
         "ORDER BY 1",
-        "report_top_categories": BRAND + TOP_CELLS + f"SELECT period, category, {wide} FROM cells GROUP BY 1, 2 ORDER BY 1, 2",
-        "report_stack_bases": BRAND + TOP_CELLS + f"""SELECT period, category, branch, {_money('net_c')} AS net,
+        "report_top_categories": BRAND + TOP_CELLS + f"SELECT period, category, {LABEL} AS label, {wide} FROM cells GROUP BY 1, 2 ORDER BY 1, 2",
+        "report_stack_bases": BRAND + TOP_CELLS + f"""SELECT period, category, {LABEL} AS label, branch, {_money('net_c')} AS net,
        {_money("""COALESCE(SUM(net_c) OVER (PARTITION BY period, category ORDER BY branch
                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)""")} AS base
 FROM cells""",
@@ -751,6 +853,31 @@ FROM (VALUES ({_ts(INCR_MARK)}), ({_ts(INCR_AS_OF)})) m(mark)""",
        CASE WHEN product_id % {NEW_CATEGORY_EVERY} = 0 THEN 'NEW' ELSE category END AS category, active,
        '{INCR_AS_OF:%Y-%m-%d %H:%M:%S}' AS updated_at, TRUE AS sk_kept FROM op_product""",
     }
+    stamp = f"'{SEED_AS_OF:%Y-%m-%d %H:%M:%S}'"
+    incr = BASE + INCR_CTES
+    sql.update({
+        "dim_customer_scd1": _with(_op_cte()) + f"""SELECT customer_id,
+       CASE WHEN customer_id % {RELOCATE_EVERY} = 3 THEN 'MOVED' ELSE city END AS city, uf,
+       '{INCR_AS_OF:%Y-%m-%d %H:%M:%S}' AS updated_at, TRUE AS sk_kept FROM op_customer""",
+        "fact_moved": BASE + f""",
+dated AS (SELECT * REPLACE (CAST(CASE WHEN sale_id % {MOVE_EVERY} = 0 THEN date + {MOVE_DAYS} ELSE date END AS DATE) AS date),
+                 CASE WHEN sale_id % {MOVE_EVERY} = 0 THEN '{MOVE_AS_OF:%Y-%m-%d %H:%M:%S}'
+                      ELSE '{LOAD_AS_OF:%Y-%m-%d %H:%M:%S}' END AS loaded FROM fact)
+""" + FACT_NATURAL_SELECT.format(loaded="loaded", src="dated"),
+        "kpi_stored_daily": incr + DAILY_SELECT.format(where="").replace("FROM fact f", "FROM incr f"),
+        "kpi_stored_monthly": incr + MONTHLY_SELECT.format(where="").replace("FROM fact f", "FROM incr f").replace(
+            "JOIN op_product p ON", f"JOIN (SELECT product_id, CASE WHEN product_id % {NEW_CATEGORY_EVERY} = 0 THEN 'NEW' "
+            "ELSE category END AS category FROM op_product) p ON"),
+        "kpi_quarter_city": incr + f"""SELECT CAST(year(f.date) AS BIGINT) AS year, CAST(quarter(f.date) AS BIGINT) AS quarter, b.city,
+       {_money('SUM(f.net_c)')} AS net, COUNT(DISTINCT f.sale_id) AS n_sales, CAST(SUM(f.qty) AS BIGINT) AS units_sold
+FROM incr f JOIN op_branch b ON b.branch_id = f.branch_id GROUP BY 1, 2, 3""",
+        "appended_products": _with(_op_cte()) + f"""SELECT product_id, sku, name, category, {_money('list_c')} AS list_price,
+       TRUE AS active, {stamp} AS created_at, {stamp} AS updated_at FROM op_product""",
+        "report_written": sql["report_stack_bases"],
+        "customer_positions": _with(_op_cte()) + """SELECT customer_id, name,
+       row_number() OVER (ORDER BY name, customer_id) - 1 AS pos FROM op_customer""",
+        "kpi_monthly_range_sql": sql["kpi_monthly_range"],
+    })
     sql.update(_dq_sql())
     sql.update(_seed_sql())
     for name, kind in CHECK_DRIFT.items():

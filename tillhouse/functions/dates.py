@@ -58,6 +58,11 @@ def period_label(year: Column, month: Column) -> Column:
     return F.concat_ws("-", year.cast("string"), F.lpad(month.cast("string"), 2, "0"))
 
 
+def axis_label(period: Column, category: Column) -> Column:
+    """The two-part label of a bar: the period over the category."""
+    return F.concat_ws("\n", period, category)
+
+
 def month_in_range(year: Column, month: Column, y0: int, m0: int, y1: int, m1: int) -> Column:
     """(year, month) between (y0, m0) and (y1, m1), both ends inclusive."""
     lo = (year > y0) | ((year == y0) & (month >= m0))

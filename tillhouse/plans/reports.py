@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse import schemas as S
-from tillhouse.functions.dates import period_label
+from tillhouse.functions.dates import axis_label, period_label
 from tillhouse.operators.joins import calendar
 from tillhouse.operators.pivot import dense_cells, pivot_sum, stack_bases
 
@@ -64,14 +64,15 @@ def top_category_rows(monthly: DataFrame, k: int = S.TOP_CATEGORIES) -> DataFram
 
 def top_category_matrix(monthly: DataFrame, branches: list[str], k: int = S.TOP_CATEGORIES) -> DataFrame:
     rows = top_category_rows(monthly, k)
-    return pivot_sum(rows, ["period", "category"], "branch", "net", branches).orderBy("period", "category")
+    wide = pivot_sum(rows, ["period", "category"], "branch", "net", branches)
+    return wide.withColumn("label", axis_label(F.col("period"), F.col("category"))).orderBy("period", "category")
 
 
 def stack_cells(monthly: DataFrame, branches: list[str], k: int = S.TOP_CATEGORIES) -> DataFrame:
     """Long form of the top-category matrix with each segment's base."""
     rows = top_category_rows(monthly, k)
     cells = dense_cells(rows, ["period", "category"], "branch", "net", branches)
-    return cells.select("period", "category", "branch", "net",
+    return cells.select("period", "category", axis_label(F.col("period"), F.col("category")).alias("label"), "branch", "net",
                         stack_bases(cells, ["period", "category"], "branch", "net"))
 
 
@@ -98,7 +99,7 @@ def report_datasets(dw, as_of, days: int = S.DEFAULT_REPORT_DAYS) -> dict:
 
 
 def write_reports(datasets: dict, out: str) -> list[str]:
-    """Write each dataset as one CSV folder ``<out>/<name>``, in as many files as it has partitions.
+    """Write each dataset that has rows as one CSV folder ``<out>/<name>``, in as many files as it has partitions.
 
     The two range loads feed every report, so they are persisted while the
     reports are written (each is computed once; a lost block is recomputed).
@@ -109,6 +110,8 @@ def write_reports(datasets: dict, out: str) -> list[str]:
     written = []
     try:
         for name, df in datasets.items():
+            if df.isEmpty():
+                continue
             path = f"{out.rstrip('/')}/{name}"
             df.write.mode("overwrite").option("header", True).csv(path)
             written.append(path)
@@ -116,3 +119,8 @@ def write_reports(datasets: dict, out: str) -> list[str]:
         for df in loads:
             df.unpersist()
     return written
+
+
+def read_report(spark, out: str, name: str, schema) -> DataFrame:
+    """A written report; the header is checked against ``schema``.  Labels hold line breaks, hence multiLine."""
+    return spark.read.schema(schema).csv(f"{out.rstrip('/')}/{name}", header=True, multiLine=True, enforceSchema=False)
