@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -222,8 +223,12 @@ def run_etl(op: OpTables, dw: DwTables, as_of: dt.datetime, process: str = S.PRO
     if rng is None:
         return EtlRun(dw.with_(etl_control=control), last_run, None, as_of)
     dw = dw.with_(dim_date=stage("dim_date", upsert_dim_date(dw.dim_date, rng[0].date(), rng[1].date())))
-    dw = dw.with_(**{name: merge_dimension(name, rows) if merge_dimension else stage(name, upsert_dimension(dw, name, rows))
-                     for name, rows in dimension_sources(op, as_of).items()})
+    sources = dimension_sources(op, as_of)
+    with ThreadPoolExecutor(len(sources)) as pool:      # dimensions do not depend on one another
+        jobs = {name: pool.submit(merge_dimension or (lambda n, rows: stage(n, upsert_dimension(dw, n, rows))), name, rows)
+                for name, rows in sources.items()}
+        dims = {name: job.result() for name, job in jobs.items()}
+    dw = dw.with_(**dims)
     source = fact_source(op, dw, last_run, as_of)
     if merge_fact is None:
         fact = stage("fact_sale_item", upsert_by_key(dw.fact_sale_item, source, "item_id"))

@@ -21,6 +21,8 @@ one id in a hundred) costs the reading of one column of one month.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,7 +75,7 @@ def summaries(items: DataFrame) -> DataFrame:
     parts = cells.groupBy(*folder, "part").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     return parts.groupBy(*folder).agg(
         F.sum("n").alias("n_items"), F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("ranges")).select(
-        *folder, "n_items", F.ceil(F.col("n_items") * BITS_PER_ITEM / BLOCK_BITS).cast("long").alias("blocks"), "ranges")
+        *folder, "n_items", _blocks(F.col("n_items")), "ranges")
 
 
 def _block(item_id: Column, blocks: Column) -> Column:
@@ -84,9 +86,14 @@ def _positions(item_id: Column) -> list[Column]:
     return [F.pmod(F.xxhash64(F.lit(k), item_id), F.lit(BLOCK_BITS).cast("long")) for k in range(PROBES)]
 
 
-def filters(items: DataFrame, summary: DataFrame) -> DataFrame:
-    """From rows (sale_month, fv, item_id) and their summaries: the blocks (FILTER) of each folder's Bloom filter."""
-    sized = items.join(F.broadcast(summary.select("sale_month", "fv", "blocks")), ["sale_month", "fv"])
+def _blocks(n_items: Column) -> Column:
+    return F.ceil(n_items * BITS_PER_ITEM / BLOCK_BITS).cast("long").alias("blocks")
+
+
+def filters(items: DataFrame) -> DataFrame:
+    """From rows (sale_month, fv, item_id): the blocks (FILTER) of each folder's Bloom filter."""
+    folders = items.groupBy("sale_month", "fv").agg(_blocks(F.count(F.lit(1))))
+    sized = items.join(F.broadcast(folders), ["sale_month", "fv"])      # one row per folder written by this load
     bits = sized.select("sale_month", "fv", _block(F.col("item_id"), F.col("blocks")).alias("block"),
                         F.explode(F.array(*_positions(F.col("item_id")))).alias("at"))
     return bits.groupBy("sale_month", "fv", "block").agg(F.bitmap_construct_agg("at").alias("bits"))
@@ -136,11 +143,16 @@ class Locator:
 
     def write(self, items: DataFrame, version: int) -> None:
         """Summaries and filters of the folders of ``items`` (sale_month, fv, item_id), all written by load ``version``."""
-        spark = items.sparkSession
-        summaries(items).coalesce(1).write.mode("overwrite").parquet(self._path("fact_summary", version))
-        summary = spark.read.schema(SUMMARY).parquet(self._path("fact_summary", version))
-        (filters(items, summary).repartitionByRange("sale_month", "block").sortWithinPartitions("sale_month", "block")
-         .write.mode("overwrite").option("compression", "zstd").parquet(self._path("fact_filter", version)))
+        def summary() -> None:
+            summaries(items).coalesce(1).write.mode("overwrite").parquet(self._path("fact_summary", version))
+
+        def blocks() -> None:
+            (filters(items).sortWithinPartitions("sale_month", "block")
+             .write.mode("overwrite").option("compression", "zstd").parquet(self._path("fact_filter", version)))
+
+        with ThreadPoolExecutor(2) as both:     # two jobs over the same files, side by side
+            for job in [both.submit(summary), both.submit(blocks)]:
+                job.result()
 
     def _read(self, spark: SparkSession, table: str, schema: T.StructType, entries: list[tuple[int, int]]) -> DataFrame:
         """Rows of the given (sale_month, fv) folders."""
