@@ -9,8 +9,8 @@ from tillhouse.llm.queries import QUERIES
 SF = "/root/testdata/sf0.01"
 
 
-def brute_phrases(sample, text):
-    """Greedy longest matches, by substring search; a phrase also ends at each lane's end."""
+def brute_half_pointers(sample, text):
+    """Greedy longest matches, by substring search, two each; a phrase also ends at each lane's end; one more for bytes not in the sample."""
     sample = bytes(LOWER[np.frombuffer(sample, np.uint8)])
     text = bytes(LOWER[np.frombuffer(text, np.uint8)])
     n = 0
@@ -20,7 +20,7 @@ def brute_phrases(sample, text):
             k = 1
             while i + k < len(part) and part[i:i + k + 1] in sample:
                 k += 1
-            n += 1
+            n += 2 + (part[i:i + 1] not in sample)
             i += k
     return n
 
@@ -30,9 +30,9 @@ def test_parser_matches_substring_search(spark):
     sample = {k: v[:3000] for k, v in G.training_sample(docs).items()}
     parser = G.CrossParser(sample)
     texts = [r["text"].encode() for r in docs.orderBy("doc_id").limit(25).collect()] + [b"a", b"\xff\x00?", "ñ".encode() * 700]
-    got = parser.phrases(texts)
+    got = parser.half_pointers(texts)
     for t, row in zip(texts, got):
-        assert [brute_phrases(sample[g], t) for g in parser.langs] == row.tolist()
+        assert [brute_half_pointers(sample[g], t) for g in parser.langs] == row.tolist()
 
 
 def test_held_out_accuracy(spark):
@@ -44,6 +44,23 @@ def test_held_out_accuracy(spark):
     assert sum(r["lang_pred"] == lang[r["doc_id"]] for r in held) >= 0.97 * len(held)
 
 
+def test_a_tiny_sample_wins_only_its_own_texts(spark, make_docs):
+    docs = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    lang = {d: g for d, _, g in docs}
+    ids = [d for d in range(-1, -20, -1) if zlib.crc32(str(d).encode()) % 5]      # not held out
+    tiny = list(zip(ids, ["ok", "hello there", "a", "x" * 5000 + " 日本"], ["l1", "l2", "l3", "l4"]))
+    got = {r["doc_id"]: r["lang_pred"] for r in G.identify(spark, make_docs(docs + tiny)).collect()}
+    held = [d for d in lang if zlib.crc32(str(d).encode()) % 5 == 0]
+    assert sum(got[d] == lang[d] for d in held) >= 0.97 * len(held)
+    assert not [d for d in held if got[d].startswith("l") and got[d] != lang[d]] and got[tiny[3][0]] == "l4"
+
+
+def test_short_and_long_texts_are_learnt_from_alike(spark, make_docs):
+    rows = [(i, "der hund und die katze und der vogel " * 200, "de") for i in range(40)] + [(50 + i, "ok", "de") for i in range(3)]
+    sample = G.training_sample(make_docs(rows))["de"]
+    assert b"katze" in sample and b"ok" in sample and len(sample) > 30 * G.MAX_ROW_BYTES
+
+
 def test_labels_of_the_held_out_fold_are_not_read(spark, make_docs):
     docs = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     lies = [(d, t, "xx" if zlib.crc32(str(d).encode()) % 5 == 0 else g) for d, t, g in docs]
@@ -79,4 +96,4 @@ def test_many_languages_are_parsed_in_groups(monkeypatch):
     monkeypatch.setattr(G, "TABLE_ENTRIES", 20_000)
     parts = G.CrossParser(sample)
     assert len(whole.groups) == 1 and len(parts.groups) > 5
-    assert (parts.phrases(texts) == whole.phrases(texts)).all() and parts.predict(texts)[0] == whole.predict(texts)[0]
+    assert (parts.half_pointers(texts) == whole.half_pointers(texts)).all() and parts.predict(texts)[0] == whole.predict(texts)[0]

@@ -1,17 +1,18 @@
 """Language identification by cross-parsing against suffix automata.
 
 Training.  A bounded sample of labelled texts per language (at most
-``SAMPLE_ROWS`` whole texts, of at most ``MAX_ROW_BYTES`` each, up to about
-``SAMPLE_BYTES`` of UTF-8, ASCII lower-cased) is turned into a suffix
-automaton, which recognises every substring of the sample.  A language that
-has longer texts only is learnt from the first ``MAX_ROW_BYTES`` of some,
-from the first letter on.
+``SAMPLE_ROWS`` texts of any length, at most ``MAX_ROW_BYTES`` of each from
+the first letter on, up to about ``SAMPLE_BYTES`` of UTF-8, ASCII lower-cased)
+is turned into a suffix automaton, which recognises every substring of the
+sample.
 
 Prediction.  A text is parsed greedily into the longest phrases that the
-automaton recognises.  A phrase costs log2 of the sample's size (a pointer
-into it), so phrases times that, per byte, is the cross-entropy estimate; the
-language with the fewest normalised phrases wins, ties going to the first
-name.  The score is the winner's share of 2**-cost over all languages.
+automaton recognises.  A phrase costs a pointer, log2 of the largest sample's
+size for every language alike, so that a small sample is not cheap to point
+into; a byte that the sample lacks is a phrase and costs half a pointer more
+(about the 8 bits of a literal).  The language with the fewest normalised
+phrases, that is the lowest cost, wins, ties going to the first name.  The
+score is the winner's share of 2**-cost over all languages.
 
 Whole texts are parsed, in lanes of LANE bytes that advance together (one
 table lookup moves a state of every lane and every language); a phrase also
@@ -37,13 +38,13 @@ from tillhouse.llm.common import LOWER, fold, sample_ids, slices, text_bytes
 
 SAMPLE_ROWS = 256
 SAMPLE_BYTES = 24_576
-MAX_ROW_BYTES = 4_096
+MAX_ROW_BYTES = 256
 LANE = 256
 SLICE_BYTES = 1 << 19
 TABLE_ENTRIES = 1 << 26
 UNKNOWN = "und"
 RESULT = "struct<lang: string, score: double>"
-FLAG = np.int32(1 << 30)
+FLAG, LACKS = np.int32(1 << 30), np.int32(1 << 29)     # a phrase ends (2 half pointers); the byte is no part of the sample (1 more)
 
 
 def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -55,11 +56,7 @@ def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if held_out_fold is not None:
         labelled = labelled.where(F.coalesce(fold() != held_out_fold, F.lit(False)))
     labelled = labelled.withColumn("h", F.xxhash64("doc_id", "lang"))
-    short = labelled.where(F.octet_length("text") <= row_bytes)
-    picked = sample_ids(short.select("lang", "h"), ["lang"], rows)
-    have = picked.select("lang").distinct()
-    longer = labelled.join(F.broadcast(have), "lang", "left_anti")       # a language with long texts only
-    picked = picked.unionByName(sample_ids(longer.select("lang", "h"), ["lang"], 1 + total // row_bytes))
+    picked = sample_ids(labelled.select("lang", "h"), ["lang"], rows)
     texts = labelled.join(F.broadcast(picked), ["lang", "h"], "left_semi")     # at most ``rows`` a language
     cut = F.substring(F.regexp_replace("text", r"^\P{L}+", ""), 1, row_bytes)
     texts = texts.withColumn("text", F.when(F.octet_length("text") <= row_bytes, F.col("text")).otherwise(cut))
@@ -103,7 +100,7 @@ def suffix_automaton(text: bytes) -> list[dict[int, int]]:
 
 
 class CrossParser:
-    """All languages' automata as tables: table[state + code] = next state, plus FLAG where a phrase ends.
+    """All languages' automata as tables: table[state + code] = next state, plus FLAG and LACKS.
 
     A table holds a group of languages, of TABLE_ENTRIES or one language at most; only one is filled at a time.
     """
@@ -115,7 +112,7 @@ class CrossParser:
         self.code = np.zeros(256, np.int32)
         self.code[seen] = np.arange(1, len(seen) + 1)
         self.width = len(seen) + 1
-        self.bits = np.log2([max(2, len(t)) for t in texts])
+        self.half_pointer = np.log2(max([2, *(len(t) for t in texts)])) / 2
         self.steps, self.groups, size = [], [], 0
         for g, t in enumerate(texts):
             step = suffix_automaton(t)
@@ -140,7 +137,7 @@ class CrossParser:
                 n, moves = self.steps[g]
                 table = np.full((n + 1, width), -1, np.int32)      # the last state: after a byte unseen in the sample
                 table[moves[:, 0], moves[:, 1]] = base + moves[:, 2] * width
-                fresh = np.where(table[0] < 0, np.int32(base + n * width), table[0])      # restart with this byte
+                fresh = np.where(table[0] < 0, np.int32(base + n * width) + LACKS, table[0])      # restart with this byte
                 table = np.where(table < 0, fresh[None, :] + FLAG, table).astype(np.int32, copy=False)
                 table[0] = fresh        # the start of a lane ends no phrase
                 whole[base:base + table.size] = table.ravel()
@@ -149,8 +146,8 @@ class CrossParser:
             self.filled = (group, whole, roots)
         return self.filled[1:]
 
-    def phrases(self, texts: list[bytes]) -> np.ndarray:
-        """Phrases of each text by language."""
+    def half_pointers(self, texts: list[bytes]) -> np.ndarray:
+        """Twice the phrases, and the bytes that the sample lacks, of each text by language."""
         out = np.zeros((len(texts), len(self.langs)))
         for group, members in enumerate(self.groups):
             table, roots = self.fill(group)
@@ -174,21 +171,21 @@ class CrossParser:
         grid = np.ascontiguousarray(grid[order].T)
         running = np.searchsorted(-length[order], -np.arange(LANE), "left")
         state = np.repeat(np.array(roots, np.int32)[:, None], len(owner), axis=1)
-        count = np.ones((len(roots), len(owner)), np.int32)        # the last phrase
+        count = np.full((len(roots), len(owner)), 2, np.int32)     # the last phrase
         for i in range(LANE):
             n = running[i]
             if not n:
                 break
             state[:, :n] += grid[i, :n]
             went = table.take(state[:, :n])
-            count[:, :n] += went >> 30
-            state[:, :n] = went & (FLAG - 1)
+            count[:, :n] += went >> 29
+            state[:, :n] = went & (LACKS - 1)
         for g in range(len(roots)):
             out[:, g] = np.bincount(owner[order], weights=count[g], minlength=len(part))
         return out
 
     def predict(self, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
-        cost = self.phrases(texts) * self.bits
+        cost = self.half_pointers(texts) * self.half_pointer
         best = cost.argmin(axis=1)
         share = 1 / np.exp2(np.clip(cost.min(axis=1, keepdims=True) - cost, -1000, 0)).sum(axis=1)
         return [self.langs[b] for b in best], share
@@ -226,6 +223,8 @@ def identify(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, text_col: str = "text", **options: object) -> DataFrame:
-    """The rows of ``docs`` whose language can be told; ``und`` rows go."""
+    """The rows of ``docs`` whose language can be told, with that language as lang; ``und`` rows go."""
+    lang_col = options.get("lang_col", "lang")
     predict = predictor(spark, training_sample(docs, text_col=text_col, **options))
-    return docs.where(predict(F.col(text_col))["lang"] != UNKNOWN)
+    rows = docs.withColumn("__told", predict(F.col(text_col))["lang"]).where(F.col("__told") != UNKNOWN)
+    return rows.select([F.col("__told").alias(c) if c == lang_col else F.col(f"`{c}`") for c in docs.columns])
