@@ -1,5 +1,7 @@
 """The pipeline's stages one after the other against the operators' brute-force versions."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 from tillhouse.llm import langid
 from test_decontaminate import brute as brute_hits
@@ -19,6 +21,10 @@ def test_stage_by_stage(spark):
     assert names == ["language_id", "line_dedup", "simhash_near_dedup", "decontamination", "packing"]
     rows, columns = [(r["doc_id"], r["text"]) for r in docs.collect()], docs.columns
     for name, step in P.STAGES:
+        if name == "simhash_near_dedup":     # line dedup may leave no copies here: plant some
+            copies = docs.where("length(text) > 200").orderBy("doc_id").limit(5).withColumn("doc_id", F.col("doc_id") + 10**6)
+            docs = stage(spark, docs.union(copies), "planted")
+            rows += [(r["doc_id"], r["text"]) for r in docs.where(f"doc_id >= {10**6}").collect()]
         out = stage(spark, step(spark, docs, SF), name)
         if name == "packing":
             assert check_pieces(out.collect(), rows) < 0.02
@@ -45,8 +51,14 @@ def test_stage_by_stage(spark):
 def test_empty_and_null_documents(spark, make_docs, tmp_path):
     spark.createDataFrame([(1, "a b c d e f g h i j k")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     rows = [(1, None), (2, ""), (None, "the words of a text"), (3, "the words of a text"), (3, "the words of a text"), (4, "w " * 9000)]
-    for given in ([], rows):
+    for given, kept in (([], [0, 0, 0, 0]), (rows, [4, 3, 2, 2])):
         docs = make_docs(given)
+        left = []
         for name, step in P.STAGES:
-            docs = step(spark, docs, str(tmp_path))
-            docs.count()
+            columns, docs = docs.columns, step(spark, docs, str(tmp_path))
+            if name != "packing":
+                assert docs.columns == columns
+                left.append(docs.count())
+        assert left == kept
+        pieces = docs.collect()
+        assert sum(p["length"] for p in pieces) == sum(n for _, n in {(p["doc_id"], p["doc_tokens"]) for p in pieces})

@@ -7,20 +7,23 @@ that end at the same leaf are a node; nodes are searched for templates in rounds
 
 * a node's template keeps, at each position, the token that more than half
   of the node's (document, line) pairs have there, and ``<*>`` elsewhere; a
-  line belongs to it if at least SIMILARITY of its positions agree;
+  line belongs to it if at least SIMILARITY of its positions agree, and of
+  those that are no fields as well, and at least CONSTANT of its positions
+  are words that agree: lines of numbers have no template;
 * where these lines are in MIN_DOCS documents, they leave, and the node's
-  other lines vote again; else the node is split: each line follows its most
-  voted token among those that at most half of the pairs have, which is one
-  more level of the tree and at least halves the node;
+  other lines vote once more; else, or the second time, the node is split:
+  each line follows its most voted token among those that at most half of the
+  pairs have, which is one more level of the tree and at least halves the node;
 * a line ends its search when fewer than SIMILARITY of its positions have
-  tokens that could still be a majority of MIN_DOCS pairs; the rounds go on
-  until no line is left;
-* any other line is a template of its own (its fields masked).
+  tokens that could still be a majority of MIN_DOCS pairs.  A node at least
+  halves in two rounds, so there are at most 2 log2(pairs of the largest leaf).
 
 A node's template found in at least MIN_DOCS documents is recurring, and so is
-a line of its own found in at least EXACT_DOCS; recurring lines are dropped from all these documents but the one with the smallest id, so that
-a group of copies keeps one whole text.  Within a document, nothing is dropped
-for repeating itself.
+a line that stands word for word, digit for digit, in at least EXACT_DOCS;
+recurring lines are dropped from all these documents but the one with the
+smallest id, so that a group of copies keeps one whole text.  Within a
+document, nothing is dropped for repeating itself.  A line is known by two
+64-bit hashes of its text.
 
 Skew: (line, document) pairs are made distinct first, which spreads a hot line
 over all tasks; counts then have partial sums; a node's token votes are sums
@@ -47,6 +50,7 @@ LEAD = 3
 MIN_DOCS = 3
 EXACT_DOCS = 2
 SIMILARITY = 0.8
+CONSTANT = 0.5
 FIELD = "<*>"
 
 
@@ -62,28 +66,36 @@ def _occurrences(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows (uid, doc_id, pos, line_id, leaf) of lines that are not blank; pos counts all lines from 0."""
     lines = rows.select(F.col("__uid").alias("uid"), F.col(id_col).alias("doc_id"), F.posexplode(_split(text_col)).alias("pos", "line"))
     lines = lines.select("uid", "doc_id", "pos", F.trim("line").alias("line")).where("line <> ''")
-    lines = lines.select("uid", "doc_id", "pos", _masked(F.col("line")).alias("masked"))
-    n = F.length("masked") - F.length(F.replace(F.col("masked"), F.lit(" "), F.lit(""))) + 1
-    return lines.select("uid", "doc_id", "pos", F.xxhash64(F.lit("line"), "masked").alias("line_id"),
-                        F.xxhash64(F.lit("leaf"), n, F.substring_index("masked", " ", LEAD)).alias("leaf"))
+    masked = _masked(F.col("line"))
+    n = F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "), F.lit(""))) + 1
+    return lines.select("uid", "doc_id", "pos",
+                        F.struct(F.xxhash64(F.lit("line"), "line").alias("a"), F.xxhash64(F.lit("text"), "line").alias("b")).alias("line_id"),
+                        F.xxhash64(F.lit("leaf"), n, F.substring_index(masked, " ", LEAD)).alias("leaf"))
 
 
 def _search(spark: SparkSession, occurs: DataFrame, lines: DataFrame, min_docs: int, similarity: float) -> list[DataFrame]:
-    """From rows (line_id, node, votes, n_docs, tokens): the members of all templates, a table for each round."""
+    """From rows (line_id, node, again, votes, n_docs, tokens): the members of all templates, a table for each round.
+
+    ``again`` marks a node whose last template has left; it is split next.
+    """
     found: list[DataFrame] = []
     while True:
-        tokens = lines.select("line_id", "node", "votes", "n_docs", F.size("tokens").alias("n"), F.posexplode("tokens").alias("at", "token"))
-        tokens = tokens.withColumn("pair", F.xxhash64("node", "at", "token")).drop("token")
+        fields = F.size(F.filter("tokens", lambda t: t == FIELD))
+        tokens = lines.select("line_id", "node", "again", "votes", "n_docs", F.size("tokens").alias("n"), fields.alias("n_fields"),
+                              F.posexplode("tokens").alias("at", "token"))
+        tokens = tokens.withColumn("pair", F.xxhash64("node", "at", "token")).withColumn("word", F.col("token") != FIELD).drop("token")
         # Written before the join, so that a hot pair can be split there.
         have = tokens.groupBy("pair").agg(F.sum("n_docs").alias("have")).where(F.col("have") * 2 > min_docs)
         have = stage(spark, have, "token-votes")
         constant = F.col("have") * 2 > F.col("votes")
-        seen = tokens.join(have, "pair").groupBy("line_id", "node", "n_docs", "n").agg(
-            F.count("*").alias("able"), F.count(F.when(constant, 1)).alias("same"),
+        seen = tokens.join(have, "pair").groupBy("line_id", "node", "again", "n_docs", "n", "n_fields").agg(
+            F.count("*").alias("able"), F.count(F.when(constant, 1)).alias("same"), F.count(F.when(constant & F.col("word"), 1)).alias("words"),
             F.max(F.when(~constant & (F.col("have") >= min_docs), F.struct("have", -F.col("at"), "pair"))).alias("best"))
         enough = F.lit(similarity) * F.col("n")
+        member = ((F.col("same") >= enough) & (F.col("words") >= F.lit(similarity) * (F.col("n") - F.col("n_fields")))
+                  & (F.col("words") >= F.lit(CONSTANT) * F.col("n")))
         seen = stage(spark, seen.where(F.col("able") >= enough).select(
-            "line_id", "node", "n_docs", (F.col("same") >= enough).alias("member"), F.col("best.pair").alias("pair")), "node-lines")
+            "line_id", "node", "again", "n_docs", member.alias("member"), F.col("best.pair").alias("pair")), "node-lines")
 
         member = seen.where("member").select("line_id", "node")
         group = occurs.join(member, "line_id").select("node", "doc_id").distinct()
@@ -94,14 +106,15 @@ def _search(spark: SparkSession, occurs: DataFrame, lines: DataFrame, min_docs:
             "line_id", F.col("node").alias("template"), "n_docs", "first_doc"), "template-lines"))
 
         rest = seen.join(group.select("node", F.lit(True).alias("left")), "node", "left").where("left is null or not member")
-        rest = rest.where("left or pair is not null").select(
-            "line_id", "n_docs", F.when(F.col("left"), F.xxhash64(F.lit("rest"), "node")).otherwise(F.col("pair")).alias("node"))
+        once = F.coalesce(F.col("left") & ~F.col("again"), F.lit(False))
+        rest = rest.where(once | F.col("pair").isNotNull()).select(
+            "line_id", "n_docs", once.alias("again"), F.when(once, F.xxhash64(F.lit("rest"), "node")).otherwise(F.col("pair")).alias("node"))
         rest = stage(spark, rest, "open-lines")
         nodes = rest.groupBy("node").agg(F.count("*").alias("n_lines"), F.sum("n_docs").alias("votes"))
         nodes = stage(spark, nodes.where((F.col("n_lines") > 1) & (F.col("votes") >= min_docs)).select("node", "votes"), "open-nodes")
         if nodes.isEmpty():
             return found
-        rest = rest.join(nodes, "node").select("line_id", "node", "votes", "n_docs")
+        rest = rest.join(nodes, "node").select("line_id", "node", "again", "votes", "n_docs")
         done, lines = lines, stage(spark, rest.join(lines.select("line_id", "tokens"), "line_id"), "open-tokens")
         if len(found) == 1:
             occurs = stage(spark, occurs.join(lines.select("line_id"), "line_id").select("line_id", "doc_id").distinct(), "open-pairs")
@@ -126,13 +139,13 @@ def recurring_lines(spark: SparkSession, rows: DataFrame, id_col: str = "doc_id"
     voters = voters.groupBy("uid").agg(F.collect_list(F.struct("pos", "line_id", "leaf", "votes", "n_docs")).alias("v"))
     read = rows.select(F.col("__uid").alias("uid"), _split(text_col).alias("lines")).join(voters, "uid")
     read = read.select("lines", F.explode("v").alias("v")).select(
-        "v.line_id", F.col("v.leaf").alias("node"), "v.votes", "v.n_docs",
+        "v.line_id", F.col("v.leaf").alias("node"), F.lit(False).alias("again"), "v.votes", "v.n_docs",
         F.split(_masked(F.trim(F.element_at("lines", F.col("v.pos") + 1))), " ").alias("tokens"))
-    read = stage(spark, read.where(F.size("tokens") > LEAD), "leaf-lines")
+    read = stage(spark, read, "leaf-lines")
 
     grouped = reduce(DataFrame.unionByName, _search(spark, occurs, read, min_docs, similarity))
     alone = (lines.where(F.col("n_docs") >= exact_docs).join(grouped.select("line_id"), "line_id", "left_anti")
-             .select("line_id", F.col("line_id").alias("template"), "n_docs", "first_doc"))
+             .select("line_id", F.col("line_id.a").alias("template"), "n_docs", "first_doc"))
     recurring = stage(spark, grouped.unionByName(alone), "recurring-lines")
     return occurs, recurring
 
