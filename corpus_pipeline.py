@@ -2,6 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next stage's docs.
+
+Edge cases: documents without a letter, null and empty texts among them, go in
+the first stage.  Documents without id pass all stages as documents; line
+dedup takes them for one document, as it does rows that repeat an id.  Of
+equal or near rows the one with the smallest id stays, also where ids repeat.
+Long texts are worked on whole.  An empty table gives an empty table after
+each stage and no pieces.  Other columns pass through up to the last stage;
+lang, where there is one, holds the language that the first stage has found.
 """
 
 from __future__ import annotations
@@ -13,7 +21,7 @@ from tillhouse.llm.common import stage
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told."""
+    """Documents whose language can be told, with that language."""
     return langid.keep_identified(spark, docs)
 
 
