@@ -34,7 +34,7 @@ from tillhouse.operators.joins import calendar  # noqa: E402
 from tillhouse.operators.rank import ordered_positions  # noqa: E402
 from tillhouse.plans import drift, etl, kpi, reports, validate, views  # noqa: E402
 from tillhouse.session import scratch_path  # noqa: E402
-from tillhouse.sources import kpistore, readers, seed, store, testdata  # noqa: E402
+from tillhouse.sources import extract, kpistore, readers, seed, store, testdata  # noqa: E402
 
 try:  # the training-data operators are a removable part
     import corpus_pipeline
@@ -319,6 +319,22 @@ def _report_written(spark, d):
     return reports.read_report(spark, out, "stack", cells.schema)
 
 
+def _lookup_counts(spark, d):
+    """What the two runs of the incremental scenario read and lost in their lookups."""
+    incremental(spark, d)
+    return _BUILT[_key(spark, "incr store", d)].lookup_counts(spark)
+
+
+def _from_extract(spark, d):
+    """The fact rows of the sales changed since the mark, loaded from the laid-out extract."""
+    op, dw = warehouse(spark, d)
+    root = scratch_path(spark, f"extract-{uuid.uuid4().hex}")
+    extract.write_extract(op, root)
+    with extract.Extract(spark, root) as e:
+        rows = store.parquet_stage("from-extract", etl.fact_source(e.read(INCR_MARK), dw, INCR_MARK, LOAD_AS_OF))
+    return rows.select("item_id", "sale_id", "qty", "gross", "discount", "net", "sale_month")
+
+
 def _customer_positions(spark, d):
     rows = source(spark, d).customer.select("customer_id", "name")
     return ordered_positions(rows, ["name", "customer_id"], store.parquet_stage)
@@ -369,6 +385,8 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "kpi_stored_monthly": lambda s, d: stored_kpis(s, d).monthly(s, 2),
         "kpi_quarter_city": _quarter_city,
         # written tables read back, positions in an order
+        "lookup_counts": _lookup_counts,
+        "fact_from_extract": _from_extract,
         "appended_products": _appended_products,
         "report_written": _report_written,
         "customer_positions": _customer_positions,
@@ -871,6 +889,25 @@ dated AS (SELECT * REPLACE (CAST(CASE WHEN sale_id % {MOVE_EVERY} = 0 THEN date
         "kpi_quarter_city": incr + f"""SELECT CAST(year(f.date) AS BIGINT) AS year, CAST(quarter(f.date) AS BIGINT) AS quarter, b.city,
        {_money('SUM(f.net_c)')} AS net, COUNT(DISTINCT f.sale_id) AS n_sales, CAST(SUM(f.qty) AS BIGINT) AS units_sold
 FROM incr f JOIN op_branch b ON b.branch_id = f.branch_id GROUP BY 1, 2, 3""",
+        "lookup_counts": incr + ", " + """seen AS (
+  SELECT 1 AS v, s.* FROM op_sale s WHERE s.status = 'COMPLETED' AND s.updated_at < """ + _ts(INCR_MARK) + """
+  UNION ALL SELECT 2, s.sale_id, s.branch_id, s.customer_id, s.sold_at, s.status, NULL, NULL, s.updated_at
+  FROM op_sale2 s WHERE s.status = 'COMPLETED' AND s.updated_at >= """ + _ts(INCR_MARK) + """),
+found AS (SELECT v, s.sale_id, b.branch_id IS NOT NULL AS has_branch, c.customer_id IS NOT NULL AS has_customer FROM seen s
+  LEFT JOIN op_branch b ON b.branch_id = s.branch_id LEFT JOIN op_customer c ON c.customer_id = s.customer_id),
+items AS (SELECT v, p.product_id IS NOT NULL AS has_product FROM found f JOIN op_item i ON i.sale_id = f.sale_id
+  LEFT JOIN op_product p ON p.product_id = i.product_id WHERE has_branch)
+SELECT CAST(v AS BIGINT) AS version, counter, CAST(n AS BIGINT) AS n FROM (
+  SELECT v, COUNT(*) AS sales_read, 0 AS sales_without_date, COUNT(*) FILTER (NOT has_branch) AS sales_without_branch,
+         COUNT(*) FILTER (has_branch AND NOT has_customer) AS sales_without_customer FROM found GROUP BY v)
+  UNPIVOT (n FOR counter IN (sales_read, sales_without_date, sales_without_branch, sales_without_customer))
+UNION ALL SELECT CAST(v AS BIGINT), counter, CAST(n AS BIGINT) FROM (
+  SELECT v, COUNT(*) AS items_read, COUNT(*) FILTER (NOT has_product) AS items_without_product,
+         COUNT(*) FILTER (has_product) AS rows_loaded FROM items GROUP BY v)
+  UNPIVOT (n FOR counter IN (items_read, items_without_product, rows_loaded))""",
+        "fact_from_extract": BASE + f"""SELECT item_id, sale_id, CAST(qty AS BIGINT) AS qty, {_money('gross_c')} AS gross,
+       {_money('disc_c')} AS discount, {_money('net_c')} AS net, CAST(year(date) * 100 + month(date) AS BIGINT) AS sale_month
+FROM fact WHERE updated_at >= {_ts(INCR_MARK)}""",
         "appended_products": _with(_op_cte()) + f"""SELECT product_id, sku, name, category, {_money('list_c')} AS list_price,
        TRUE AS active, {stamp} AS created_at, {stamp} AS updated_at FROM op_product""",
         "report_written": sql["report_stack_bases"],

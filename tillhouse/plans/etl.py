@@ -24,11 +24,12 @@ picked up, the mark lives on the sale.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse import schemas as S
@@ -49,6 +50,7 @@ class EtlRun:
     last_run: dt.datetime
     changed: tuple[dt.datetime, dt.datetime] | None
     as_of: dt.datetime
+    lookups: dict[str, int] | None = None       # what the fact load's lookups read and lost, where a store counts it
 
     @property
     def loaded(self) -> bool:
@@ -142,33 +144,75 @@ def upsert_dimension(dw: DwTables, name: str, source: DataFrame) -> DataFrame:
 
 # --- fact (D8, D14) ---------------------------------------------------------
 
+def customer_key() -> Column:
+    """The customer id, or one of NULL_CUSTOMER_SALT numbers; the salt is in the key itself, where no rewrite removes it."""
+    return F.coalesce("customer_id", -1 - F.pmod(F.xxhash64("sale_id"), F.lit(NULL_CUSTOMER_SALT)))
+
+
+class LookupCounts:
+    """What each lookup of a fact load read and lost, counted by the load's own pass (no extra job).
+
+    A counter is an observation in the load's plan; ``get`` waits for the
+    action that runs it.  Where Spark evaluates an observed part more than
+    once, the first run counts.
+    """
+
+    COUNTERS = ("sales_read", "sales_without_date", "sales_without_branch", "sales_without_customer", "items_read",
+                "items_without_product", "rows_loaded")
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.seen = {name: Observation(f"lookup-{name}-{uuid.uuid4().hex}") for name in ("sales", "items")}
+
+    def of_sales(self, df: DataFrame) -> DataFrame:
+        date, branch = F.col("date_sk").isNull(), F.col("branch_sk").isNull()
+        kept = ~date & ~branch
+        return df.observe(self.seen["sales"], F.count(F.lit(1)).alias("sales_read"), F.count_if(date).alias("sales_without_date"),
+                          F.count_if(~date & branch).alias("sales_without_branch"),
+                          F.count_if(kept & F.col("customer_sk").isNull()).alias("sales_without_customer"))
+
+    def of_items(self, df: DataFrame) -> DataFrame:
+        lost = F.col("product_sk").isNull()
+        return df.observe(self.seen["items"], F.count(F.lit(1)).alias("items_read"), F.count_if(lost).alias("items_without_product"),
+                          F.count_if(~lost).alias("rows_loaded"))
+
+    def get(self) -> dict[str, int]:
+        found = {**self.seen["sales"].get, **self.seen["items"].get}
+        return {name: int(found[name]) for name in self.COUNTERS}
+
+
 def fact_source(op: OpTables, dw: DwTables, last_run: dt.datetime, as_of: dt.datetime,
-                status: str = S.STATUS_COMPLETED) -> DataFrame:
+                status: str = S.STATUS_COMPLETED, counts: LookupCounts | None = None) -> DataFrame:
     """Fact rows of sales in ``status`` (COMPLETED) updated since ``last_run``.
 
     Join order keeps the wide shuffles small: sale-level lookups (date,
     branch, customer) come before the item join on sale id; the product lookup
     is last.  Which of them are broadcast follows from the tables' bytes.
-    Sales without customer get a salted, never-matching join key: a large
-    NULL group spreads over ``NULL_CUSTOMER_SALT`` shuffle keys instead of
-    landing in one partition, and the sales are scanned once.
+    Sales without customer are dealt out by ``customer_key`` and match nothing:
+    a large NULL group spreads over ``NULL_CUSTOMER_SALT`` shuffle keys instead
+    of landing in one partition, and the sales are scanned once.
+
+    With ``counts`` the lookups are outer joins whose misses are counted and
+    then dropped, so the rows are the same.
     """
+    how = "inner" if counts is None else "left"
     sales = op.sale.filter((F.col("status") == status) & (F.col("updated_at") >= ntz(last_run)))
     sales = sales.select("sale_id", "branch_id", "customer_id", F.to_date("sold_at").alias("date"))
     dates = calendar(dw.dim_date.select("date", "date_sk"))
     branches = dw.dim_branch.select("branch_id", "branch_sk")
-    s = sales.join(dates, "date").join(branches, "branch_id")
-    no_customer = F.col("customer_id").isNull()
-    s = s.select("*", F.coalesce("customer_id", F.lit(0).cast("long")).alias("_ck"),
-                 F.when(no_customer, 1 + F.pmod(F.xxhash64("sale_id"), F.lit(NULL_CUSTOMER_SALT)))
-                 .otherwise(F.lit(0).cast("long")).alias("_cs"))
-    customers = dw.dim_customer.select(F.col("customer_id").alias("_ck"), F.lit(0).cast("long").alias("_cs"),
-                                       "customer_sk")
-    s = s.join(customers, ["_ck", "_cs"], "left").select(
+    s = sales.join(dates, "date", how).join(branches, "branch_id", how)
+    customers = dw.dim_customer.select(F.col("customer_id").alias("_dk"), "customer_sk")
+    s = s.withColumn("_ck", customer_key())
+    s = s.join(customers, (F.col("_ck") == F.col("_dk")) & F.col("customer_id").isNotNull(), "left")
+    if counts is not None:
+        s = counts.of_sales(s).where("date_sk is not null and branch_sk is not null")
+    s = s.select(
         "sale_id", "date_sk", "branch_sk", "customer_sk", year_month(F.col("date")).alias("sale_month"))
     items = op.sale_item.select("item_id", "sale_id", "product_id", "qty", "unit_price", "discount")
     f = (s.join(items, "sale_id")
-         .join(dw.dim_product.select("product_id", "product_sk"), "product_id"))
+         .join(dw.dim_product.select("product_id", "product_sk"), "product_id", how))
+    if counts is not None:
+        f = counts.of_items(f).where("product_sk is not null")
     q, p, d = F.col("qty"), F.col("unit_price"), F.col("discount")
     return conform(f.select(
         "date_sk", "branch_sk", "product_sk", "customer_sk", "sale_id", "item_id", "qty",
@@ -199,7 +243,7 @@ def lazy(name: str, df: DataFrame) -> DataFrame:
 def run_etl(op: OpTables, dw: DwTables, as_of: dt.datetime, process: str = S.PROCESS_NAME,
             initial_mark: dt.datetime = S.DEFAULT_LAST_RUN, stage: Stage = lazy,
             merge_fact: MergeFact | None = None, merge_dimension: MergeDimension | None = None,
-            since: dt.datetime | None = None) -> EtlRun:
+            since: dt.datetime | None = None, counts: LookupCounts | None = None) -> EtlRun:
     """One ETL run; returns the new warehouse content.
 
     ``stage(table, frame)`` is called for each new table as soon as it is
@@ -216,6 +260,8 @@ def run_etl(op: OpTables, dw: DwTables, as_of: dt.datetime, process: str = S.PRO
     ``since`` replaces the stored mark when the caller already restricted
     ``op.sale`` to the changed sales (a stream's micro-batch); the mark then
     stays, so that a later batch run misses nothing.
+
+    ``counts`` observes the fact load's lookups (``LookupCounts``).
     """
     control = ensure_control(dw.etl_control, process, initial_mark, as_of)
     last_run = read_last_run(control, process) if since is None else since
@@ -229,7 +275,7 @@ def run_etl(op: OpTables, dw: DwTables, as_of: dt.datetime, process: str = S.PRO
                 for name, rows in sources.items()}
         dims = {name: job.result() for name, job in jobs.items()}
     dw = dw.with_(**dims)
-    source = fact_source(op, dw, last_run, as_of)
+    source = fact_source(op, dw, last_run, as_of, counts=counts)
     if merge_fact is None:
         fact = stage("fact_sale_item", upsert_by_key(dw.fact_sale_item, source, "item_id"))
     else:

@@ -7,6 +7,7 @@ Layout under ``root``::
     fact_sale_item/sale_month=<yyyymm>/fv=<N>/   fact rows of one month as written by load N
     fact_manifest/v=<N>/                         (sale_month, fv): the month folders of version N
     fact_summary/v=<N>/, fact_filter/v=<N>/      where item ids may be stored (``locator``)
+    fact_lookups/v=<N>/                          what the load's lookups read and lost (counter, n)
     _commits/                                    one row per published version
 
 A load writes new dimension versions first, then the fact months it touches
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +39,7 @@ from pyspark.sql import types as T
 from tillhouse import schemas as S
 from tillhouse.model import DwTables, OpTables, conform, empty, literal_rows
 from tillhouse.operators.upsert import upsert_by_key
-from tillhouse.plans.etl import EtlRun, run_etl
+from tillhouse.plans.etl import EtlRun, LookupCounts, run_etl
 from tillhouse.session import scratch_path
 from tillhouse.sources.dimstore import BUCKET_ROWS, DimensionStore
 from tillhouse.sources.locator import Locator
@@ -50,6 +52,7 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("sale_month", T.IntegerType(), False),
     T.StructField(FACT_VERSION, T.LongType(), False),
 ])
+LOOKUPS = T.StructType([T.StructField("counter", T.StringType(), False), T.StructField("n", T.LongType(), False)])
 COMMITS = T.StructType([
     T.StructField("version", T.LongType(), False),
     T.StructField("as_of", S.NTZ, False),
@@ -235,8 +238,9 @@ class WarehouseStore:
             written.add(name)
             return self._read_table(spark, name, version)
 
+        counts = LookupCounts(spark)
         result = run_etl(op, current, as_of, initial_mark=initial_mark, stage=stage, merge_fact=merge,
-                         merge_dimension=merge_dimension, since=since)
+                         merge_dimension=merge_dimension, since=since, counts=counts)
         if not result.loaded and vs:
             return EtlRun(current, result.last_run, None, as_of)
         for name, df in result.dw.items():
@@ -248,5 +252,18 @@ class WarehouseStore:
                 self.write_table(name, df, version)
         literal_rows(spark, manifest[0], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
             self._path(MANIFEST, f"v={version}"))
+        lookups = counts.get() if result.loaded else None
+        if lookups:
+            literal_rows(spark, list(lookups.items()), LOOKUPS).coalesce(1).write.mode("overwrite").parquet(
+                self._path("fact_lookups", f"v={version}"))
         self.commit(spark, version, as_of, result.loaded)
-        return EtlRun(self.read(spark, version), result.last_run, result.changed, as_of)
+        return EtlRun(self.read(spark, version), result.last_run, result.changed, as_of, lookups)
+
+    def lookup_counts(self, spark: SparkSession, version: int | None = None) -> DataFrame:
+        """Rows (version, counter, n) of the loads: all of them, or one."""
+        vs = [v for v in self.versions(spark) if version in (None, v)]
+        kept = spark.read.schema(COMMITS).parquet(self._path("_commits")).where("loaded").select("version")
+        loaded = [r["version"] for r in kept.collect() if r["version"] in vs]       # one row per load
+        frames = [spark.read.schema(LOOKUPS).parquet(self._path("fact_lookups", f"v={v}")).select(F.lit(v).cast("long").alias("version"), "*")
+                  for v in sorted(loaded)]
+        return reduce(DataFrame.unionByName, frames) if frames else empty(spark, LOOKUPS)
