@@ -81,8 +81,9 @@ def _search(spark: SparkSession, occurs: DataFrame, lines: DataFrame, min_docs:
     found: list[DataFrame] = []
     while True:
         fields = F.size(F.filter("tokens", lambda t: t == FIELD))
-        tokens = lines.select("line_id", "node", "again", "votes", "n_docs", F.size("tokens").alias("n"), fields.alias("n_fields"),
-                              F.posexplode("tokens").alias("at", "token"))
+        tokens = lines.select("line_id", "node", "again", "votes", "n_docs", F.size("tokens").alias("n"), fields.alias("n_fields"), "tokens")
+        # Counted before the tokens are dealt out: beside the generator they would be counted for every token.
+        tokens = tokens.select("line_id", "node", "again", "votes", "n_docs", "n", "n_fields", F.posexplode("tokens").alias("at", "token"))
         tokens = tokens.withColumn("pair", F.xxhash64("node", "at", "token")).withColumn("word", F.col("token") != FIELD).drop("token")
         # Written before the join, so that a hot pair can be split there.
         have = tokens.groupBy("pair").agg(F.sum("n_docs").alias("have")).where(F.col("have") * 2 > min_docs)
