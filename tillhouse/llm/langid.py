@@ -27,6 +27,7 @@ text or label are not learnt from; repeated rows give repeated results.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm.common import LOWER, fold, sample_ids, slices, text_bytes
+from tillhouse.llm.common import LOWER, fold, held, sample_ids, slices, text_bytes
 
 SAMPLE_ROWS = 256
 SAMPLE_BYTES = 24_576
@@ -193,16 +194,17 @@ class CrossParser:
 
 def predictor(spark: SparkSession, sample: dict[str, bytes]):
     """A column function: text -> struct(lang, score). The samples, a few KB a language, are what is broadcast."""
-    held, made = spark.sparkContext.broadcast(sample), {}
+    sent, name = spark.sparkContext.broadcast(sample), uuid.uuid4().hex
 
     @F.arrow_udf(RESULT)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        if "parser" not in made:
-            made["parser"] = CrossParser(held.value)
+        parser = held("cross parser", name, lambda: CrossParser(sent.value))       # one a worker, not one a task
         for column in batches:
-            langs, scores = made["parser"].predict(text_bytes(column))
+            langs, scores = parser.predict(text_bytes(column))
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
 
+    run = run.asNondeterministic()      # else a filter on the result would run it a second time, in workers of its own
+
     def predict(text: Column) -> Column:
         unknown = F.struct(F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score"))
         if not sample:
