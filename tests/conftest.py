@@ -20,6 +20,10 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.driver.memory", "8g")       # one session holds the state of the whole suite
+         .config("spark.sql.ui.retainedExecutions", "20")
+         .config("spark.ui.retainedJobs", "100")
+         .config("spark.ui.retainedStages", "100")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.local.dir", os.path.join(scratch, "local"))
