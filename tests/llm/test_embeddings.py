@@ -68,3 +68,28 @@ def test_edges(spark):
     assert got[3] == (0, 3, True) and got[11] == (0, 11, True) and got[12] == (1, 12, True) and got[14] == (0, 14, True)
     assert all(got[k] == (0, k, True) for k in (4, 5, 6, 7, 8, 9, 10))
     assert E.near_embeddings(spark, df.limit(0)).count() == 0
+
+
+def test_filters_keep_their_recall_in_large_tables():
+    """Pairs at the threshold share a filter, whatever the table's size that the filters were made for."""
+    rng = np.random.default_rng(5)
+    for size in (64, 768):
+        x = rng.normal(size=(400, size))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        z = rng.normal(size=x.shape)
+        z -= (z * x).sum(axis=1, keepdims=True) * x
+        y = 0.931 * x + np.sqrt(1 - 0.931 ** 2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+        for vectors in (10**5, 10**6, 10**8):
+            filters = E.Filters(size, vectors)
+            a, b = filters.decode(x), filters.decode(y)
+            assert np.mean([len(np.intersect1d(p, q)) > 0 for p, q in zip(a, b)]) >= 0.97
+            assert all(len(p) >= filters.least and (np.diff(p) > 0).all() for p in a) and np.mean([len(p) for p in a]) < 2 * E.LISTS
+
+
+def test_smaller_filters():
+    rng = np.random.default_rng(3)
+    lists = [np.unique(rng.integers(0, 200, 5)) for _ in range(60)] + [np.array([150]), np.array([199])]
+    i, j = np.triu_indices(len(lists), 1)
+    made = E.SmallerFilters(lists, 120)
+    made.at_once = 100
+    assert made.shared(i, j).tolist() == [bool({f for f in lists[a] if f < 120} & set(lists[b])) for a, b in zip(i, j)]

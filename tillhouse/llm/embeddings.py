@@ -16,9 +16,15 @@ one undivided codebook).  A bucket above BLOCK rows (many near copies) is split
 and each pair of parts is a task of its own.  Only per-vector link counts and
 a spanning set of links leave a task.
 
-Recall is probabilistic (a pair at the threshold shares about LISTS / 2
-filters) and measured in a test against all pairs; nothing below the threshold
-is ever linked, and no list, bucket or partner count is capped.
+Few codes of large books exceed a small cap's threshold, so list lengths
+scatter more as the caps shrink; every vector therefore lists at least its
+``least`` best filters (found among the best codes of both halves), a number
+that grows with the logarithm of the table.
+
+Recall is probabilistic: pairs at the threshold are found with probability
+0.97 or more up to 10^8 vectors, by a test of the filters alone; another
+compares the whole operator with all pairs.  Nothing below the threshold is
+ever linked, and no list, bucket or partner count is capped.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite
 components, and rows without label, link with nothing (component: their own
@@ -47,7 +53,7 @@ MAX_SHARE = 0.02
 BUCKET = 2_000
 BLOCK = 4_096
 SEED = 20_240_229
-MIN_LIST = 4
+MIN_LIST = 16           # up to 10^6 vectors; 4 more for each tenfold
 MAX_HEIGHT = 0.85       # caps no smaller than this hold a near pair's both ends, however short the vectors
 PRODUCT_SIZE = 16
 
@@ -68,6 +74,7 @@ class Filters:
         share = min(MAX_SHARE, BUCKET / max(1, vectors))
         height = min(NormalDist().inv_cdf(1 - share) / math.sqrt(size), MAX_HEIGHT)
         filters = LISTS / cap_share(size, height)
+        self.least = max(MIN_LIST, math.ceil(MIN_LIST + 4 * (math.log10(max(1, vectors)) - 6)))
         rng = np.random.default_rng([SEED, size])
         self.turn = np.linalg.qr(rng.normal(size=(size, size)))[0]
         book = lambda k, n: (lambda c: c / np.linalg.norm(c, axis=1, keepdims=True))(rng.normal(size=(k, n)))
@@ -80,21 +87,32 @@ class Filters:
             self.threshold = math.sqrt(2) * height      # a pair of unit codes has length sqrt(2)
 
     def decode(self, unit: np.ndarray) -> list[np.ndarray]:
-        """All filters that each vector exceeds, ascending; at least its MIN_LIST best."""
+        """All filters that each vector exceeds, ascending; at least its ``least`` best."""
         turned = unit @ self.turn
         s1, s2 = turned[:, :self.cut] @ self.first.T, turned[:, self.cut:] @ self.second.T
         width = s2.shape[1]
         v, i = np.nonzero(s1 >= self.threshold - s2.max(axis=1, keepdims=True))
-        out: list = [[] for _ in unit]
+        owner, found = [], []
         for lo in range(0, len(v), 1 << 14):
-            r, j = np.nonzero(s2[v[lo:lo + (1 << 14)]] + s1[v[lo:lo + (1 << 14)], i[lo:lo + (1 << 14)]][:, None] >= self.threshold)
-            for at, f in zip(v[lo + r], i[lo + r] * width + j):
-                out[at].append(f)
-        for k, found in enumerate(out):
-            if len(found) < MIN_LIST:
-                every = (s1[k][:, None] + s2[k][None, :]).ravel()
-                out[k] = np.argsort(-every, kind="stable")[:MIN_LIST]
-        return [np.sort(np.array(f, np.int64)) for f in out]
+            a, b = v[lo:lo + (1 << 14)], i[lo:lo + (1 << 14)]
+            r, j = np.nonzero(s2[a] + s1[a, b][:, None] >= self.threshold)
+            owner.append(a[r])
+            found.append(b[r] * width + j)
+        # The k best pairs of codes are pairs of the k best codes of either half.
+        top1, top2 = self._best(s1), self._best(s2)
+        sums = np.take_along_axis(s1, top1, 1)[:, :, None] + np.take_along_axis(s2, top2, 1)[:, None, :]
+        names = (top1[:, :, None] * width + top2[:, None, :]).reshape(len(unit), -1)
+        best = self._best(sums.reshape(len(unit), -1))
+        owner.append(np.repeat(np.arange(len(unit)), best.shape[1]))
+        found.append(np.take_along_axis(names, best, 1).ravel())
+        total = len(self.first) * width
+        every = np.unique(np.concatenate(owner) * total + np.concatenate(found))
+        return [part % total for part in np.split(every, np.searchsorted(every, np.arange(1, len(unit)) * total))]
+
+    def _best(self, scores: np.ndarray) -> np.ndarray:
+        """Columns of the ``least`` greatest scores of each row."""
+        k = min(self.least, scores.shape[1])
+        return np.argpartition(-scores, k - 1, axis=1)[:, :k]
 
 
 def _decoded(vectors: int, kind: str):
@@ -113,19 +131,26 @@ def _decoded(vectors: int, kind: str):
                     for k, f in zip(at, filters.decode(x / np.linalg.norm(x, axis=1, keepdims=True))):
                         lists[k] = f
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.astype(kind).tobytes() for x in rows], pa.binary()),
-                                              pa.array([f.tolist() for f in lists], pa.list_(pa.int32()))], ["cid", "vector", "filters"])
+                                              pa.array([f.tolist() for f in lists], pa.list_(pa.int64()))], ["cid", "vector", "filters"])
 
     return run
 
 
-def _shared_below(lists: list[np.ndarray], f: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Whether rows i and j share a filter below f."""
-    low = [x[x < f] for x in lists]
-    universe, number = np.unique(np.concatenate(low), return_inverse=True)
-    has = np.zeros((len(low), len(universe)), bool)
-    has[np.repeat(np.arange(len(low)), [len(x) for x in low]), number] = True
-    packed = np.packbits(has, axis=1)
-    return np.concatenate([(packed[i[k:k + 65536]] & packed[j[k:k + 65536]]).any(axis=1) for k in range(0, len(i), 65536)])
+class SmallerFilters:
+    """The filters below f that several rows of a bucket list, one bit each: tells whether two rows share one."""
+
+    def __init__(self, lists: list[np.ndarray], f: int):
+        low = [x[x < f] for x in lists]
+        names, number, times = np.unique(np.concatenate(low), return_inverse=True, return_counts=True)
+        row, several = np.repeat(np.arange(len(low)), [len(x) for x in low]), times[number] > 1
+        bit = (np.cumsum(times > 1) - 1)[number[several]]
+        self.bits = np.zeros((len(low), int((times > 1).sum()) // 8 + 1), np.uint8)
+        np.bitwise_or.at(self.bits, (row[several], bit >> 3), np.left_shift(1, bit & 7).astype(np.uint8))
+        self.at_once = max(256, (1 << 25) // self.bits.shape[1])       # 32 MB a side
+
+    def shared(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        steps = range(0, len(i), self.at_once)
+        return np.concatenate([(self.bits[i[k:k + self.at_once]] & self.bits[j[k:k + self.at_once]]).any(axis=1) for k in steps])
 
 
 def _verify(cosine: float, kind: str):
@@ -136,6 +161,7 @@ def _verify(cosine: float, kind: str):
         n, labels, links = len(x), np.arange(len(x)), np.zeros(len(x), np.int64)
         left = np.arange(n) if own else np.flatnonzero(part == part.min())
         right = np.arange(n) if own else np.flatnonzero(part != part.min())
+        smaller = None
         for lo in range(0, len(left), 512):
             a, b = np.nonzero(x[left[lo:lo + 512]] @ x[right].T >= cosine)
             i, j = left[lo + a], right[b]
@@ -144,7 +170,8 @@ def _verify(cosine: float, kind: str):
             if not len(i):
                 continue
             labels = merge_labels(labels, i, j)
-            new = ~_shared_below(lists, f, i, j)
+            smaller = smaller or SmallerFilters(lists, f)
+            new = ~smaller.shared(i, j)
             np.add.at(links, i[new], count[j[new]])
             np.add.at(links, j[new], count[i[new]])
         told = np.flatnonzero((links > 0) | (labels != np.arange(n)))
@@ -189,20 +216,21 @@ def near_embeddings(spark: SparkSession, vectors: DataFrame, cosine: float = COS
     classes = rows.where("k1 is not null").groupBy("k1", "k2").agg(
         F.min("vec_id").alias("first"), F.count("*").alias("count"), F.any_value("label").alias("label"), F.any_value("v").alias("v"))
     classes = stage(spark, classes.withColumn("cid", F.monotonically_increasing_id()), "vector-classes")
-    decoded = stage(spark, classes.select("cid", "v").mapInArrow(_decoded(classes.count(), kind), "cid long, vector binary, filters array<int>")
+    decoded = stage(spark, classes.select("cid", "v").mapInArrow(_decoded(classes.count(), kind), "cid long, vector binary, filters array<long>")
                     .join(classes.select("cid", "label", "count", F.size("v").alias("size")), "cid"), "vector-filters")
 
     listed = decoded.select("cid", "label", "size", F.explode("filters").alias("f"))
     buckets = listed.groupBy("label", "size", "f").agg(F.count("*").alias("n")).where("n > 1")
     buckets = buckets.select("label", "size", "f", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
-    full = decoded.select("cid", "label", "size", "count", "vector", "filters", F.explode("filters").alias("f"))
-    placed = full.join(buckets, ["label", "size", "f"])
+    placed = listed.join(buckets, ["label", "size", "f"])      # ids only; vectors follow once a task is named
     placed = placed.withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     low, high = F.least("part", "other"), F.greatest("part", "other")
     placed = placed.select(
         F.concat_ws("/", F.col("label").cast("string"), "size", "f", low, high).alias("task"), "f", (low == high).alias("own"),
-        "cid", "count", "vector", "filters", "part")
+        "cid", "part")
+    placed = placed.join(decoded.select("cid", "count", "vector", "filters"), "cid").select(
+        "task", "f", "own", "cid", "count", "vector", "filters", "part")
     found = stage(spark, placed.repartition("task").sortWithinPartitions("task").mapInArrow(
         _verify(cosine, kind), "cid long, links long, to long"), "vector-links")
 
