@@ -34,7 +34,7 @@ from tillhouse.operators.joins import calendar  # noqa: E402
 from tillhouse.operators.rank import ordered_positions  # noqa: E402
 from tillhouse.plans import drift, etl, kpi, reports, validate, views  # noqa: E402
 from tillhouse.session import scratch_path  # noqa: E402
-from tillhouse.sources import extract, kpistore, readers, seed, store, testdata  # noqa: E402
+from tillhouse.sources import extract, kpistore, readers, rulestore, seed, store, testdata  # noqa: E402
 
 try:  # the training-data operators are a removable part
     import corpus_pipeline
@@ -56,6 +56,7 @@ MOVE_AS_OF = dt.datetime(2002, 2, 1)      # moved-sales scenario: the run after
 MOVE_EVERY, MOVE_DAYS = 53, 40            # sales with id % 53 = 0 get a date 40 days later
 RELOCATE_EVERY = 1000                     # run 2: customers with id % 1000 = 3 move to city 'MOVED'
 NEW_CATEGORY_EVERY = 10                   # run 2: products with id % 10 = 0 move to category 'NEW'
+BROKEN_YEAR, COPIED_YEAR, COPY_MONTH = 1996, 1995, 209901
 DRIFT_MISSING, DRIFT_AMOUNT, DRIFT_PENDING, DRIFT_COPY, DRIFT_BROKEN = 97, 89, 101, 107, 83
 
 SEED_AS_OF = dt.datetime(2024, 3, 10, 12, 0)  # the seed's NOW()
@@ -199,6 +200,33 @@ def _drifted(spark, d, kind: str) -> tuple[OpTables, DwTables]:
     raise ValueError(kind)
 
 
+def stored_rules(spark: SparkSession, sf_dir: str) -> rulestore.RuleStore:
+    """Rule counts of the incremental scenario: made after run 1, brought to run 2 by its changes."""
+    k = _key(spark, "rules", sf_dir)
+    if k not in _BUILT:
+        incremental(spark, sf_dir)
+        rules = rulestore.RuleStore(_BUILT[_key(spark, "incr store", sf_dir)])
+        rules.refresh(spark, 1)
+        rules.refresh(spark, 2, 1)
+        _BUILT[k] = rules
+    return _BUILT[k]
+
+
+def _stored_rules_drift(spark, d):
+    """A full load, then months with defects: unknown products in one year, items of another year copied to a new month."""
+    op, loads = source(spark, d), _store(spark, "rules")
+    fact = loads.run(op, LOAD_AS_OF, initial_mark=FIRST_MARK).dw.fact_sale_item
+    year, item = F.floor(F.col("sale_month") / 100), F.col("item_id")
+    hit = F.when(item % DRIFT_BROKEN == 0, -1).otherwise(F.col("product_sk"))
+    broken = fact.where(year == BROKEN_YEAR).withColumn("product_sk", hit.cast("long"))
+    copies = fact.where((year == COPIED_YEAR) & (item % DRIFT_COPY == 0)).withColumn("sale_month", F.lit(COPY_MONTH))
+    rules = rulestore.RuleStore(loads)
+    rules.refresh(spark, 1)
+    loads.replace_months(broken.unionByName(copies), MOVE_AS_OF)
+    rules.refresh(spark, 2, 1)
+    return rules.counts(spark, 2)
+
+
 def _staged_sides(op: OpTables, dw: DwTables) -> validate.Sides:
     return validate.Sides.staged_by(op, dw, store.parquet_stage)
 
@@ -396,6 +424,8 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_duplicates": lambda s, d: quality.duplicate_keys(*warehouse(s, d)),
         "dq_orphans": lambda s, d: quality.orphans(*warehouse(s, d)),
         "dq_orphans_drift": lambda s, d: quality.orphans(*_drifted(s, d, "broken")),
+        "dq_stored": lambda s, d: stored_rules(s, d).counts(s, 2),
+        "dq_stored_drift": _stored_rules_drift,
         # seed dataset job
         "seed_customers": lambda s, d: seeded(s, d).customer,
         "seed_sales": lambda s, d: seeded(s, d).sale,
@@ -772,7 +802,22 @@ def _dq_sql() -> dict[str, str]:
                 ok = dw_nulls[table].get(f.name, f"{f.name} IS NOT NULL")
                 nulls.append(rule(table, f"{f.name} not null", ok, dw_rows[table]))
 
+    fact_duplicates = "SELECT 'fact_sale_item' AS \"table\", 'unique item_id' AS rule, CAST(COUNT(*) AS BIGINT) AS n_bad " \
+        "FROM (SELECT item_id FROM {0} GROUP BY item_id HAVING COUNT(*) > 1)"
+
+    def fact_rules(src):
+        """All rules of the fact over the rows of ``src``."""
+        about_fact = [q for q in domains + nulls if q.startswith("SELECT 'fact_sale_item'")]
+        return "\nUNION ALL\n".join([q.removesuffix("FROM fact") + f"FROM {src}" for q in about_fact] + orphans(src)[4:]
+                                    + [fact_duplicates.format(src)])
+
+    defects = f""",
+defects AS (SELECT * REPLACE (CASE WHEN year(date) = {BROKEN_YEAR} AND item_id % {DRIFT_BROKEN} = 0 THEN -1 ELSE product_id END AS product_id)
+  FROM fact UNION ALL SELECT * FROM fact WHERE year(date) = {COPIED_YEAR} AND item_id % {DRIFT_COPY} = 0)
+"""
     return {
+        "dq_stored": BASE + INCR_CTES + fact_rules("incr"),
+        "dq_stored_drift": BASE + defects + fact_rules("defects"),
         "dq_domains": BASE + "\nUNION ALL\n".join(domains),
         "dq_not_null": BASE + "\nUNION ALL\n".join(nulls),
         "dq_duplicates": BASE + "\nUNION ALL\n".join(dups),

@@ -52,14 +52,23 @@ def domain_rules_op(op: OpTables) -> list[tuple[str, DataFrame, dict[str, Column
     ]
 
 
+def fact_checks() -> dict[str, Column]:
+    return {"qty > 0": F.col("qty") > 0, "gross >= 0": F.col("gross") >= 0,
+            "discount >= 0": F.col("discount") >= 0, "net >= 0": F.col("net") >= 0}
+
+
+def fact_row_rules(fact: DataFrame) -> dict[str, Column]:
+    """NOT NULL and CHECK rules of the fact."""
+    not_null = {f"{c} not null": F.col(c).isNotNull() for c in _not_null_columns(S.FACT_SALE_ITEM) if c in fact.columns}
+    return not_null | fact_checks()
+
+
 def domain_rules_dw(dw: DwTables) -> list[tuple[str, DataFrame, dict[str, Column]]]:
     return [
         ("dim_date", dw.dim_date, {"month 1-12": between("month", 1, 12), "day 1-31": between("day", 1, 31),
                                    "quarter 1-4": between("quarter", 1, 4),
                                    "weekday 1-7": between("weekday", 1, 7)}),
-        ("fact_sale_item", dw.fact_sale_item, {"qty > 0": F.col("qty") > 0, "gross >= 0": F.col("gross") >= 0,
-                                               "discount >= 0": F.col("discount") >= 0,
-                                               "net >= 0": F.col("net") >= 0}),
+        ("fact_sale_item", dw.fact_sale_item, fact_checks()),
     ]
 
 
@@ -159,6 +168,11 @@ def _orphan_count(table: str, rule: str, child: DataFrame, parent: DataFrame, ck
         F.lit(table).alias("table"), F.lit(rule).alias("rule"), "n_bad")
 
 
+# References of the fact: rule -> (dimension, key column of both).
+FACT_REFERENCES = {f"{key} -> {dim}": (dim, key) for dim, key in (
+    ("dim_date", "date_sk"), ("dim_branch", "branch_sk"), ("dim_product", "product_sk"), ("dim_customer", "customer_sk"))}
+
+
 def orphans(op: OpTables, dw: DwTables | None = None) -> DataFrame:
     """Foreign-key violations; a NULL reference is allowed (sale.customer_id)."""
     frames = [
@@ -168,13 +182,6 @@ def orphans(op: OpTables, dw: DwTables | None = None) -> DataFrame:
         _orphan_count("sale_item", "product_id -> product", op.sale_item, op.product, "product_id", "product_id"),
     ]
     if dw is not None:
-        f = dw.fact_sale_item
-        frames += [
-            _orphan_count("fact_sale_item", "date_sk -> dim_date", f, dw.dim_date, "date_sk", "date_sk"),
-            _orphan_count("fact_sale_item", "branch_sk -> dim_branch", f, dw.dim_branch, "branch_sk", "branch_sk"),
-            _orphan_count("fact_sale_item", "product_sk -> dim_product", f, dw.dim_product, "product_sk",
-                          "product_sk"),
-            _orphan_count("fact_sale_item", "customer_sk -> dim_customer", f, dw.dim_customer, "customer_sk",
-                          "customer_sk"),
-        ]
+        frames += [_orphan_count("fact_sale_item", rule, dw.fact_sale_item, getattr(dw, dim), key, key)
+                   for rule, (dim, key) in FACT_REFERENCES.items()]
     return _union(frames)

@@ -7,6 +7,7 @@ Layout under ``root``::
     fact_sale_item/sale_month=<yyyymm>/fv=<N>/   fact rows of one month as written by load N
     fact_manifest/v=<N>/                         (sale_month, fv): the month folders of version N
     fact_summary/v=<N>/, fact_filter/v=<N>/      where item ids may be stored (``locator``)
+    fact_rules/v=<N>/                            rule violations of the fact by month (``rulestore``)
     fact_lookups/v=<N>/                          what the load's lookups read and lost (counter, n)
     _commits/                                    one row per published version
 
@@ -172,19 +173,24 @@ class WarehouseStore:
         entries = [(m, v) for m, v in previous if m not in months] + touched
         return self._fact_from(spark, entries), entries
 
+    def holding(self, ids: DataFrame, entries: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """The folders among ``entries`` that may hold an id of ``ids`` (item_id, sale_month) from another month.
+
+        Named by the locator.  Where there are more (id, folder) pairs than
+        the folders have items, all are named: reading one column is less work.
+        """
+        stored = self.locator.summary(ids.sparkSession, entries).agg(F.sum("n_items")).first()[0] or 0
+        return self.locator.lookup(ids, entries) if ids.count() * len(entries) <= stored else entries
+
     def stored_elsewhere(self, source: DataFrame, entries: list[tuple[int, int]]) -> DataFrame:
         """Stored rows (item_id, sale_month) of the source's items in other months than the source gives them.
 
-        The locator names the folders that may hold such an item, and only
-        their files are read.  Where the source meets more (item, folder)
-        pairs than the fact has items, one column of the fact is read instead.
+        Only the files of the folders that may hold such an item are read.
         """
-        spark = source.sparkSession
         ids = source.select("item_id", "sale_month")
-        stored = self.locator.summary(spark, entries).agg(F.sum("n_items")).first()[0] or 0
-        folders = self.locator.lookup(ids, entries) if ids.count() * len(entries) <= stored else entries
+        folders = self.holding(ids, entries)
         own = ids.withColumnRenamed("sale_month", "own")
-        rows = self._fact_from(spark, folders).select("item_id", "sale_month").join(own, "item_id")
+        rows = self._fact_from(source.sparkSession, folders).select("item_id", "sale_month").join(own, "item_id")
         return rows.where("own <> sale_month").select("item_id", "sale_month")
 
     def _locate(self, spark: SparkSession, entries: list[tuple[int, int]], version: int) -> None:
@@ -259,6 +265,30 @@ class WarehouseStore:
         self.commit(spark, version, as_of, result.loaded)
         return EtlRun(self.read(spark, version), result.last_run, result.changed, as_of, lookups)
 
+    def replace_months(self, rows: DataFrame, as_of: dt.datetime) -> int:
+        """Publish a version whose months in ``rows`` (fact rows) hold exactly these rows; all else is carried over.
+
+        For corrections that do not come from the operational tables; the
+        mark stays where it is.  Returns the version.
+        """
+        spark = rows.sparkSession
+        last = self.versions(spark)[-1]
+        version = last + 1
+        rows = parquet_stage("months", conform(rows, S.FACT_SALE_ITEM))
+        months = sorted(r[0] for r in rows.select("sale_month").distinct().collect())
+        self._write_fact(rows, version)
+        self._locate(spark, [(m, version) for m in months], version)
+        for name in S.DW_SCHEMAS:
+            if name in self.dims:
+                self.dims[name].write_manifest(spark, version, self.dims[name].manifest(spark, last))
+            elif name != FACT:
+                self.write_table(name, self._read_table(spark, name, last), version)
+        entries = [(r["sale_month"], r[FACT_VERSION]) for r in self.manifest(spark, last).collect() if r["sale_month"] not in months]
+        entries += [(m, version) for m in months]
+        literal_rows(spark, entries, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").parquet(self._path(MANIFEST, f"v={version}"))
+        self.commit(spark, version, as_of, False)
+        return version
+
     def lookup_counts(self, spark: SparkSession, version: int | None = None) -> DataFrame:
         """Rows (version, counter, n) of the loads: all of them, or one."""
         vs = [v for v in self.versions(spark) if version in (None, v)]
