@@ -89,3 +89,41 @@ def test_links_within_three_bits_are_whole(spark):
     for n in (len(fps), 10 ** 9, 10 ** 12):     # the three depths of the trees
         nodes = {r["node"]: r["root"] for r in components(spark, simhash.links(df, n)).collect()}
         assert {f[0]: nodes.get(f[0], f[0]) for f in signed} == want
+
+
+def test_full_shards_are_divided(spark):
+    """Fingerprints that agree in most bits: shards go down all depths, then to parts; no link is lost, no task is large."""
+    import random
+
+    rng = random.Random(11)
+    hot, fps = rng.getrandbits(64), set()
+    while len(fps) < 700:                       # one half nearly fixed, the other spread over 14 bits
+        f = hot
+        for b in rng.sample(range(14), rng.randint(0, 9)):
+            f ^= 1 << b
+        if rng.random() < 0.2:
+            f ^= 1 << rng.randint(40, 44)
+        fps.add(f)
+    fps |= {rng.getrandbits(64) for _ in range(200)}
+    fps = sorted(fps)
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    df = spark.createDataFrame([(f,) for f in signed], "fp long")
+
+    def groups(pairs):
+        group = {f: f for f in signed}
+
+        def root(x):
+            while group[x] != x:
+                x = group[x]
+            return x
+
+        for a, b in pairs:
+            ra, rb = sorted((root(a), root(b)))
+            group[rb] = ra
+        return {f: root(f) for f in signed}
+
+    want = groups((a, b) for i, a in enumerate(signed) for b in signed[:i] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 3)
+    for bound in (2000, 300, 40):       # the first depth holds all; the last; parts
+        sizes = simhash.tasks(df, len(fps), bound).groupBy("task").count()
+        assert sizes.agg({"count": "max"}).first()[0] <= 2 * bound
+        assert groups(map(tuple, simhash.links(df, len(fps), shard_rows=bound).collect())) == want

@@ -11,9 +11,14 @@ Hamming distance to that block of the vantage point; the path of distances is
 the shard (a ring of each level).  By the triangle inequality, two
 fingerprints within radius 1 have paths that differ by at most 1 in total, so
 a fingerprint is searched in its home shard and in those boundary shards that
-are one farther at one level; all other branches are pruned.  Inside a shard
-every candidate's full 64-bit distance is verified, in blocks, and only a
-spanning forest of the links leaves the task - never all pairs.
+are one farther at one level; all other branches are pruned.  A shard that
+counts more than SHARD_ROWS rows is divided by blocks of half the width (one
+bit more or less in the wide block is one more or less in just one of the
+narrow ones, so homes and guests stay what they were), down to single bits,
+where a shard is one value of the half; what is still too full is cut into
+parts, a task for each two.  Inside a task every candidate's full 64-bit
+distance is verified, in blocks, and only a spanning forest of the links
+leaves it - never all pairs.
 
 Edge cases: null and empty texts have fingerprint 0 and link like any other;
 a document without id gets its group's smallest id (null if none has one);
@@ -38,7 +43,7 @@ SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
 VANTAGE = 0x9D3A5C07E16B42F8    # the vantage point; any constant gives the same links
-SHARD_ROWS = 20_000             # the trees grow a level finer when a central shard would hold more
+SHARD_ROWS = 20_000             # a shard with more rows goes one depth down
 BLOCK = 1024
 
 
@@ -75,22 +80,66 @@ def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int)
     return rows.mapInArrow(run, "doc_id long, key long, fp long")
 
 
+def _rings(x: F.Column, width: int) -> F.Column:
+    """Rings of blocks of 2 * ``width`` bits, from those of ``width`` bits, each in its block's place."""
+    low = F.lit(sum(((1 << width) - 1) << k for k in range(0, 32, 2 * width)))
+    return x.bitwiseAND(low) + F.shiftright(x, width).bitwiseAND(low)
+
+
 def _shards(fps: DataFrame, block_bits: int) -> DataFrame:
-    """Rows (shard, guest, fp): each fingerprint at home and as a guest of its boundary shards, for both halves."""
-    levels, places = 32 // block_bits, []
+    """Rows (shard, parent, guest, fp): each fingerprint at home and as a guest of its boundary shards, for both halves.
+
+    The parent is the shard's place one depth up, in the tree with blocks twice as wide: there a ring is the sum of two rings.
+    """
     off = F.col("fp").bitwiseXOR(F.lit(VANTAGE - (1 << 64)))
-    for half in (0, 1):
-        rings = [F.bit_count(F.shiftrightunsigned(off, 32 * half + block_bits * k).bitwiseAND(F.lit((1 << block_bits) - 1)))
-                 .cast("long") for k in range(levels)]
-        unit = [1 << (block_bits * k) for k in range(levels)]
-        home = F.lit(half << 40)
-        for r, u in zip(rings, unit):
-            home = home + r * F.lit(u)
-        places.append(F.struct(home.alias("shard"), F.lit(False).alias("guest")))
-        for r, u in zip(rings, unit):
-            places.append(F.struct(F.when(r < block_bits, home + F.lit(u)).alias("shard"), F.lit(True).alias("guest")))
-    return (fps.select("fp", F.explode(F.array(*places)).alias("p")).select("p.shard", "p.guest", "fp")
-            .where("shard is not null"))
+    rows = fps.select("fp", F.explode(F.array(*(F.struct(F.lit(h).alias("half"), F.shiftrightunsigned(off, 32 * h).bitwiseAND(
+        F.lit((1 << 32) - 1)).alias("home")) for h in (0, 1)))).alias("p")).select("fp", "p.half", "p.home")
+    width = 1
+    while width < block_bits:
+        rows, width = rows.withColumn("home", _rings(F.col("home"), width)), 2 * width
+    rows = rows.withColumn("parent", _rings(F.col("home"), width))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(-1), F.lit(32 // width - 1))).alias("k"))     # -1: at home
+    ring = F.expr(f"shiftright(home, {width} * k) & {(1 << width) - 1}")
+    rows = rows.where((F.col("k") < 0) | (ring < width))
+    farther, above = F.expr(f"shiftleft(1L, {width} * k)"), F.expr(f"shiftleft(1L, {2 * width} * cast(k div 2 as int))")
+    tree = F.col("half").cast("long") * F.lit(1 << 40)
+    guest = F.col("k") >= 0
+    return rows.select((tree + F.col("home") + F.when(guest, farther).otherwise(0)).alias("shard"),
+                       (tree + F.col("parent") + F.when(guest, above).otherwise(0)).alias("parent"), guest.alias("guest"), "fp")
+
+
+def _pairs_of_parts(rows: DataFrame, shard_rows: int) -> DataFrame:
+    """Rows (task, guest, fp) of shards that are full at the last depth: parts of about ``shard_rows`` / 2, a task for
+    each two of them (which also compares each part with itself)."""
+    parts = F.ceil(F.col("n") * 2 / F.lit(shard_rows)).cast("long")
+    own = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("fp"), "parts"))
+    others = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("other <> part")
+    return others.select(F.xxhash64("shard", F.least("part", "other"), F.greatest("part", "other")).alias("task"), "guest", "fp")
+
+
+def tasks(fps: DataFrame, n: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Rows (task, guest, fp): every pair to compare meets in a task, and no task holds much more than ``shard_rows`` rows.
+
+    The trees start at the depth that suits ``n`` random fingerprints.  Shards whose counted rows exceed ``shard_rows``
+    go one depth down, alone; what is too full at the last depth (equal halves) is cut into parts.
+    A task's name is a hash: two shards of one name only share a task.
+    """
+    spark = fps.sparkSession
+    peak = {4: 0.375 ** 8, 2: 0.5 ** 16, 1: 0.5 ** 32}      # share of rows in the fullest shard
+    start = next((b for b, p in peak.items() if n * p * (1 + 32 // b) <= shard_rows), 1)
+    out, full = None, None
+    for depth in [b for b in peak if b <= start]:
+        rows = _shards(fps, depth)
+        if full is not None:
+            rows = rows.join(full.select(F.col("shard").alias("parent")), "parent", "left_semi")
+        full = stage(spark, rows.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > shard_rows), "full-shards")
+        more = not full.isEmpty()
+        fit = rows.join(full, "shard", "left_anti") if more else rows
+        fit = fit.select(F.xxhash64(F.lit(depth), "shard").alias("task"), "guest", "fp")
+        out = fit if out is None else out.unionByName(fit)
+        if not more:
+            return out
+    return out.unionByName(_pairs_of_parts(rows.join(full, "shard"), shard_rows))
 
 
 def _links(max_bits: int):
@@ -107,7 +156,7 @@ def _links(max_bits: int):
         return every[moved], every[labels[moved]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by shard; a shard is handled when its last row is there."""
+        """Rows come sorted by task; a task is handled when its last row is there."""
         shard, guest, fp = np.empty(0, np.int64), np.empty(0, bool), np.empty(0, np.uint64)
 
         def done(upto: int) -> pa.RecordBatch:
@@ -137,13 +186,11 @@ def _links(max_bits: int):
     return run
 
 
-def links(fps: DataFrame, n: int, max_bits: int = MAX_BITS) -> DataFrame:
+def links(fps: DataFrame, n: int, max_bits: int = MAX_BITS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """A spanning set of links (a, b) between distinct fingerprints ``fps`` (fp); n is their number."""
     if not 0 <= max_bits <= 3:
         raise ValueError("the trees search with radius 1 per half, so at most 3 bits")
-    peak = {4: 0.375 ** 8, 2: 0.5 ** 16, 1: 0.5 ** 32}      # share of rows in the fullest shard
-    block_bits = next((b for b, p in peak.items() if n * p * (1 + 32 // b) <= SHARD_ROWS), 1)
-    placed = _shards(fps, block_bits).repartition("shard").sortWithinPartitions("shard")
+    placed = tasks(fps, n, shard_rows).repartition("task").sortWithinPartitions("task")
     return placed.mapInArrow(_links(max_bits), "a long, b long")
 
 
