@@ -15,7 +15,8 @@ def test_three_ordered_grades():
         g = int(rng.integers(0, 3))
         docs.append([(5, g / 2 + rng.normal() * 0.1), (int(rng.integers(10, 40)), 0.2)])
         grades.append(g)
-    m = Q.fit(docs, grades)
+    pairs = [pair for d in docs for pair in d]
+    m = Q.fit(np.array([len(d) for d in docs]), np.array([s for s, _ in pairs]), np.array([v for _, v in pairs]), np.array(grades))
     assert m.grades == [0, 1, 2] and m.thresholds[0] < m.thresholds[1]
     eta = np.array([sum(m.weights[s] * v for s, v in d) for d in docs])
     p = np.diff(np.c_[np.zeros(600), m.below(eta), np.ones(600)], axis=1)
@@ -44,6 +45,17 @@ def test_features_do_not_depend_on_neighbours():
         assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
 
 
+def test_sample_is_bounded_by_pairs(spark, make_docs, monkeypatch):
+    docs = [(i, " ".join(f"{'good' if i % 2 else 'bad'}{i}x{k}" for k in range(50))) for i in range(80)]
+    lab = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    taken, fit = [], Q.fit
+    monkeypatch.setattr(Q, "fit", lambda counts, *rest: taken.append(counts) or fit(counts, *rest))
+    Q.learn(spark, make_docs(docs), lab)
+    Q.learn(spark, make_docs(docs), lab, pairs=2000)
+    Q.learn(spark, make_docs(docs), lab, pairs=1)
+    assert len(taken[0]) > 50 and 2 < len(taken[1]) < len(taken[0]) and taken[1].sum() <= 2000 and len(taken[2]) == 2
+
+
 def test_edges(spark, make_docs):
     docs = [(i, ("good plain words here " if i % 2 else "SPAM!! ### ") * 5) for i in range(60)] + [
         (70, None), (71, ""), (None, "x"), (72, "good plain " * 30000), (72, "good plain " * 30000)]

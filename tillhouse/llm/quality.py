@@ -10,8 +10,10 @@ neither letters nor spaces, in tenths.
 
 Results per document: the expected grade, the probability of the top grades
 (grade >= tail) and whether that selects it.  Fitted by gradient descent on a
-bounded sample of SAMPLE_ROWS rated documents a grade, outside the held-out
-fold, each grade weighing the same.
+bounded sample outside the held-out fold, each grade weighing the same: at most
+SAMPLE_ROWS rated documents a grade, and in the order of a hash of them only so
+many as hold SAMPLE_PAIRS (slot, value) pairs over all grades, but one of each
+grade at least.  A document in the sample counts with its whole text.
 
 Edge cases: null and empty texts have only the shares' slots; with one grade
 or none in the ratings, that grade (or 0) is expected everywhere; ratings
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillhouse.llm.common import Rolling, fold, mix, slices, stage, text_bytes
@@ -33,6 +35,7 @@ from tillhouse.llm.toxicity import labelled_sample
 
 DIMENSIONS = 1 << 14
 SAMPLE_ROWS = 3_000
+SAMPLE_PAIRS = 1 << 24          # about 0.2 GB of pairs on the driver
 STEPS = 300
 SLICE_BYTES = 1 << 20
 ROLL = Rolling(0x9FB21C651E98DF25)
@@ -113,15 +116,17 @@ class Model:
         return p @ g, np.clip(p[:, g >= tail].sum(axis=1), 0, 1)
 
 
-def fit(docs: list[list[tuple[int, float]]], grades: list[int], steps: int = STEPS, rate: float = 0.3, penalty: float = 1e-5) -> Model:
-    """Adam on the mean log-likelihood, each grade weighing the same. docs: (slot, value) pairs."""
-    levels = sorted(set(grades))
+def fit(counts: np.ndarray, slots: np.ndarray, values: np.ndarray, grades: np.ndarray, steps: int = STEPS, rate: float = 0.3,
+        penalty: float = 1e-5) -> Model:
+    """Adam on the mean log-likelihood, each grade weighing the same.
+
+    Pairs (slot, value) of all documents one after the other; ``counts`` has the number of pairs of each document.
+    """
+    levels = sorted(set(grades.tolist()))
     if len(levels) < 2:
         return Model(levels, np.zeros(DIMENSIONS), np.empty(0))
     y = np.searchsorted(levels, grades)
-    rows = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-    slots = np.array([s for d in docs for s, _ in d], np.int64)
-    values = np.array([v for d in docs for _, v in d])
+    rows = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
     share = 1 / (len(levels) * np.bincount(y)[y])
     k = len(levels) - 1
     params = np.r_[np.zeros(DIMENSIONS), -1.0, np.zeros(k - 1)]      # weights, first threshold, log gaps
@@ -129,7 +134,7 @@ def fit(docs: list[list[tuple[int, float]]], grades: list[int], steps: int = STE
     sigmoid = lambda t: 1 / (1 + np.exp(-np.clip(t, -40, 40)))
     for t in range(1, steps + 1):
         w, theta = params[:DIMENSIONS], np.cumsum(np.r_[params[DIMENSIONS], np.exp(params[DIMENSIONS + 1:])])
-        eta = np.bincount(rows, weights=values * w[slots], minlength=len(docs))
+        eta = np.bincount(rows, weights=values * w[slots], minlength=len(counts))
         upper = np.where(y < k, sigmoid(theta[np.minimum(y, k - 1)] - eta), 1.0)
         lower = np.where(y > 0, sigmoid(theta[np.maximum(y - 1, 0)] - eta), 0.0)
         p = np.maximum(upper - lower, 1e-9)
@@ -146,7 +151,7 @@ def fit(docs: list[list[tuple[int, float]]], grades: list[int], steps: int = STE
 
 
 def learn(spark: SparkSession, docs: DataFrame, ratings: DataFrame, grade_col: str = "quality", rows: int = SAMPLE_ROWS,
-          **options: object) -> Model:
+          pairs: int = SAMPLE_PAIRS, **options: object) -> Model:
     sample = stage(spark, labelled_sample(docs, ratings, label=grade_col, rows=rows, **options), "rated-sample")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,9 +168,17 @@ def learn(spark: SparkSession, docs: DataFrame, ratings: DataFrame, grade_col: s
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(slots, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))],
                                              ["label", "slots", "values"])
 
-    got = sample.select("label", "text").mapInArrow(run, "label int, slots array<int>, values array<float>")
-    rows_ = got.collect()       # bounded by the sample
-    return fit([list(zip(r["slots"], r["values"])) for r in rows_], [r["label"] for r in rows_])
+    got = stage(spark, sample.select("label", "text").mapInArrow(run, "label int, slots array<int>, values array<float>"), "rated-features")
+    order = Window.partitionBy("label").orderBy(F.xxhash64("slots", "values"))      # at most ``rows`` rows a grade
+    before = F.sum(F.size("slots").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    grades = F.lit(max(1, got.select("label").distinct().count()))
+    taken = got.withColumn("before", F.coalesce(before, F.lit(0))).where(
+        (F.col("before") == 0) | (F.col("before") + F.size("slots") <= F.lit(pairs) / grades))
+    table = taken.select("label", "slots", "values").toArrow()
+    lists, values = (table.column(c).combine_chunks() for c in ("slots", "values"))
+    if isinstance(lists, pa.ChunkedArray):      # no row
+        return fit(*(np.empty(0, t) for t in (np.int64, np.int32, np.float32, np.int64)))
+    return fit(np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy(), values.flatten().to_numpy(), table.column(0).to_numpy())
 
 
 def grade(spark: SparkSession, docs: DataFrame, ratings: DataFrame, tail: int | None = None, least: float = 0.5,
