@@ -68,3 +68,12 @@ def test_members_of_foreign_archives():
             assert {n: raw[o:o + s] for n, (o, s) in got.items()} == data
     with pytest.raises(ValueError):
         W.members(lambda o, n: b"", 0)
+
+
+def test_store_names():
+    names = {"/a/b": "file:///a/b", "file:/a/b": "file:///a/b", "file:///a/b": "file:///a/b", "s3a://bucket/a/b": "s3://bucket/a/b",
+             "s3n://bucket/a": "s3://bucket/a", "s3://bucket": "s3://bucket", "hdfs://name:8020/a": "hdfs://name:8020/a",
+             "abfss://box@account.dfs.core.windows.net/a": "abfss://box@account.dfs.core.windows.net/a",
+             "wasbs://box@account.blob.core.windows.net/a/b": "abfss://box@account.dfs.core.windows.net/a/b",
+             "wasb://box@account.blob.core.windows.net": "abfs://box@account.dfs.core.windows.net"}
+    assert {n: W.store_uri(n) for n in names} == names

@@ -17,6 +17,10 @@ local header, all by ranged reads; then the index member, then each record by
 its own byte range, in groups of neighbours of about READ_BYTES.  Nothing is
 extracted.  A response's payload is checked against its digest.
 
+Archives are opened by pyarrow's file systems; Hadoop's names of the same
+stores (s3a, s3n, wasb, wasbs) are put in its terms, and credentials are taken
+from the workers' environment.
+
 Edge cases: a null html is an empty payload; a null url an empty target; a
 page without id revisits like any other, and is a response where no page of
 its payload has an id; rows that repeat the smallest id of a payload are all
@@ -179,10 +183,20 @@ def mark_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
                          F.when(revisit, F.col("first_id")).alias("refers_to"))
 
 
+def store_uri(path: str) -> str:
+    """The path as pyarrow names it: Hadoop's schemes of object stores mapped, local paths as file URIs."""
+    scheme, mark, rest = path.partition("://")
+    if not mark:
+        return f"file://{path.removeprefix('file:')}"
+    if scheme in ("wasb", "wasbs"):
+        host, slash, name = rest.partition("/")
+        return f"abfs{scheme[4:]}://{host.replace('.blob.', '.dfs.', 1)}{slash}{name}"
+    return f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}"
+
+
 def write_archives(spark: SparkSession, records: DataFrame, archive_bytes: int = ARCHIVE_BYTES, zip64: bool = False) -> DataFrame:
     """The stored list of archives: path, bytes, records."""
-    folder = shared_dir(spark, "archives")
-    folder = folder if "://" in folder else folder.replace("file:/", "file:///", 1) if folder.startswith("file:/") else f"file://{folder}"
+    folder = store_uri(shared_dir(spark, "archives"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
@@ -217,7 +231,7 @@ def write_archives(spark: SparkSession, records: DataFrame, archive_bytes: int =
 
 
 def _opened(path: str):
-    store, name = fs.FileSystem.from_uri(path)
+    store, name = fs.FileSystem.from_uri(store_uri(path))
     f = store.open_input_file(name)
     return f, f.size(), lambda offset, n: f.read_at(n, offset)
 
