@@ -43,3 +43,6 @@ def test_random_overlaps_and_edges(spark, make_docs):
     assert result(S.remove_repeats(spark, make_docs(docs))) == brute(docs)
     assert result(S.remove_repeats(spark, make_docs(docs), length=40, q=16)) == brute(docs, 40)
     assert S.remove_repeats(spark, make_docs([])).count() == 0
+    cut = make_docs(docs + [(110, "".join(pool) * 2), (111, "x" + "".join(pool))])
+    whole = result(S.remove_repeats(spark, cut))
+    assert result(S.remove_repeats(spark, cut, stretch=500)) == whole == brute([tuple(r)[:2] for r in cut.select("doc_id", "text").collect()])

@@ -1,4 +1,4 @@
-"""Removal of repeated substrings by bucket-pointer refinement of a sparse suffix array.
+"""Removal of repeated substrings by buckets of sampled suffixes and hashes of what surrounds them.
 
 A byte is removed if a string of ``length`` bytes that covers it also starts
 anywhere else in the corpus (overlaps count; texts are judged as they came in;
@@ -27,7 +27,9 @@ bases.  Texts are dealt out once, into buckets by document; every later join
 with them moves only the windows' side.
 
 Edge cases: null is empty text; texts shorter than ``length`` lose nothing;
-repeated rows are repeated texts, so they lose what they share; rows without
+repeated rows are repeated texts, so they lose what they share; texts of more
+than STRETCH bytes are read in overlapping stretches (a run of windows ends
+with its stretch, and what this leaves open is found by the finer levels); rows without
 id are texts like others; an empty table gives an empty result; other columns
 are ignored.
 """
@@ -48,6 +50,7 @@ LENGTH = 200
 Q = 40
 GROUP = 17
 SLICE_BYTES = 1 << 18
+STRETCH = 1 << 22               # longer texts are read in overlapping stretches
 ROLLS = Rolling(0x2545F4914F6CDD1D), Rolling(0xD1342543DE82EF95)
 POSITION_BITS = 28
 
@@ -68,8 +71,6 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 def anchored_runs(texts: list[bytes], length: int, q: int):
     """Text, first window, windows, anchor's lead, q-gram hash and run hash of each run of windows with one anchor."""
     buf, starts = joined(texts, lower=False)
-    if len(buf) >= 1 << POSITION_BITS:
-        raise ValueError(f"a text of more than {1 << POSITION_BITS} bytes must be split first")
     if len(buf) <= length:
         return (*(np.empty(0, np.int64),) * 4, *(np.empty(0, np.uint64),) * 2)
     near, whole = ROLLS[0].prefix(buf), ROLLS[1].prefix(buf)
@@ -99,27 +100,44 @@ def _batch(uid: np.ndarray, first, count, lead, a, b) -> pa.RecordBatch:
                                       [c.split()[0] for c in MEMBERS.split(", ")])
 
 
-def _runs(length: int, q: int):
+def _stretches(texts: list[bytes], stretch: int, beyond: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Row, begin and bytes of the texts' stretches: ``stretch`` bytes and ``beyond`` more, so that what starts in one lies in it whole."""
+    places = [(k, at) for k, t in enumerate(texts) for at in range(0, max(len(t), 1), stretch)]
+    row, begin = np.array(places, np.int64).reshape(-1, 2).T
+    return row, begin, [texts[k][at:at + stretch + beyond] for k, at in places]
+
+
+def _runs(length: int, q: int, stretch: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            uid, texts = b.column(0).to_numpy(), text_bytes(b.column(1))
-            for lo, hi in slices(texts, SLICE_BYTES):
-                owner, *rest = anchored_runs(texts[lo:hi], length, q)
-                yield _batch(uid[lo + owner], *rest)
+            uid = b.column(0).to_numpy()
+            row, begin, parts = _stretches(text_bytes(b.column(1)), stretch, length - 1)
+            for lo, hi in slices(parts, SLICE_BYTES):
+                owner, first, *rest = anchored_runs(parts[lo:hi], length, q)
+                yield _batch(uid[row[lo + owner]], first + begin[lo + owner], *rest)
 
     return run
 
 
-def _finer(length: int, group: int):
-    """Rows (uid, text, runs): the runs' groups of windows, or single windows for groups of 1; each of a text once."""
+def _finer(length: int, group: int, stretch: int):
+    """Rows (uid, text, runs): the runs' groups of windows, or single windows for groups of 1; each of a text once.
+
+    A run has fewer than ``length`` windows, so the one that starts in a stretch ends within 2 * ``length`` bytes of it.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            uid, texts, lists = b.column(0).to_numpy(), text_bytes(b.column(1)), b.column(2)
-            ends, items = lists.offsets.to_numpy(), lists.flatten()
+            uid, lists = b.column(0).to_numpy(), b.column(2)
+            row, begin, texts = _stretches(text_bytes(b.column(1)), stretch, 2 * length)
+            items, owner = lists.flatten(), np.repeat(np.arange(b.num_rows), np.diff(lists.offsets.to_numpy()))
             runs = np.stack([items.field(k).to_numpy().astype(np.int64) for k in range(3)], axis=1)
+            place = np.searchsorted(row, owner) + runs[:, 0] // stretch         # the run's stretch
+            order = np.argsort(place, kind="stable")
+            runs, place = runs[order], place[order]
+            runs[:, 0] -= begin[place]
             for lo, hi in slices(texts, SLICE_BYTES):
                 buf, starts = joined(texts[lo:hi], lower=False)
-                part, doc = runs[ends[lo] - ends[0]:ends[hi] - ends[0]], np.repeat(np.arange(hi - lo), np.diff(ends[lo:hi + 1]))
+                here = slice(*np.searchsorted(place, [lo, hi]))
+                part, doc = runs[here], place[here] - lo
                 first, count, lead = part.T
                 near, whole = ROLLS[0].prefix(buf), ROLLS[1].prefix(buf)
                 n = np.repeat(np.arange(len(part)), count)
@@ -137,7 +155,8 @@ def _finer(length: int, group: int):
                     core, hull = ROLLS[0].of(near, here, here + length), ROLLS[1].of(whole, here, here + length)
                     keep = np.unique(here, return_index=True)[1]
                     n, s, size, before, core, hull = (x[keep] for x in (n, s, size, before, core, hull))
-                yield _batch(uid[lo + doc[n]], s, size, before, core, hull)
+                at = lo + doc[n]
+                yield _batch(uid[row[at]], s + begin[at], size, before, core, hull)
 
     return run
 
@@ -168,7 +187,7 @@ def _removed(length: int, keep_text: bool):
             for doc_id, text, runs in zip(b.column(0).to_pylist(), text_bytes(b.column(1)), b.column(2).to_pylist()):
                 spans, kept = 0, text
                 if runs:
-                    edge = np.zeros(len(text) + 1, np.int64)
+                    edge = np.zeros(len(text) + 1, np.int32)
                     at = np.array([(r["first"], r["first"] + r["count"] - 1 + length) for r in runs])
                     np.add.at(edge, at[:, 0], 1)
                     np.add.at(edge, at[:, 1], -1)
@@ -183,19 +202,21 @@ def _removed(length: int, keep_text: bool):
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, q: int = Q, id_col: str = "doc_id",
-                   text_col: str = "text", keep_text: bool = False) -> DataFrame:
+                   text_col: str = "text", keep_text: bool = False, stretch: int = STRETCH) -> DataFrame:
     """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256(, kept)), one per document row."""
     if not 8 <= q < length:
         raise ValueError("q must be at least 8 and below length")
+    if not length <= stretch <= (1 << POSITION_BITS) - 4 * length:
+        raise ValueError("a stretch must hold a window and less than 256 MB")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = bucketed(spark, rows.withColumn("uid", F.monotonically_increasing_id()), "texts", "uid")
 
     def finer(asked: DataFrame, group: int) -> DataFrame:
         lists = asked.groupBy("uid").agg(F.collect_list(F.struct("first", "count", "lead")).alias("runs"))
-        members = texts.select("uid", "text").join(lists, "uid").mapInArrow(_finer(length, group), MEMBERS)
+        members = texts.select("uid", "text").join(lists, "uid").mapInArrow(_finer(length, group, stretch), MEMBERS)
         return stage(spark, members, f"groups-of-{group}")
 
-    members = stage(spark, texts.select("uid", "text").mapInArrow(_runs(length, q), MEMBERS), "runs")
+    members = stage(spark, texts.select("uid", "text").mapInArrow(_runs(length, q, stretch), MEMBERS), "runs")
     found, asked = refine(spark, members, "run-buckets")
     inside, asked = refine(spark, finer(asked, GROUP), "group-buckets")
     windows = finer(asked, 1)
