@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.functions.dates import ntz
 from tillhouse.plans import validate
+from tillhouse.sources import dimstore
 from tillhouse.sources import locator as L
 from tillhouse.sources.store import WarehouseStore, parquet_stage
 
@@ -126,3 +127,17 @@ def test_unchanged_buckets_keep_their_files(spark, scratch, sf001_op):
     assert {b: e.dv for b, e in third.entries.items()} == {b: e.dv for b, e in m.entries.items()}
     again = {r["customer_id"]: r["updated_at"] for r in st.read(spark).dim_customer.collect()}
     assert again[gone] == AS_OF and set(again.values()) == {AS_OF, LATER + dt.timedelta(days=2)}
+
+
+def test_buckets_are_bounded_whatever_the_rows(spark, scratch, sf001_op):
+    """Beyond MAX_BUCKETS buckets hold more rows: folders and manifest rows do not grow with the table."""
+    store = dimstore.DimensionStore(os.path.join(scratch, "bounded"), "dim_customer", bucket_rows=1)
+    rows = spark.range(1000).select(F.col("id").alias("customer_id"), F.lit("C").alias("city"), F.lit("XX").alias("uf"), ntz(AS_OF).alias("updated_at"))
+    assert len(store.upsert(rows, None, 1, AS_OF)) == dimstore.MAX_BUCKETS < 1000
+    assert len(dim_files(store.root, "dim_customer")) == dimstore.MAX_BUCKETS
+    first = {r["customer_id"]: r["customer_sk"] for r in store.read(spark, 1).collect()}
+    assert sorted(first) == list(range(1000)) and sorted(first.values()) == list(range(1, 1001))
+    moved = rows.withColumn("city", F.when(F.col("customer_id") == 7, "MOVED").otherwise(F.col("city")))
+    assert len(store.upsert(moved, 1, 2, LATER)) == 1, "one row changes one bucket"
+    assert {r["customer_id"]: r["customer_sk"] for r in store.read(spark, 2).collect()} == first
+    assert [r["customer_id"] for r in store.read(spark, 2).where("city = 'MOVED'").collect()] == [7]
