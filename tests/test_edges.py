@@ -3,7 +3,9 @@
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillhouse import schemas as S
 from tillhouse.functions.money import guarded_ratio, scaled_price
@@ -80,3 +82,17 @@ def test_homonymous_branches_and_null_customer(spark):
     by_cat = {r["category"]: r["n_sales"] for r in monthly}
     # one monthly row per category for the merged name; sale 1 counts in both categories
     assert len(monthly) == 2 and by_cat == {"X": 2, "Y": 2}
+
+
+def test_literal_rows_are_one_literal(spark, monkeypatch):
+    """The plan of literal rows does not grow with them, and every type comes back as given."""
+    schema = T.StructType([T.StructField("s", T.StringType()), T.StructField("b", T.BooleanType()), T.StructField("n", T.LongType()),
+                           T.StructField("d", T.DecimalType(38, 2)), T.StructField("t", S.NTZ)])
+    odd = [('a "quoted" \\ line\n', True, -2**63, Decimal("123456789012345678901234567890.12"), dt.datetime(2002, 1, 1, 3, 4, 5, 678901)),
+           ("", False, 2**63 - 1, Decimal("-0.01"), dt.datetime(1, 1, 1)), ("é\u2581\U0001f600 ", None, 0, None, None), (None, None, None, None, None)]
+    assert sorted(map(repr, literal_rows(spark, odd, schema).collect())) == sorted(repr(Row(s=r[0], b=r[1], n=r[2], d=r[3], t=r[4])) for r in odd)
+    made, lit = [], F.lit
+    monkeypatch.setattr(F, "lit", lambda v: made.append(v) or lit(v))
+    few = literal_rows(spark, odd, schema) and len(made)
+    many = literal_rows(spark, odd * 1000, schema)
+    assert len(made) - few == few and many.count() == 4000
