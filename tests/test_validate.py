@@ -118,3 +118,16 @@ def test_differing_cells_are_few_and_enough(sf001_op, sf001_dw):
         dw = sf001_dw.with_(fact_sale_item=sf001_dw.fact_sale_item.withColumn(
             "sale_id", F.when(_item() == item, F.lit(other)).otherwise(F.col("sale_id"))))
         assert validate.missing_items(sf001_op, dw).count() == 0 and validate.surplus_items(sf001_op, dw).count() == surplus
+
+
+def test_rows_in_question_grow_with_the_defects(spark, sf001_op, sf001_dw):
+    """One defect in every hundredth of many sales of a month: only those sales' rows are in question."""
+    n, hit = 5000, F.col("sale_id") % 100 == 0
+    day = F.lit("1995-03-15 10:00:00").cast(S.NTZ)
+    sale = spark.range(n).select(F.col("id").alias("sale_id"), F.lit(1).alias("branch_id"), day.alias("sold_at"), F.lit(S.STATUS_COMPLETED).alias("status"))
+    item = spark.range(2 * n).select(F.col("id").alias("item_id"), F.floor(F.col("id") / 2).alias("sale_id"), F.lit(1).alias("qty"),
+                                     F.lit("1.00").cast(S.MONEY).alias("unit_price"), F.lit("0.00").cast(S.MONEY).alias("discount"))
+    fact = item.select("item_id", "sale_id", F.lit(199503).alias("sale_month")).where(~(hit & (F.col("item_id") % 2 == 1)))
+    cells = validate.differing_cells(validate.op_sales_frame(sf001_op.with_(sale=sale, sale_item=item)), fact)
+    rows = validate._in_cells(fact, cells, F.col("sale_month"))
+    assert rows.count() == n // 100 and rows.where(~hit).isEmpty()
