@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.functions.dates import ntz
 from tillhouse.operators import quality
+from tillhouse.sources import rulestore
 from tillhouse.sources.rulestore import RuleStore
 from tillhouse.sources.store import WarehouseStore
 
@@ -100,3 +101,20 @@ def test_keys_that_a_dimension_lost(spark, loaded):
     done = rules.refresh(spark, later, version)
     assert done["rows"] == [199904] and done["references"] == sorted({month, 199904})
     assert stored(rules, spark, later)["date_sk -> dim_date"] == dw.fact_sale_item.where(F.col("date_sk") == gone).count()
+
+
+def test_references_meet_the_dimensions_as_distinct_keys(spark, loaded, monkeypatch):
+    """Only lost keys are staged, and a first count stages no ids."""
+    st, rules = loaded
+    dw, staged = st.read(spark, 1), {}
+    stage = rulestore.parquet_stage
+    monkeypatch.setattr(rulestore, "parquet_stage", lambda name, df: staged.setdefault(name, stage(name, df)))
+    names = list(quality.FACT_REFERENCES)
+    assert rulestore.orphan_counts(dw.fact_sale_item, dw, names).isEmpty() and staged.pop("lost-keys").isEmpty()
+    broken = dw.fact_sale_item.withColumn("product_sk", F.when(F.col("item_id") % 3 == 0, -1).otherwise(F.col("product_sk")))
+    want = {r["sale_month"]: r["count"] for r in broken.where("product_sk = -1").groupBy("sale_month").count().collect()}
+    got = rulestore.orphan_counts(broken, dw, names).collect()
+    assert {r["sale_month"]: r["n_bad"] for r in got} == want and {r["rule"] for r in got} == {"product_sk -> dim_product"}
+    assert [(r["rule"], r["k"]) for r in staged.pop("lost-keys").collect()] == [("product_sk -> dim_product", -1)]
+    written = sorted((r["sale_month"], r["fv"]) for r in st.manifest(spark, 1).collect())
+    assert rules._repeated(spark, written, [], []) == 0 and not staged
